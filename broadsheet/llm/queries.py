@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from broadsheet.llm import chars, leaks, tokens
+from broadsheet.llm import boilerplate, chars, leaks, tokens
 from broadsheet.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +22,20 @@ def p2_text(spark: SparkSession, folder: str) -> DataFrame:
     return chars.with_canonical(rows, "text").select("tab", "row_id", "canonical")
 
 
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    return boilerplate.boilerplate(table(spark, folder, "ocr")).select("row_id")
+
+
+def p6_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    """Blocks of boilerplate: their paper, lines, rows and pages."""
+    rows = boilerplate.boilerplate(table(spark, folder, "ocr"))
+    return rows.groupBy("block").agg(F.min("paper").alias("paper"), F.countDistinct("node").alias("n_lines"), F.count("*").alias("n_rows"), F.countDistinct("page").alias("n_pages"))
+
+
+def p6_clean(spark: SparkSession, folder: str) -> DataFrame:
+    return boilerplate.without_boilerplate(table(spark, folder, "ocr")).select("row_id", "page_path", "ocr_text")
+
+
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.encode_corpus(table(spark, folder, "documents"))
 
@@ -34,7 +49,7 @@ def p9_passages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p2_found, p2_text, p8_ids, p9_found, p9_passages)}
+    return {f.__name__: f for f in (p2_found, p2_text, p6_found, p6_blocks, p6_clean, p8_ids, p9_found, p9_passages)}
 
 
 def oracle_sql() -> dict[str, str]:
