@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.llm import boilerplate, chars, leaks, tokens
+from broadsheet.llm import boilerplate, chars, leaks, repair, tokens
 from broadsheet.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,10 @@ def p2_text(spark: SparkSession, folder: str) -> DataFrame:
     return chars.with_canonical(rows, "text").select("tab", "row_id", "canonical")
 
 
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    return repair.Repair(*(table(spark, folder, t) for t in ("ocr", "lines", "paper"))).defects()
+
+
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     return boilerplate.boilerplate(table(spark, folder, "ocr")).select("row_id")
 
@@ -49,7 +53,7 @@ def p9_passages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p2_found, p2_text, p6_found, p6_blocks, p6_clean, p8_ids, p9_found, p9_passages)}
+    return {f.__name__: f for f in (p2_found, p2_text, p4_found, p6_found, p6_blocks, p6_clean, p8_ids, p9_found, p9_passages)}
 
 
 def oracle_sql() -> dict[str, str]:
