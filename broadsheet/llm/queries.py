@@ -7,12 +7,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.llm import boilerplate, chars, leaks, repair, tokens
+from broadsheet.functions.paths import main_page
+from broadsheet.llm import boilerplate, chars, grouping, leaks, overlap, repair, tokens
 from broadsheet.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    found = overlap.overlaps(table(spark, folder, "lines"))
+    return found.select(F.least("validation_row", "training_row").alias("row_id_a"), F.greatest("validation_row", "training_row").alias("row_id_b"))
+
+
+def p1_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs and distinct rows by the papers of the validation and the training row."""
+    found = overlap.overlaps(table(spark, folder, "lines"))
+    paper = table(spark, folder, "paper")
+    for side in ("validation", "training"):
+        found = main_page(found, paper, f"{side}_page", side)
+        found = found.withColumn(f"{side}_paper", F.substring_index(side, "/", 1))
+    return found.groupBy("validation_paper", "training_paper").agg(F.count("*").alias("n_pairs"), F.countDistinct("validation_row").alias("n_validation"), F.countDistinct("training_row").alias("n_training"), F.round(F.avg("containment"), 4).alias("containment"))
+
+
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     return chars.look_alikes(table(spark, folder, "ocr"), table(spark, folder, "lines"))
 
@@ -40,6 +56,16 @@ def p6_clean(spark: SparkSession, folder: str) -> DataFrame:
     return boilerplate.without_boilerplate(table(spark, folder, "ocr")).select("row_id", "page_path", "ocr_text")
 
 
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    return grouping.mixed_issues(table(spark, folder, "lines"), table(spark, folder, "paper"))
+
+
+def p7_splits(spark: SparkSession, folder: str) -> DataFrame:
+    """The set of every annotation: each issue of a paper lies wholly in one."""
+    rows = grouping.issue_rows(table(spark, folder, "lines"), table(spark, folder, "paper"))
+    return grouping.splits(rows.select("row_id", "keys"), "row_id")
+
+
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.encode_corpus(table(spark, folder, "documents"))
 
@@ -53,7 +79,7 @@ def p9_passages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p2_found, p2_text, p4_found, p6_found, p6_blocks, p6_clean, p8_ids, p9_found, p9_passages)}
+    return {f.__name__: f for f in (p1_found, p1_report, p2_found, p2_text, p4_found, p6_found, p6_blocks, p6_clean, p7_found, p7_splits, p8_ids, p9_found, p9_passages)}
 
 
 def oracle_sql() -> dict[str, str]:
