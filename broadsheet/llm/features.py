@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from broadsheet.llm.chars import canonical, decode, encode, low, offsets, row_hash, rows_of, skeleton, tables
+from broadsheet.llm.chars import canonical, decode, encode, low, offsets, ramp, row_hash, rows_of, skeleton, tables
 from broadsheet.session import ship
 
 # Words beside a page number; words beside an issue number; months of the three languages.
@@ -43,14 +43,32 @@ def word_sets() -> tuple[np.ndarray, np.ndarray]:
 
 
 def features(texts: pa.Array) -> dict[str, pa.Array]:
-    """Of each text: ``skel``, its skeleton; ``nums``, its number words; ``title``, the skeleton without numbers, months and
-    page words, if it has a number and few words; ``pagenum``, the number if the text is only a page number, else NULL.
+    """Of each text: ``skel``, its skeleton, and what ``numbered`` gives."""
+    cps, offs, _ = canonical(*decode(texts))
+    whole, whole_offs = skeleton(cps, offs)
+    return {"skel": encode(whole, whole_offs)} | numbered(cps, offs)
+
+
+def numbered(cps: np.ndarray, offs: np.ndarray) -> dict[str, pa.Array]:
+    """Of each canonical text: ``nums``, its number words; ``title``, the skeleton without numbers, months and page words, if it
+    has a number and few words; ``pagenum``, the number if the text is only a page number, else NULL.
+
+    Only rows with a digit are looked at.
     """
+    n, size = len(offs) - 1, np.diff(offs)
+    has = np.unique(np.searchsorted(offs, np.flatnonzero(tables()["digit"][low(cps)]), "right") - 1)
+    found = numbers_of(cps[np.repeat(offs[has], size[has]) + ramp(size[has])], np.concatenate(([0], np.cumsum(size[has]))))
+    at = np.full(n, -1)
+    at[has] = np.arange(len(has))
+    spread = pa.array(at, mask=at < 0)
+    out = {name: pa.compute.take(found[name], spread) for name in found}
+    out["nums"] = out["nums"].fill_null("")
+    return out
+
+
+def numbers_of(cps: np.ndarray, offs: np.ndarray) -> dict[str, pa.Array]:
     t = tables()
-    cps, offs, _ = canonical(*decode(texts))
     n = len(offs) - 1
-    whole, whole_offs = skeleton(cps, offs)
-    # words: runs of letters, digits and marks of the canonical text
     ix = low(cps)
     solid = t["letter"][ix] | t["digit"][ix] | (t["ccc"][ix] > 0)
     row = rows_of(offs)
@@ -59,7 +77,7 @@ def features(texts: pa.Array) -> dict[str, pa.Array]:
     nwords = int(begin.sum())
     wrow = row[begin]
     # a word's own skeleton must not lose a letter to the word before it: fold words apart, then hash each
-    gaps, goffs, gsrc = skeleton(cps, offs, spaces=True, source=True)
+    gaps, _, gsrc = skeleton(cps, offs, spaces=True, source=True)
     real = gaps != 32
     gword = word[gsrc[real]]
     hashed = row_hash(gaps[real], offsets(gword, nwords)) if nwords else np.zeros(0, np.int64)
@@ -82,8 +100,34 @@ def features(texts: pa.Array) -> dict[str, pa.Array]:
     keep[real] = keep_word[gword] & in_title[row[gsrc[real]]] if nwords else False
     title = encode(gaps[keep], offsets(row[gsrc[keep]], n), pa.array(in_title))
     only = (numbers == 1) & (rest == 0) & (drops == 0) & (pages <= 1)
-    value = pa.compute.if_else(pa.array(only), nums, pa.scalar(None, pa.string()))
-    return {"skel": encode(whole, whole_offs), "nums": nums, "title": title, "pagenum": value}
+    return {"nums": nums, "title": title, "pagenum": pa.compute.if_else(pa.array(only), nums, pa.scalar(None, pa.string()))}
+
+
+class Words:
+    """The words of canonical texts (runs of letters, marks, digits and bars): row, first and last character, hash in lower case."""
+
+    def __init__(self, cps: np.ndarray, offs: np.ndarray):
+        t = tables()
+        ix, row = low(cps), rows_of(offs)
+        solid = t["letter"][ix] | t["digit"][ix] | (t["ccc"][ix] > 0) | (cps == 124)
+        same = row[1:] == row[:-1]
+        begin = solid.copy()
+        begin[1:] &= ~(solid[:-1] & same)
+        self.first = np.flatnonzero(begin)
+        end = solid.copy()
+        end[:-1] &= ~(solid[1:] & same)
+        self.last = np.flatnonzero(end) + 1
+        self.row = row[self.first]
+        self.lower = t["lower"][ix]
+        size = self.last - self.first
+        self.size = size
+        self.hash = row_hash(self.lower[solid], np.concatenate(([0], np.cumsum(size))))
+
+    def texts(self, which: np.ndarray) -> pa.Array:
+        """The words ``which`` in lower case."""
+        size = self.size[which]
+        take = np.repeat(self.first[which], size) + ramp(size)
+        return encode(self.lower[take].astype(np.uint32), np.concatenate(([0], np.cumsum(size))))
 
 
 COLUMNS = ["skel", "nums", "title", "pagenum"]

@@ -21,18 +21,19 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from broadsheet.functions.paths import main_page
-from broadsheet.llm.chars import canonical, decode, encode
-from broadsheet.llm.features import features, reading_place
+from broadsheet.llm.chars import canonical, decode, encode, low, tables
+from broadsheet.llm.chars import rows_of as rows_of_text
+from broadsheet.llm.features import Words, numbered, reading_place
 from broadsheet.llm.headers import page_number, titles, with_headers
-from broadsheet.session import broadcast_if_small, ship, write_shared
+from broadsheet.session import BROADCAST_LIMIT, broadcast_if_small, ship, size_of, write_shared
 
 # Hyphens at line ends, in the consistent form; words before which a hanging hyphen stays.
 HYPHENS = "-¬⸗=‐‑"
+HYPHEN_SET = set(HYPHENS)
 KEEP_BEFORE = ["und", "and", "et", "u", "oder", "or", "ou"]
 # Letters that scanning confuses, both ways; letters read as a sign; letters that melt or fall apart, both ways.
 EITHER_WAY = ["ec", "un", "rt", "sf", "hb", "gq", "vp", "vo", "tk"]
@@ -47,8 +48,6 @@ LOST_RATIO, LOST_FREE, LOST_SHARE = 25, 3, 1 / 1000
 #: Letters of the shortest word with a letter lost or doubled.
 LOST_LENGTH = 5
 
-WORD_GAP = r"[^\p{L}\p{M}\p{N}|]+"
-
 
 def rows_of(ocr: DataFrame, lines: DataFrame, paper: DataFrame) -> DataFrame:
     """The lines of both tables in one form: tab, row_id, paper, page, label, place, text."""
@@ -62,29 +61,26 @@ def rows_of(ocr: DataFrame, lines: DataFrame, paper: DataFrame) -> DataFrame:
 
 
 def prepared(rows: DataFrame) -> DataFrame:
-    """Adds the features of the text and puts it into the consistent form; written once to the shared folder."""
+    """The text in the consistent form, with its title and page number; written once to the shared folder."""
     ship(rows.sparkSession)
     kept = [c for c in rows.columns if c != "text"]
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields) + ", skel string, title string, pagenum string"
+    named = rows.select(*kept, "text")
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in named.schema.fields) + ", skel string, title string, pagenum string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        solid = tables()["letter"] | tables()["digit"]
         for b in batches:
             text = b.column("text")
             cps, offs, _ = canonical(*decode(text))
-            found = features(text)
+            found = numbered(cps, offs)
             # of the skeleton only whether there is one is asked for
-            some = pa.compute.if_else(pa.compute.equal(found["skel"], ""), "", "x")
-            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in kept], encode(cps, offs, text.is_valid()), some, found["title"], found["pagenum"]], names=[*kept, "text", "skel", "title", "pagenum"])
+            some = np.bincount(rows_of_text(offs)[solid[low(cps)]], minlength=len(offs) - 1) > 0
+            skel = pa.compute.if_else(pa.array(some), "x", "")
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in kept], encode(cps, offs, text.is_valid()), skel, found["title"], found["pagenum"]], names=[*kept, "text", "skel", "title", "pagenum"])
 
-    named = rows.select(*kept, "text")
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in named.schema.fields) + ", skel string, title string, pagenum string"
     return write_shared(page_number(named.mapInArrow(run, schema)).drop("pagenum"), "page-lines")
 
 
-def words(text: Column) -> Column:
-    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), WORD_GAP), lambda w: w != "")
-
-
 BROKEN = re.compile(r"([^\W_]+)[\u0300-\u036f]*[" + HYPHENS.replace("-", r"\-") + r"]+\s*$")
 FIRST = re.compile(r"^[^\w|]*([\w|][\w|\u0300-\u036f]*)")
 
@@ -93,31 +89,32 @@ def neighbours(chunk: pd.DataFrame) -> pd.DataFrame:
     """``broken``, ``before`` and ``after`` of rows sorted by page, place, running text first, row_id."""
     n = len(chunk)
     page = pd.factorize(chunk["page"], use_na_sentinel=False)[0]
-    place, aside = chunk["place"].to_numpy(), chunk["aside"].to_numpy()
-    texts = [t or "" for t in chunk["text"]]
-    ends = [BROKEN.search(t) for t in texts]
-    starts = [FIRST.search(t) for t in texts]
-    last = np.array([m[1].lower() if m else "" for m in ends], object)
-    first = np.array([m[1].lower() if m else "" for m in starts], object)
+    place, aside, texts = chunk["place"].to_numpy(), chunk["aside"].to_numpy(), chunk["text"].to_numpy()
+    last = np.full(n, "", object)
+    broken = np.zeros(n, bool)
+    for i, t in enumerate(texts):
+        if t and t.rstrip()[-1:] in HYPHEN_SET and (m := BROKEN.search(t)):
+            last[i], broken[i] = m[1].lower(), True
     group = np.cumsum(np.concatenate(([True], (page[1:] != page[:-1]) | (place[1:] != place[:-1])))) - 1
     opens = np.concatenate(([True], group[1:] != group[:-1]))
     head = np.flatnonzero(opens & (aside == 0))
     before, after = np.full(n, None, object), np.full(n, None, object)
     if len(head):
-        at = np.arange(n)
-        mine = np.searchsorted(head, at, "right") - 1  # the head at or before each row
+        mine = np.searchsorted(head, np.arange(n), "right") - 1  # the head at or before each row
         same = (mine >= 0) & (group[head[np.maximum(mine, 0)]] == group)
         prior, coming = np.where(same, mine - 1, mine), mine + 1
         ok = (prior >= 0) & (page[head[np.maximum(prior, 0)]] == page)
         before[ok] = last[head[prior[ok]]]
-        ok = coming < len(head)
+        ok = broken & (coming < len(head))
         ok[ok] = page[head[coming[ok]]] == page[ok]
-        after[ok] = first[head[coming[ok]]]
-    return chunk.assign(broken=[m is not None for m in ends], before=before, after=after, group=group, head=np.isin(np.arange(n), head))
+        for i in np.flatnonzero(ok):
+            m = FIRST.search(texts[head[coming[i]]] or "")
+            after[i] = m[1].lower() if m else ""
+    return chunk.assign(broken=broken, before=before, after=after, head=np.isin(np.arange(n), head))
 
 
 def with_neighbours(f: DataFrame) -> DataFrame:
-    """Adds ``broken``; ``after``, the first word of the next line of running text; ``before``, the last word of the line before, if that is broken.
+    """Adds ``broken``; of a broken line ``after``, the first word of the next line of running text; ``before``, the last word of the line before, if that is broken.
 
     The neighbours of a hand annotation, and of a line loaded again, are those of the first recognised line at its place.
     Rows are sorted within hash partitions of the page and streamed; of an open page only the last two lines are held.
@@ -135,10 +132,9 @@ def with_neighbours(f: DataFrame) -> DataFrame:
             chunk = neighbours(frame if held is None else pd.concat([held[given], frame], ignore_index=True))
             head = np.flatnonzero(chunk["head"].to_numpy())
             if len(head) < 2:
-                held, keep = chunk, 0
+                held = chunk
             else:
-                keep = int(head[-2])
-                cut = int(head[-1])
+                keep, cut = int(head[-2]), int(head[-1])
                 yield chunk.iloc[done:cut][columns]
                 held, done = chunk.iloc[keep:].reset_index(drop=True), cut - keep
         if held is not None:
@@ -148,12 +144,66 @@ def with_neighbours(f: DataFrame) -> DataFrame:
     return rows.repartition("page").sortWithinPartitions("page", "place", "aside", "row_id").mapInPandas(run, kinds).drop("aside")
 
 
+class Listed:
+    """The words of a batch of lines, as they are looked up: whole words, and those joined over a line end with the part that is in the line."""
+
+    def __init__(self, b: pa.RecordBatch):
+        cps, offs = decode(b.column("text"))
+        w = self.words = Words(cps, offs)
+        n = len(offs) - 1
+        before, after, broken = b.column("before").to_pylist(), b.column("after").to_pylist(), b.column("broken").to_numpy(zero_copy_only=False)
+        count = np.bincount(w.row, minlength=n)
+        start = np.cumsum(count) - count
+        whole = np.ones(len(w.row), bool)
+        joined, row, lo, hi, begins = [], [], [], [], []
+        for i in np.flatnonzero(broken | np.array([bool(x) for x in before], bool)):
+            if not count[i]:
+                continue
+            first, last = start[i], start[i] + count[i] - 1
+            text = lambda k: w.lower[w.first[k] : w.last[k]].astype("<u4").tobytes().decode("utf-32-le")
+            if before[i]:
+                whole[first] = False
+                part = text(first)
+                joined.append(before[i] + part)
+                row.append(i), lo.append(len(before[i])), hi.append(len(before[i]) + len(part) + 1), begins.append(False)
+            if broken[i]:
+                whole[last] = False
+                if after[i] and after[i] not in KEEP_BEFORE:
+                    part = text(last)
+                    joined.append(part + after[i])
+                    row.append(i), lo.append(0), hi.append(len(part)), begins.append(True)
+        self.whole = np.flatnonzero(whole)
+        self.joined = Words(*decode(pa.array(joined, pa.string())))
+        # a joined text may hold other signs only if a part did: keep those that are one word
+        self.of = self.joined.row
+        self.joined_row, self.lo, self.hi = np.array(row, np.int64), np.array(lo, np.int64), np.array(hi, np.int64)
+        self.begins = np.array(begins, bool)
+
+
+def chunks(batches: Iterator[pa.RecordBatch], rows: int = 40_000) -> Iterator[pa.RecordBatch]:
+    """Batches put together until they have ``rows`` rows."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        held.append(b)
+        if sum(len(x) for x in held) >= rows:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held = []
+    if sum(len(x) for x in held):
+        yield pa.Table.from_batches([x for x in held if len(x)]).combine_chunks().to_batches()[0]
+
+
 def vocabulary(r: DataFrame) -> DataFrame:
-    """(word, n): whole words of the lines, broken ones joined at the line where they begin, counted by partial aggregates."""
-    every = words(F.col("text"))
-    inner = F.slice(every, F.when(F.coalesce(F.col("before"), F.lit("")) != "", 2).otherwise(1), F.greatest(F.lit(0), F.size(every) - F.when(F.coalesce(F.col("before"), F.lit("")) != "", 1).otherwise(0) - F.when(F.col("broken"), 1).otherwise(0)))
-    joined = F.when(F.col("broken") & (F.coalesce("after", F.lit("")) != "") & ~F.col("after").isin(KEEP_BEFORE), F.array(F.concat(F.element_at(every, -1), F.col("after")))).otherwise(F.array().cast("array<string>"))
-    return r.filter("size(split(text, ' ')) > 0").select(F.explode(F.concat(inner, joined)).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    """(word, h, n): whole words of the lines, broken ones joined at the line where they begin; counted in numpy within batches, then summed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in chunks(batches):
+            found = Listed(b)
+            for w, which in ((found.words, found.whole), (found.joined, np.flatnonzero(found.begins[found.of]) if len(found.of) else found.of)):
+                h, first, n = np.unique(w.hash[which], return_index=True, return_counts=True)
+                yield pa.RecordBatch.from_arrays([w.texts(which[first]), pa.array(h), pa.array(n)], names=["word", "h", "n"])
+
+    counted = r.select("text", "before", "after", "broken").mapInArrow(run, "word string, h bigint, n bigint")
+    return counted.groupBy("h").agg(F.min("word").alias("word"), F.sum("n").alias("n"))
 
 
 def readings(word: str) -> Iterator[tuple[str, bool]]:
@@ -196,24 +246,38 @@ def misreadings(vocab: DataFrame) -> DataFrame:
     all_words = best.join(signs.withColumn("sign", F.lit(True)), "word", "full_outer").select("word", "right")
     shared = F.size(F.filter(F.sequence(F.lit(1), F.length("word")), lambda i: F.expr("right").substr(F.lit(1), i) == F.expr("word").substr(F.lit(1), i)))
     sign = F.expr("length(regexp_substr(concat('x', word), '^[^0-9|]*')) - 1")
-    return all_words.withColumn("at", F.coalesce(shared, sign))
-
-
-def checked_words(r: DataFrame) -> DataFrame:
-    """(tab, row_id, word, lo, hi): the words to look up; the misread letter must lie in [lo, hi) to be in this line."""
-    every = words(F.col("text"))
-    before = F.coalesce(F.col("before"), F.lit(""))
-    follows = F.col("broken") & (F.coalesce("after", F.lit("")) != "") & ~F.col("after").isin(KEEP_BEFORE)
-    size = F.size(every)
-    token = lambda w, lo, hi: F.struct(w.alias("word"), lo.cast("int").alias("lo"), hi.cast("int").alias("hi"))
-    none = F.array().cast("array<struct<word:string,lo:int,hi:int>>")
-    skip = F.when(before != "", 1).otherwise(0)
-    whole = F.transform(F.slice(every, skip + 1, F.greatest(F.lit(0), size - skip - F.when(F.col("broken"), 1).otherwise(0))), lambda w: token(w, F.lit(0), F.lit(1 << 20)))
-    head = F.element_at(every, 1)
-    tail = F.element_at(every, -1)
-    back = F.when((before != "") & (size > 0), F.array(token(F.concat(before, head), F.length(before), F.lit(1 << 20)), token(head, F.lit(0), F.lit(0)))).otherwise(none)
-    ahead = F.when(follows & (size > 0), F.array(token(F.concat(tail, F.col("after")), F.lit(0), F.length(tail)))).when(F.col("broken") & (size > 0), F.array(token(tail, F.lit(0), F.lit(1 << 20)))).otherwise(none)
-    return r.select("tab", "row_id", F.explode(F.concat(whole, back, ahead)).alias("t")).select("tab", "row_id", "t.word", "t.lo", "t.hi")
+    return all_words.withColumn("at", F.coalesce(shared, sign)).join(vocab.select("word", "h"), "word")
+
+
+def looked_up(r: DataFrame, misread: DataFrame) -> DataFrame:
+    """(tab, row_id, word, right) of the misread words of each line whose misread letter is in the line.
+
+    A table of misreadings within ``broadcast_if_small``'s bound goes to every task as sorted hashes; a larger one is joined to
+    the hashed words by shuffle.
+    """
+    spark = r.sparkSession
+    columns = ["tab", "row_id", "text", "before", "after", "broken"]
+    schema = "tab string, row_id bigint, h bigint, lo int, hi int"
+    held = None
+    if size_of(misread) * 8 <= BROADCAST_LIMIT:
+        held = spark.sparkContext.broadcast(np.sort(np.array([x["h"] for x in misread.select("h").toLocalIterator()], np.int64)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in chunks(batches):
+            found = Listed(b)
+            w, which, j = found.words, found.whole, found.joined
+            row = np.concatenate((w.row[which], found.joined_row[found.of])).astype(np.int64)
+            h = np.concatenate((w.hash[which], j.hash))
+            lo = np.concatenate((np.zeros(len(which), np.int64), found.lo[found.of]))
+            hi = np.concatenate((np.full(len(which), 1 << 20), found.hi[found.of]))
+            if held is not None:
+                known = held.value
+                hit = known[np.minimum(np.searchsorted(known, h), len(known) - 1)] == h if len(known) else np.zeros(len(h), bool)
+                row, h, lo, hi = row[hit], h[hit], lo[hit], hi[hit]
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row)), b.column(1).take(pa.array(row)), pa.array(h), pa.array(lo, pa.int32()), pa.array(hi, pa.int32())], names=["tab", "row_id", "h", "lo", "hi"])
+
+    hits = r.select(*columns).mapInArrow(run, schema)
+    return hits.join(broadcast_if_small(misread), "h").filter((F.col("at") >= F.col("lo")) & (F.col("at") < F.col("hi"))).select("tab", "row_id", "word", "right", "lo", "hi")
 
 
 class Repair:
@@ -224,12 +288,11 @@ class Repair:
         running = broadcast_if_small(write_shared(titles(f.filter("tab = 'ocr'")), "titles"))
         self.rows = write_shared(with_neighbours(with_headers(f, running)), "page-order")
         vocab = write_shared(vocabulary(self.rows), "vocabulary")
-        self.misread = broadcast_if_small(write_shared(misreadings(vocab), "misreadings"))
+        self.misread = write_shared(misreadings(vocab), "misreadings")
 
     def misread_words(self) -> DataFrame:
         """(tab, row_id, word, right) of the misread words of each line."""
-        hit = checked_words(self.rows).join(self.misread, "word")
-        return hit.filter((F.col("at") >= F.col("lo")) & (F.col("at") < F.col("hi"))).select("tab", "row_id", "word", "right", "lo", "hi")
+        return looked_up(self.rows, self.misread)
 
     def defects(self) -> DataFrame:
         """(tab, row_id, kind), one row for each kind of defect of a line."""
