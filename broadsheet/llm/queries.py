@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from broadsheet.functions.paths import main_page
-from broadsheet.llm import boilerplate, chars, grouping, leaks, overlap, repair, tokens
+from broadsheet.llm import boilerplate, chars, grouping, leaks, overlap, repair, subjects, tokens
 from broadsheet.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,8 +78,23 @@ def p9_passages(spark: SparkSession, folder: str) -> DataFrame:
     return leaks.leaks(table(spark, folder, "documents"), table(spark, folder, "test_item"))
 
 
+def p10_subjects(spark: SparkSession, folder: str) -> DataFrame:
+    return subjects.document_subjects(*(table(spark, folder, t) for t in ("documents", "subject_area", "subject_sample")))
+
+
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p10_subjects(spark, folder).select("doc_id", "subject")
+
+
+def p10_composition(spark: SparkSession, folder: str) -> DataFrame:
+    """The corpus measured by subject: documents and sentences, also by language."""
+    found = p10_subjects(spark, folder)
+    docs = table(spark, folder, "documents").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.lower(F.substring("lang", 1, 2)).alias("lang"))
+    return found.join(docs, "doc_id", "left").groupBy("subject", "lang").agg(F.count("*").alias("n_documents"), F.sum("n_sentences").alias("n_sentences"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p1_report, p2_found, p2_text, p4_found, p6_found, p6_blocks, p6_clean, p7_found, p7_splits, p8_ids, p9_found, p9_passages)}
+    return {f.__name__: f for f in (p1_found, p1_report, p2_found, p2_text, p4_found, p6_found, p6_blocks, p6_clean, p7_found, p7_splits, p8_ids, p9_found, p9_passages, p10_found, p10_subjects, p10_composition)}
 
 
 def oracle_sql() -> dict[str, str]:
