@@ -27,8 +27,8 @@ def normal_path(path: Column) -> Column:
 NORMAL_PATH_SQL = (
     "(CASE WHEN NOT regexp_matches(trim({0}), '//|(^|/)\\.\\.?(/|$)|.+/$') THEN trim({0}) ELSE "
     "(CASE WHEN trim({0}) LIKE '/%' THEN '/' ELSE '' END) || array_to_string(list_reduce("
-    "list_prepend(CAST([] AS VARCHAR[]), list_transform(string_split(trim({0}), '/'), x -> [x])), "
-    "(a, b) -> CASE WHEN b[1] IN ('', '.') THEN a "
+    "list_prepend(CAST([] AS VARCHAR[]), list_transform(string_split(trim({0}), '/'), lambda x: [x])), "
+    "lambda a, b: CASE WHEN b[1] IN ('', '.') THEN a "
     "WHEN b[1] = '..' AND len(a) > 0 AND a[len(a)] <> '..' THEN a[1:len(a)-1] "
     "WHEN b[1] = '..' AND trim({0}) LIKE '/%' THEN a ELSE list_concat(a, b) END), '/') END)"
 )
