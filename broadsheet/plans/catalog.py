@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from broadsheet.plans import corpus_queries, layout_queries, pipeline
+from broadsheet.plans import corpus_queries, layout_queries, pipeline, source_queries
 
-MODULES = [pipeline, layout_queries, corpus_queries]
+MODULES = [pipeline, layout_queries, corpus_queries, source_queries]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
