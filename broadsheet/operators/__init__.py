@@ -1 +1 @@
-"""operators of the engine."""
+"""Operators over pages, regions, lines and their records."""

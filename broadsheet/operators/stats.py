@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from broadsheet.functions.numbers import rounded
 from broadsheet.operators.graph import connected_components
 
 
 def elapsed(runs: DataFrame) -> DataFrame:
     """(batch, n, min, median, p90) of the completed runs' times; exact percentiles with linear interpolation, rounded to 6 places."""
     good = runs.filter("elapsed IS NOT NULL")
-    r = lambda c: F.round(c, 6)
+    r = lambda c: rounded(c, 6)
     return good.groupBy("batch").agg(F.count("*").alias("n"), r(F.min("elapsed")).alias("min_s"), r(F.median("elapsed")).alias("median_s"), r(F.percentile("elapsed", 0.9)).alias("p90_s"))
 
 
@@ -53,7 +54,7 @@ def position_signature(boxes: DataFrame, width: float, height: float, cells: int
     dy = F.least(F.col("maxy"), (F.col("gy") + 1) * h) - F.greatest(F.col("miny"), F.col("gy") * h)
     whole = (F.col("maxx") - F.col("minx")) * (F.col("maxy") - F.col("miny"))
     share = F.when(whole > 0, F.greatest(dx, F.lit(0.0)) * F.greatest(dy, F.lit(0.0)) / whole)
-    return rows.select("page_id", "block_id", "gx", "gy", F.round(share, 6).alias("share")).filter("share > 0")
+    return rows.select("page_id", "block_id", "gx", "gy", rounded(share, 6).alias("share")).filter("share > 0")
 
 
 def l1_pairs(vectors: DataFrame, key: str, vector: str, threshold: int) -> DataFrame:

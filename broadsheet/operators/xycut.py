@@ -126,7 +126,7 @@ def split_at(box: np.ndarray, axis: int, c: float) -> tuple[np.ndarray, np.ndarr
 
 def cut_order(box: np.ndarray, score: Callable[[Gap], float], eps: float = 0, grouped: bool = False) -> list[list[int]]:
     """Groups of box indices in reading order; without ``grouped`` each is one box, with it what no gap parts stays together."""
-    box = box.astype(float).copy()
+    box = box.astype(float).reshape(-1, 4).copy()
     box[:, 2] += np.where(box[:, 2] <= box[:, 0], MIN_EXTENT, 0)
     box[:, 3] += np.where(box[:, 3] <= box[:, 1], MIN_EXTENT, 0)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from broadsheet.functions.numbers import rounded
 from broadsheet.operators import intervals, layout, spatial, stats, votes, xycut
 from broadsheet.operators.graph import connected_components
 from broadsheet.plans.fixtures import PAGE_HEIGHT, PAGE_WIDTH, boxes, duck, separators
@@ -29,7 +30,7 @@ def area_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 def overlap_pairs(spark: SparkSession, folder: str) -> DataFrame:
     found = spatial.overlap_pairs(boxes(spark, folder), 0.1)
-    return found.select("page_id", "a_block_id", "b_block_id", F.col("overlap").cast("bigint").alias("overlap"), F.round("ratio", 6).alias("ratio"))
+    return found.select("page_id", "a_block_id", "b_block_id", F.col("overlap").cast("bigint").alias("overlap"), rounded("ratio", 6).alias("ratio"))
 
 
 def _edges(spark: SparkSession, folder: str) -> DataFrame:
@@ -47,18 +48,18 @@ def merged_overlaps(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def same_line_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    return layout.same_line_pairs(boxes(spark, folder), LINE_DISTANCE).select("page_id", "a_block_id", "b_block_id", F.round("aligned", 6).alias("aligned"), F.col("gap").cast("bigint").alias("gap"))
+    return layout.same_line_pairs(boxes(spark, folder), LINE_DISTANCE).select("page_id", "a_block_id", "b_block_id", rounded("aligned", 6).alias("aligned"), F.col("gap").cast("bigint").alias("gap"))
 
 
 def below_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    return layout.below_pairs(boxes(spark, folder), 200).select("page_id", "a_block_id", "b_block_id", F.round("aligned", 6).alias("aligned"), F.col("gap").cast("bigint").alias("gap"))
+    return layout.below_pairs(boxes(spark, folder), 200).select("page_id", "a_block_id", "b_block_id", rounded("aligned", 6).alias("aligned"), F.col("gap").cast("bigint").alias("gap"))
 
 
 def merged_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Text regions of one line united: members, joint box and cohesion."""
     text = boxes(spark, folder).filter("label = 'TEXT'")
     done = layout.merge_adjacent(text, layout.same_line_pairs(text, LINE_DISTANCE))
-    return done.select("page_id", "block_id", "n_parts", *[F.col(c).cast("bigint").alias(c) for c in layout.BOX], F.round(layout.cohesion(), 6).alias("cohesion"))
+    return done.select("page_id", "block_id", "n_parts", *[F.col(c).cast("bigint").alias(c) for c in layout.BOX], rounded(layout.cohesion(), 6).alias("cohesion"))
 
 
 def contained_regions(spark: SparkSession, folder: str) -> DataFrame:
@@ -80,7 +81,7 @@ def exclude_boxes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def other_label_share(spark: SparkSession, folder: str) -> DataFrame:
-    return spatial.other_label_share(boxes(spark, folder)).select("page_id", "block_id", F.round("share", 6).alias("share"))
+    return spatial.other_label_share(boxes(spark, folder)).select("page_id", "block_id", rounded("share", 6).alias("share"))
 
 
 def shrunk_regions(spark: SparkSession, folder: str) -> DataFrame:
@@ -96,7 +97,7 @@ def transcription_best(spark: SparkSession, folder: str) -> DataFrame:
 def coverage_ratio(spark: SparkSession, folder: str) -> DataFrame:
     """Share of the page's height that its regions cover."""
     covered = intervals.coverage(boxes(spark, folder), ["page_id"], "miny", "maxy")
-    return covered.select("page_id", F.col("covered").cast("bigint").alias("covered"), F.round(F.col("covered") / PAGE_HEIGHT, 6).alias("ratio"))
+    return covered.select("page_id", F.col("covered").cast("bigint").alias("covered"), rounded(F.col("covered") / PAGE_HEIGHT, 6).alias("ratio"))
 
 
 def merged_intervals(spark: SparkSession, folder: str) -> DataFrame:
@@ -173,7 +174,7 @@ def region_signature(spark: SparkSession, folder: str) -> DataFrame:
 
 def line_metrics(spark: SparkSession, folder: str) -> DataFrame:
     lines = boxes(spark, folder).selectExpr("page_id", "block_id", "minx AS px", "maxy AS py", "maxx - minx AS right_x", "ord - 4 AS right_y", "0 AS up_x", "miny - maxy AS up_y")
-    return votes.line_metrics(lines).select("page_id", "block_id", *[F.round(c, 6).alias(c) for c in ("length", "height", "angle", "center_x", "center_y")])
+    return votes.line_metrics(lines).select("page_id", "block_id", *[rounded(c, 6).alias(c) for c in ("length", "height", "angle", "center_x", "center_y")])
 
 
 def _skews(spark: SparkSession, folder: str) -> DataFrame:
@@ -181,17 +182,17 @@ def _skews(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def weighted_median_skew(spark: SparkSession, folder: str) -> DataFrame:
-    return votes.weighted_median(_skews(spark, folder).withColumn("phi", F.round("phi", 6)), ["page_id"], "phi", "length").select("page_id", (F.round("median", 3) + 0.0).alias("median"))
+    return votes.weighted_median(_skews(spark, folder).withColumn("phi", rounded("phi", 6)), ["page_id"], "phi", "length").select("page_id", (rounded("median", 3) + 0.0).alias("median"))
 
 
 def mean_skew(spark: SparkSession, folder: str) -> DataFrame:
     s = _skews(spark, folder).withColumn("label", F.when(F.col("label") == "TEXT", "V").otherwise("H"))
-    return votes.mean_skew(s, ["page_id"]).select("page_id", F.round("skew", 6).alias("skew"))
+    return votes.mean_skew(s, ["page_id"]).select("page_id", rounded("skew", 6).alias("skew"))
 
 
 def width_weighted(spark: SparkSession, folder: str) -> DataFrame:
     s = separators(spark, folder).withColumn("extent", F.abs(F.col("x1") - F.col("x0")) + F.abs(F.col("y1") - F.col("y0")))
-    return s.groupBy("label").agg(F.round(votes.weighted_mean("width", "extent"), 6).alias("width"))
+    return s.groupBy("label").agg(rounded(votes.weighted_mean("width", "extent"), 6).alias("width"))
 
 
 def majority_vote(spark: SparkSession, folder: str) -> DataFrame:
@@ -205,7 +206,7 @@ def confidence_argmax(spark: SparkSession, folder: str) -> DataFrame:
     """Label shares of each page's pixels, the best label and its lead over TEXT."""
     shares = votes.label_shares(boxes(spark, folder).withColumn("label", F.when(F.col("ord") == 7, "BACKGROUND").otherwise(F.col("label"))), ["page_id"])
     best = votes.predicted(F.col("confidence"), F.lit("TEXT"))
-    return shares.select("page_id", best.alias("p")).select("page_id", F.col("p.label").alias("label"), F.round("p.share", 6).alias("share"), F.round("p.error", 6).alias("error"))
+    return shares.select("page_id", best.alias("p")).select("page_id", F.col("p.label").alias("label"), rounded("p.share", 6).alias("share"), rounded("p.error", 6).alias("error"))
 
 
 def reclassify_lines(spark: SparkSession, folder: str) -> DataFrame:

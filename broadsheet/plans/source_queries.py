@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from broadsheet.functions import wkt
+from broadsheet.functions.numbers import rounded
 from broadsheet.functions.paths import NORMAL_PATH_SQL, normal_path
 from broadsheet.operators import geometry, sampling
 from broadsheet.plans.fixtures import PAGE_HEIGHT, PAGE_WIDTH, boxes, duck, ocr_lines
@@ -40,13 +41,13 @@ def _outlined(spark: SparkSession, folder: str) -> DataFrame:
 
 def wkt_bounds(spark: SparkSession, folder: str) -> DataFrame:
     rows = _outlined(spark, folder).withColumn("b", wkt.bounds(F.col("ring")))
-    return rows.select("row_id", "b.minx", "b.miny", "b.maxx", "b.maxy", F.round(wkt.ring_area(F.col("ring")), 3).alias("area"))
+    return rows.select("row_id", "b.minx", "b.miny", "b.maxx", "b.maxy", rounded(wkt.ring_area(F.col("ring")), 3).alias("area"))
 
 
 def convex_hulls(spark: SparkSession, folder: str) -> DataFrame:
     """Hull of all annotated lines of a block."""
     found = geometry.hulls(_outlined(spark, folder), ["page_path", "block_id"])
-    return found.select("page_path", "block_id", F.size("hull").alias("corners"), F.round("area", 3).alias("area"))
+    return found.select("page_path", "block_id", F.size("hull").alias("corners"), rounded("area", 3).alias("area"))
 
 
 def pagexml_write(spark: SparkSession, folder: str) -> DataFrame:
