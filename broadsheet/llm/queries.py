@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.functions.paths import main_page
+from broadsheet.functions.paths import NORMAL_PATH_SQL, main_page
 from broadsheet.llm import boilerplate, chars, grouping, leaks, overlap, repair, subjects, tokens
 from broadsheet.session import table
 
@@ -97,5 +97,19 @@ def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (p1_found, p1_report, p2_found, p2_text, p4_found, p6_found, p6_blocks, p6_clean, p7_found, p7_splits, p8_ids, p9_found, p9_passages, p10_found, p10_subjects, p10_composition)}
 
 
+# what the consistent form takes out or changes, as patterns
+ODD = r"[\x{ff01}-\x{ff5e}\x{ffe0}-\x{ffe6}\x{fb00}-\x{fb06}\x{a0}\x{1680}\x{2000}-\x{200f}\x{202a}-\x{202f}\x{205f}-\x{2064}\x{2066}-\x{206f}\x{3000}\x{ad}\x{61c}\x{180e}\x{feff}\x{34f}\x{fe00}-\x{fe0f}\x{2028}\x{2029}\x{85}\t\x0b\x0c]"
+MIXED = r"\p{Latin}\p{M}*[\p{Greek}\p{Cyrillic}]|[\p{Greek}\p{Cyrillic}]\p{M}*\p{Latin}"
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL of the queries that SQL can express; the others are tested against brute force."""
+    page = NORMAL_PATH_SQL.format("page_path")
+    return {
+        "p2_found": f"""SELECT tab, row_id FROM (SELECT 'ocr' AS tab, row_id, ocr_text AS t FROM ocr UNION ALL SELECT 'lines', row_id, annotation FROM lines)
+WHERE t IS NOT NULL AND (regexp_matches(t, '{ODD}') OR nfc_normalize(t) <> t OR regexp_matches(t, '{MIXED}'))""",
+        "p7_found": f"""WITH n AS (SELECT {page} AS p, coalesce(training, false) AS t, coalesce(validation, false) AS v FROM lines),
+m AS (SELECT coalesce(merged_into, string_split(p, '/')[1]) AS paper_code, TRY_CAST(regexp_extract(p, '/no0*([0-9]+)/', 1) AS BIGINT) AS issue_no, t, v
+  FROM n LEFT JOIN (SELECT paper_code, min(merged_into) AS merged_into FROM paper WHERE merged_into IS NOT NULL GROUP BY 1) c ON c.paper_code = string_split(p, '/')[1])
+SELECT paper_code, issue_no FROM m WHERE issue_no IS NOT NULL GROUP BY 1, 2 HAVING bool_or(t AND NOT v) AND bool_or(v AND NOT t)""",
+    }
