@@ -54,6 +54,7 @@ def tables() -> dict[str, np.ndarray]:
     lower = np.arange(BMP, dtype=np.uint32)
     letter, digit, latin, alien = (np.zeros(BMP, bool) for _ in range(4))
     pairs: dict[int, int] = {}
+    apart_start, apart_length, apart = np.zeros(BMP, np.int64), np.ones(BMP, np.int64), []
     for c in range(BMP):
         if 0xD800 <= c < 0xE000:
             continue
@@ -84,6 +85,9 @@ def tables() -> dict[str, np.ndarray]:
                 many = parts
             elif unicodedata.normalize("NFC", s) == s and max(parts) < BMP:
                 pairs[parts[0] << 16 | parts[1]] = c
+                full = [ord(x) for x in unicodedata.normalize("NFD", s)]
+                apart_start[c], apart_length[c] = len(apart), len(full)
+                apart += full
         if many and len(many) == 1:
             kind[c], to[c] = ONE, many[0]
         elif many:
@@ -96,7 +100,7 @@ def tables() -> dict[str, np.ndarray]:
         look[ord(a)] = ord(b)
     return {
         "kind": kind, "any": touch, "to": to, "start": start, "length": length, "flat": np.array(flat, np.uint32), "ccc": ccc, "lower": lower, "letter": letter, "digit": digit,
-        "latin": latin, "alien": alien, "look": look, "pair": keys, "composed": np.array([pairs[int(k)] for k in keys], np.uint32),
+        "apart_start": apart_start, "apart_length": apart_length, "apart": np.array(apart, np.uint32), "latin": latin, "alien": alien, "look": look, "pair": keys, "composed": np.array([pairs[int(k)] for k in keys], np.uint32),
     }
 
 
@@ -185,20 +189,18 @@ def ramp(size: np.ndarray) -> np.ndarray:
 
 def rewrite(cps: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     t, n = tables(), len(offs) - 1
+    was = row_hash(cps, offs)
     row = rows_of(offs)
-    changed = np.zeros(n, bool)
     ix = low(cps)
     kind = t["kind"][ix]
     if kind.any():
-        changed[row[kind > 0]] = True
         length = np.where(kind == DROP, 0, t["length"][ix])
         source = np.where(kind == ONE, t["to"][ix], cps).astype(np.uint32)
         cps, row = expand(source, row, length, t["start"][ix], t["flat"])
         ix = low(cps)
     ccc = t["ccc"][ix]
     if ccc.any():
-        cps, row, where = compose(cps, row, ccc)
-        changed[where] = True
+        cps, row = compose(cps, row, ccc)
         ix = low(cps)
     odd = t["alien"][ix]
     if odd.any():
@@ -210,23 +212,27 @@ def rewrite(cps: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         twin = np.bincount(word, odd & (t["look"][ix] > 0))
         mixed = (latin > 0) & (other > 0) & ((twin == other) | (latin > other))
         hit = odd & mixed[word]
-        changed[row[hit]] = True
         cps = np.where(hit & (t["look"][ix] > 0), t["look"][ix], cps).astype(np.uint32)
-    return cps, offsets(row, n), changed
+    offs = offsets(row, n)
+    return cps, offs, row_hash(cps, offs) != was
 
 
-def compose(cps: np.ndarray, row: np.ndarray, ccc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Composes marks with their base, one mark for every base a round, until none composes; also the rows changed."""
+def compose(cps: np.ndarray, row: np.ndarray, ccc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Letters before marks are taken apart, marks put in their canonical order and composed with their base, one mark for every
+    base a round, until none composes."""
     t = tables()
-    touched = []
-    run = np.cumsum(ccc == 0)
+    before_mark = np.concatenate(((ccc[1:] > 0) & (row[1:] == row[:-1]), [False])) & (ccc == 0)
+    length = np.where(before_mark, t["apart_length"][low(cps)], 1)
+    if (length > 1).any():
+        cps, row = expand(cps, row, length, t["apart_start"][low(cps)], t["apart"])
+        ccc = t["ccc"][low(cps)]
+    run = np.cumsum((ccc == 0) | np.concatenate(([True], row[1:] != row[:-1])))
     if ((ccc[1:] < ccc[:-1]) & (ccc[1:] > 0)).any():
         order = np.lexsort((np.arange(len(cps)), ccc, run))
-        cps, ccc, row, run = cps[order], ccc[order], row[order], run[order]
+        cps, ccc, row = cps[order], ccc[order], row[order]
     while True:
         at = np.flatnonzero(ccc)
-        index = np.arange(len(cps))
-        base = np.maximum.accumulate(np.where(ccc == 0, index, -1))[at]
+        base = np.maximum.accumulate(np.where(ccc == 0, np.arange(len(cps)), -1))[at]
         ok = (base >= 0) & (row[base] == row[at])
         ok &= (at - 1 == base) | (ccc[at - 1] < ccc[at])
         at, base = at[ok], base[ok]
@@ -241,13 +247,12 @@ def compose(cps: np.ndarray, row: np.ndarray, ccc: np.ndarray) -> tuple[np.ndarr
         base, at, found = base[hit], at[hit], found[hit]
         base, first = np.unique(base, return_index=True)
         at, found = at[first], found[first]
-        touched.append(row[at])
         cps = cps.copy()
         cps[base] = t["composed"][found]
         keep = np.ones(len(cps), bool)
         keep[at] = False
         cps, row, ccc = cps[keep], row[keep], ccc[keep]
-    return cps, row, np.concatenate(touched) if touched else np.zeros(0, int)
+    return cps, row
 
 
 # ---------------------------------------------------------------------------------------------------------------------

@@ -29,8 +29,8 @@ MAX_LETTERS = 8
 RARE_SHARE, RARE_WORDS = 0.6, 3
 #: Wordings that must hold a word before it counts as established.
 ESTABLISHED = 3
-#: A word is common, and no name, if one wording in so many holds it.
-COMMON = 500
+#: A word is common, and no name, if one wording in so many holds it, and so many do.
+COMMON, LEAST_COMMON = 500, 10
 
 
 def split_of(training, validation):
@@ -186,7 +186,7 @@ def overlaps(lines: DataFrame) -> DataFrame:
     told = write_shared(w.join(tell, ["split", "wording"]), "told")
     side = lambda name, split: told.filter(F.col("split") == split).select(F.col("wording").alias(name), F.col("plain").alias(name + "plain"), F.col("skels").alias(name + "skels"), F.col("n").alias(name + "n"))
     pairs = candidates(w).filter("v <> t").join(side("v", "validation"), "v").join(side("t", "training"), "t")
-    common = max(ESTABLISHED, told.count() // COMMON)
+    common = max(LEAST_COMMON, told.count() // COMMON)
     found = pairs.mapInPandas(comparer(common), "v bigint, t bigint, containment double")
     same = v.select(F.col("wording").alias("v"), F.col("wording").alias("t")).join(t.select(F.col("wording").alias("t")), "t", "left_semi").select("v", "t", F.lit(1.0).alias("containment"))
     found = write_shared(found.unionAll(same), "overlaps")

@@ -42,6 +42,11 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return repair.Repair(*(table(spark, folder, t) for t in ("ocr", "lines", "paper"))).defects()
 
 
+def p4_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """The text of every page as continuous paragraphs."""
+    return repair.Repair(*(table(spark, folder, t) for t in ("ocr", "lines", "paper"))).paragraphs()
+
+
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     return boilerplate.boilerplate(table(spark, folder, "ocr")).select("row_id")
 
@@ -94,7 +99,7 @@ def p10_composition(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p1_report, p2_found, p2_text, p4_found, p6_found, p6_blocks, p6_clean, p7_found, p7_splits, p8_ids, p9_found, p9_passages, p10_found, p10_subjects, p10_composition)}
+    return {f.__name__: f for f in (p1_found, p1_report, p2_found, p2_text, p4_found, p4_pages, p6_found, p6_blocks, p6_clean, p7_found, p7_splits, p8_ids, p9_found, p9_passages, p10_found, p10_subjects, p10_composition)}
 
 
 # what the consistent form takes out or changes, as patterns

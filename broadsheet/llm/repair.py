@@ -287,8 +287,8 @@ class Repair:
         f = prepared(rows_of(ocr, lines, paper))
         running = broadcast_if_small(write_shared(titles(f.filter("tab = 'ocr'")), "titles"))
         self.rows = write_shared(with_neighbours(with_headers(f, running)), "page-order")
-        vocab = write_shared(vocabulary(self.rows), "vocabulary")
-        self.misread = write_shared(misreadings(vocab), "misreadings")
+        self.vocab = write_shared(vocabulary(self.rows), "vocabulary")
+        self.misread = write_shared(misreadings(self.vocab), "misreadings")
 
     def misread_words(self) -> DataFrame:
         """(tab, row_id, word, right) of the misread words of each line."""
@@ -301,3 +301,57 @@ class Repair:
         plain = self.rows.select("tab", "row_id", F.explode(kinds).alias("kind"))
         bad = self.misread_words().select("tab", "row_id").distinct().withColumn("kind", F.lit("misread"))
         return plain.unionByName(bad)
+
+    def paragraphs(self) -> DataFrame:
+        """(page_path, text): each page as continuous paragraphs, without headers and page numbers, broken words joined, misread words put right.
+
+        A line loaded again counts once. A broken word loses its hyphen if it goes on in lower case or the corpus knows the joined
+        word; it keeps it before the words that keep it and in compounds the corpus does not know. A page's lines are brought
+        together, of which there are no more than on a sheet.
+        """
+        flows = self.rows.filter("tab = 'ocr' AND NOT is_header AND NOT is_pagenum AND text IS NOT NULL")
+        one = flows.groupBy("page", "place").agg(F.min_by(F.struct("row_id", "text", "broken", "after"), "row_id").alias("r")).select("page", "place", "r.*")
+        last = F.regexp_extract(F.lower("text"), r"([\p{L}\p{M}\p{N}|]+)[^\p{L}\p{M}\p{N}|]*$", 1)
+        word = F.when(F.col("broken") & (F.coalesce("after", F.lit("")) != ""), F.concat(last, F.col("after")))
+        known = self.vocab.filter("n > 1").select(F.col("word").alias("joined"), F.lit(True).alias("known"))
+        one = one.withColumn("joined", word).join(known, "joined", "left")
+        keeps = F.coalesce(F.col("after").isin(KEEP_BEFORE), F.lit(False))
+        lines = one.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("place", "text", "broken", keeps.alias("keeps"), F.coalesce("known", F.lit(False)).alias("known")))).alias("lines"))
+        fixes = self.misread_words().filter("tab = 'ocr' AND right IS NOT NULL").join(one.select("row_id", "page"), "row_id")
+        fixes = fixes.groupBy("page").agg(F.collect_set(F.struct("word", "right")).alias("fixes"))
+        ship(self.rows.sparkSession)
+
+        def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for f in frames:
+                yield pd.DataFrame({"page_path": f["page"], "text": [page_text(a, b) for a, b in zip(f["lines"], f["fixes"])]})
+
+        return lines.join(fixes, "page", "left").select("page", "lines", "fixes").mapInPandas(run, "page_path string, text string")
+
+
+TOKEN = re.compile(r"[\w|][\w|̀-ͯ]*")
+
+
+def page_text(lines: list[dict], fixes: list[dict] | None) -> str:
+    """The paragraphs of one page, blank lines between them; lines in reading order."""
+    right = {x["word"]: x["right"] for x in fixes} if fixes is not None else {}
+    out, block, open_word, out_known, out_keeps = "", None, False, False, False
+    for line in lines:
+        text = line["text"].strip()
+        if not text:
+            continue
+        now = line["place"] >> 24
+        if open_word:
+            out = out if text[:1].isupper() and not out_known else out.rstrip(HYPHENS)
+            out += text
+        else:
+            out += ("" if not out else " " if now == block or out_keeps else "\n\n") + text
+        block, out_known, out_keeps = now, line["known"], line["broken"] and line["keeps"]
+        open_word = line["broken"] and not line["keeps"]
+
+    def fix(m: re.Match) -> str:
+        word = right.get(m[0].lower())
+        if word is None:
+            return m[0]
+        return word.upper() if m[0].isupper() and len(m[0]) > 1 else word.capitalize() if m[0][:1].isupper() else word
+
+    return TOKEN.sub(fix, out) if right else out
