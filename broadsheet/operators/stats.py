@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from broadsheet.functions.numbers import rounded
 from broadsheet.operators.graph import connected_components
+from broadsheet.session import write_shared
 
 
 def elapsed(runs: DataFrame) -> DataFrame:
@@ -57,21 +60,39 @@ def position_signature(boxes: DataFrame, width: float, height: float, cells: int
     return rows.select("page_id", "block_id", "gx", "gy", rounded(share, 6).alias("share")).filter("share > 0")
 
 
+#: Vectors of one block that are compared with those of another in one task.
+BLOCK = 2000
+
+
 def l1_pairs(vectors: DataFrame, key: str, vector: str, threshold: int) -> DataFrame:
-    """(a, b, distance): vectors (ARRAY<INT>) whose L1 distance is at most ``threshold``, the smaller key first; equal vectors go
-    through one of them.
+    """(a, b, distance): vectors (ARRAY<INT> of one length) whose L1 distance is at most ``threshold``, the smaller key first; equal
+    vectors go through the one of the smallest key.
 
-    Whole numbers at distance t differ in t places at most, so of t + 1 parts of the vectors one at least is equal: pairs meet by an
-    equi-join on part and content, then the distance is checked.
+    The sums of two such vectors differ by at most the threshold, so vectors meet in bands of their sum, each in its own and the one
+    before. A band is cut into blocks by hash, and each pair of blocks is compared by one task in numpy, which gives near pairs only.
     """
-    parts = threshold + 1
     same = vectors.groupBy(vector).agg(F.min(key).alias("key")).select("key", F.col(vector).alias("v"))
-    n = F.size("v")
-    code = lambda k: F.struct(F.lit(k).alias("k"), F.xxhash64(F.slice("v", F.floor(n * k / parts).cast("int") + 1, F.floor(n * (k + 1) / parts).cast("int") - F.floor(n * k / parts).cast("int"))).alias("h"))
-    cut = same.withColumn("p", F.explode(F.array(*[code(k) for k in range(parts)])))
-    a, b = cut.select(F.col("key").alias("a"), F.col("v").alias("va"), "p"), cut.select(F.col("key").alias("b"), F.col("v").alias("vb"), "p")
-    distance = F.aggregate(F.zip_with("va", "vb", lambda x, y: F.abs(x - y)), F.lit(0), lambda acc, x: acc + x)
-    near = a.join(b, "p").filter("a < b").withColumn("distance", distance).filter(F.col("distance") <= threshold).select("a", "b", "distance").distinct()
+    kind = vectors.schema[key].dataType.simpleString()
+    band = F.floor(F.aggregate("v", F.lit(0), lambda a, x: a + x) / (threshold + 1))
+    rows = write_shared(same.withColumn("own", band).withColumn("band", F.explode(F.array("own", F.col("own") - 1))), "vectors")
+    blocks = rows.groupBy("band").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    cut = rows.join(blocks, "band").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cut = cut.select("band", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "own", "block", "key", "v")
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        v, own, block = np.stack(pdf["v"]).astype(np.int32), pdf["own"].to_numpy(), pdf["block"].to_numpy()
+        keys, low, cross = pdf["key"].to_numpy(), pdf["band"].iloc[0], pdf["p"].iloc[0] != pdf["q"].iloc[0]
+        out = []
+        for i in range(len(v) - 1):
+            # of a pair one stands in the lower band of the two; a pair of one block is met by that block alone
+            fits = ((own[i] == low) | (own[i + 1 :] == low)) & ((block[i] != block[i + 1 :]) if cross else True)
+            j = i + 1 + np.flatnonzero(fits)
+            d = np.abs(v[j] - v[i]).sum(1)
+            near = d <= threshold
+            out += [(min(keys[i], b), max(keys[i], b), int(n)) for b, n in zip(keys[j[near]], d[near])]
+        return pd.DataFrame(out, columns=["a", "b", "distance"])
+
+    near = cut.groupBy("band", "p", "q").applyInPandas(compare, f"a {kind}, b {kind}, distance int")
     copies = vectors.withColumnRenamed(vector, "v").join(same, "v").filter(F.col(key) != F.col("key")).select(F.col("key").alias("a"), F.col(key).alias("b"), F.lit(0).alias("distance"))
     return near.unionAll(copies)
 

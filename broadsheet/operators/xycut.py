@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from broadsheet.operators.grouped import each_group
+
 #: Extent added to a box that has none.
 MIN_EXTENT = 0.1
 #: A separator gap is looked at with this margin.
@@ -155,25 +157,31 @@ def reading_order(boxes: DataFrame, keys: list[str], item: str, score: str = "wi
     """
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in boxes.schema.fields if f.name in [*keys, item]) + ", `rank` int, `group` int"
 
-    def order(pdf: pd.DataFrame, seps: pd.DataFrame | None) -> pd.DataFrame:
-        pdf = pdf.dropna(subset=["minx", "miny", "maxx", "maxy"]).sort_values(item, kind="stable").reset_index(drop=True)
-        b = pdf[["minx", "miny", "maxx", "maxy"]].to_numpy(float)
-        x0, y0 = np.minimum(b[:, 0] + fringe, b[:, 2]), np.minimum(b[:, 1] + fringe, b[:, 3])
-        b = np.column_stack((x0, y0, np.maximum(b[:, 2] - fringe, x0), np.maximum(b[:, 3] - fringe, y0))) if fringe else b
+    def order(c: dict[str, np.ndarray], seps: pd.DataFrame | None) -> dict[str, np.ndarray]:
+        b = np.stack([c[k].astype(float) for k in ("minx", "miny", "maxx", "maxy")], 1)
+        index = np.flatnonzero(~np.isnan(b).any(1))
+        index = index[np.argsort(c[item][index], kind="stable")]
+        b = b[index]
+        if fringe:
+            x0, y0 = np.minimum(b[:, 0] + fringe, b[:, 2]), np.minimum(b[:, 1] + fringe, b[:, 3])
+            b = np.column_stack((x0, y0, np.maximum(b[:, 2] - fringe, x0), np.maximum(b[:, 3] - fringe, y0)))
         value = SCORES.get(score)
         if value is None:
             s = seps if seps is not None else pd.DataFrame(columns=["x0", "y0", "x1", "y1", "label", "width"])
             value = obstacle_score(s[["x0", "y0", "x1", "y1"]].to_numpy(float), s["label"].tolist(), s["width"].to_numpy(float))
         groups = cut_order(b, value, grouped=grouped)
-        flat = [(i, g) for g, members in enumerate(groups) for i in members]
-        index = [i for i, _ in flat]
-        out = pdf.iloc[index][[*keys, item]].reset_index(drop=True)
-        return out.assign(rank=np.arange(len(out), dtype=np.int32), group=np.array([g for _, g in flat], np.int32))
+        flat = index[[i for members in groups for i in members]] if len(index) else index
+        number = np.repeat(np.arange(len(groups)), [len(g) for g in groups]) if groups else np.zeros(0, int)
+        return {k: c[k][flat] for k in [*keys, item]} | {"rank": np.arange(len(flat), dtype=np.int32), "group": number.astype(np.int32)}
 
     needed = boxes.select(*keys, item, "minx", "miny", "maxx", "maxy")
     if separators is None:
-        return needed.groupBy(*keys).applyInPandas(lambda pdf: order(pdf, None), schema)
-    return needed.groupBy(*keys).cogroup(separators.groupBy(*keys)).applyInPandas(lambda a, b: order(a, b) if len(a) else pd.DataFrame(columns=[*keys, item, "rank", "group"]), schema)
+        return each_group(needed, keys, schema, lambda c: order(c, None))
+
+    def with_separators(pdf: pd.DataFrame, seps: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(order({c: pdf[c].to_numpy() for c in pdf.columns}, seps))
+
+    return needed.groupBy(*keys).cogroup(separators.groupBy(*keys)).applyInPandas(with_separators, schema)
 
 
 def first_gap(boxes: DataFrame, keys: list[str], axis: str = "y") -> DataFrame:
