@@ -260,7 +260,7 @@ def compose(cps: np.ndarray, row: np.ndarray, ccc: np.ndarray) -> tuple[np.ndarr
 
 # Letters and signs that scanning confuses, each with the class that stands for them.
 CONFUSED = {
-    "e": "c", "u": "n", "r": "t", "k": "t", "f": "s", "ſ": "s", "5": "s", "h": "b", "6": "b", "é": "b", "ß": "b", "8": "b", "l": "i", "1": "i", "|": "i", "!": "i", "q": "g", "9": "g",
+    "e": "c", "u": "n", "r": "t", "k": "t", "f": "s", "ſ": "s", "5": "s", "h": "b", "6": "b", "é": "b", "ß": "b", "8": "b", "l": "i", "1": "i", "|": "i", "q": "g", "9": "g",
     "0": "o", "v": "o", "p": "o", "m": "tn", "d": "ci", "w": "oo", "ü": "ii", "ä": "ii",
 }
 

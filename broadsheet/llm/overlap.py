@@ -50,7 +50,7 @@ def with_words(df: DataFrame, column: str) -> DataFrame:
         for b in batches:
             cps, offs, _ = canonical(*decode(b.column(column)))
             ix, row, n = low(cps), rows_of(offs), len(offs) - 1
-            solid = t["letter"][ix] | t["digit"][ix] | (t["ccc"][ix] > 0)
+            solid = t["letter"][ix] | t["digit"][ix] | (t["ccc"][ix] > 0) | (cps == 124)  # a bar is a misread l
             gap = ~solid & np.concatenate(([False], solid[:-1] & (row[1:] == row[:-1])))
             keep = solid | gap
             plain = np.where(solid, t["lower"][ix], 32)[keep].astype(np.uint32)
@@ -150,7 +150,7 @@ def wordings(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows: row_id, page_path, split, wording), (wordings: split, wording, plain, skels), written to the shared folder."""
     rows = lines.withColumn("split", split_of(F.col("training"), F.col("validation"))).filter(F.col("split").isNotNull() & (F.trim(F.coalesce("annotation", F.lit(""))) != ""))
     rows = with_words(rows.select("row_id", "page_path", "split", "annotation"), "annotation")
-    rows = rows.withColumn("plain", F.trim("plain")).withColumn("skels", F.trim("skels")).filter("plain <> ''")
+    rows = rows.withColumn("plain", F.trim("plain")).withColumn("skels", F.trim("skels")).filter(F.col("plain").rlike(r"[\p{L}\p{N}]"))
     rows = write_shared(rows.withColumn("wording", F.xxhash64("plain")), "annotations")
     return rows.select("row_id", "page_path", "split", "wording"), write_shared(rows.groupBy("split", "wording").agg(F.first("plain").alias("plain"), F.first("skels").alias("skels")), "wordings")
 
