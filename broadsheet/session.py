@@ -38,17 +38,31 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: Tables that this driver has written to the shared folder.
+_written: list[str] = []
+
+
 def write_shared(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` once as Parquet into the shared folder and reads it back.
 
-    It cuts the lineage: a lost executor costs its tasks, not the plan before it.
+    It cuts the lineage: a lost executor costs its tasks, not the plan before it. ``clear_shared`` removes the tables.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clear_shared(spark: SparkSession) -> int:
+    """Removes the tables that ``write_shared`` has made; for when no result that reads them is needed any more. Gives their number."""
+    hadoop, n = spark._jvm.org.apache.hadoop.fs.Path, len(_written)
+    while _written:
+        p = hadoop(_written.pop())
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    return n
+
+
 def size_of(df: DataFrame) -> int:
     """Bytes on disk of a DataFrame read from files."""
     spark = df.sparkSession

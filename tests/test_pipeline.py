@@ -116,3 +116,14 @@ def test_state_survives_failures_and_is_swapped_once(spark, tmp_path):
     assert state.commit(rows("a", "b"), 1)
     assert not state.commit(rows("a", "c"), 1)
     assert {r["key"] for r in state.read().collect()} == {"a", "b"} and state.version() == 2
+
+
+def test_shared_tables_can_be_cleared(spark):
+    from broadsheet.session import clear_shared, write_shared
+
+    df = write_shared(spark.range(5), "five")
+    files = df.inputFiles()
+    assert df.count() == 5 and clear_shared(spark) >= 1
+    from pathlib import Path
+
+    assert not any(Path(f.removeprefix("file://")).exists() for f in files) and clear_shared(spark) == 0
