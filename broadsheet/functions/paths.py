@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from broadsheet.session import write_shared
+
 
 def normal_path(path: Column) -> Column:
     """``path`` as a file system resolves it: no empty or ``.`` steps, ``..`` taken back, outer spaces cut.
@@ -48,14 +50,21 @@ def page_of(page_path: Column) -> Column:
     return F.regexp_extract(page_path, r"/0*(\d+)\.[A-Za-z]+$", 1).try_cast("bigint")
 
 
-def merged_codes(paper: DataFrame, hops: int = 4) -> DataFrame:
-    """(alias, main) of every paper code that is another name, followed over ``hops`` renamings at most."""
-    links = paper.filter(F.col("merged_into").isNotNull()).groupBy(F.col("paper_code").alias("alias")).agg(F.min("merged_into").alias("main"))
-    out = links
-    for _ in range(hops - 1):
+def merged_codes(paper: DataFrame) -> DataFrame:
+    """(alias, main) of every paper code that is another name, renamings followed to their end.
+
+    Chains are shortened by doubling until none leads on. A code that leads into a circle of codes keeps its own name.
+    """
+    links = write_shared(paper.filter("merged_into IS NOT NULL AND paper_code IS NOT NULL AND merged_into <> paper_code").groupBy(F.col("paper_code").alias("alias")).agg(F.min("merged_into").alias("main")), "codes")
+    reach, most = 1, None
+    while True:
         nxt = links.select(F.col("alias").alias("__a"), F.col("main").alias("__m"))
-        out = out.join(nxt, out["main"] == nxt["__a"], "left").select("alias", F.coalesce("__m", "main").alias("main"))
-    return out
+        if links.join(nxt, F.col("main") == F.col("__a"), "left_semi").isEmpty():
+            return links
+        most = most or links.count()
+        if reach > most:
+            return links.join(nxt, F.col("main") == F.col("__a"), "left_anti")
+        links, reach = write_shared(links.join(nxt, F.col("main") == F.col("__a"), "left").select("alias", F.coalesce("__m", "main").alias("main")), "codes"), 2 * reach
 
 
 def main_page(df: DataFrame, paper: DataFrame, column: str = "page_path", out: str = "page") -> DataFrame:

@@ -8,7 +8,7 @@
    all files spreads over many tasks. The first row after a partition's end is fetched from a table of one row for each partition.
 3. The plan is SQL over the manifest: bytes of the kept files are summed in order (within partitions, then partition totals, of
    which there are as many as tasks), and every ``target_bytes`` begin a new group.
-4. ``rewrite`` writes each group as one file and ``reconcile`` compares counts and bytes.
+4. ``rewrite`` gives each group to one task as one file, in waves of ``WAVE`` groups, and ``reconcile`` compares counts and bytes.
 
 A NULL text reads as empty, a NULL path is a place of its own for every file and is kept. An empty table gives no row.
 """
@@ -20,9 +20,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from broadsheet.functions.paths import normal_path
-from broadsheet.session import write_shared
+from broadsheet.session import broadcast_if_small, write_shared
 
 TARGET_BYTES = 128 << 20
+#: Groups written by one job; it bounds the tasks of a job, not the groups.
+WAVE = 20_000
 
 
 def record_text(text: Column) -> Column:
@@ -52,7 +54,7 @@ def with_role(manifest: DataFrame) -> DataFrame:
     ends = ends.select("part", F.lead("first").over(order).alias("following"), F.lag("last").over(order).alias("preceding"))
     within = W.partitionBy("part").orderBy("seq")
     same = lambda a, b: (a["place"] == b["place"]) & (a["record"] == b["record"])
-    rows = manifest.join(F.broadcast(ends), "part")
+    rows = manifest.join(broadcast_if_small(write_shared(ends, "partition-ends")), "part")
     me = F.struct("place", "record")
     before = F.coalesce(F.lag(me).over(within), F.col("preceding"))
     after = F.coalesce(F.lead(me).over(within), F.col("following"))
@@ -84,11 +86,22 @@ def plan(manifest: DataFrame, target_bytes: int = TARGET_BYTES) -> DataFrame:
     return rows.withColumn("group", group).select("file_id", "place", "record", "n_bytes", "size", "kept", "group")
 
 
-def rewrite(planned: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Writes the kept records, each group by one task as one file."""
-    kept = planned.filter("kept")
+def written_plan(manifest: DataFrame, target_bytes: int = TARGET_BYTES) -> DataFrame:
+    """The plan, written to the shared folder: what ``rewrite`` and ``reconcile`` read."""
+    return write_shared(plan(manifest, target_bytes), "plan")
+
+
+def rewrite(planned: DataFrame, path: str, fmt: str = "parquet", wave: int = WAVE) -> None:
+    """Writes the kept records of a plan read from files, each group by one task as one file; ``group`` stays a column.
+
+    Every wave is a job over a stretch of groups, which lie together in the plan, so that it reads that stretch only.
+    """
+    kept = planned.filter("kept").select("place", "record", "file_id", "group")
     groups = kept.agg(F.coalesce(F.max("group"), F.lit(-1))).first()[0] + 1
-    kept.repartition(max(1, groups), "group").sortWithinPartitions("group", "place").select("place", "record", "file_id", "group").write.format(fmt).partitionBy("group").save(path)
+    for start in range(0, max(1, groups), wave):
+        n = min(wave, max(1, groups) - start)
+        part = kept.filter(F.col("group").between(start, start + n - 1))
+        part.repartitionById(n, (F.col("group") - start).cast("int")).sortWithinPartitions("place", "record").write.format(fmt).mode("append" if start else "errorifexists").save(path)
 
 
 def reconcile(planned: DataFrame, written: DataFrame) -> DataFrame:
@@ -101,4 +114,4 @@ def reconcile(planned: DataFrame, written: DataFrame) -> DataFrame:
 
 def superfluous(files: DataFrame, target_bytes: int = TARGET_BYTES) -> DataFrame:
     """(file_id) of the files that give no record of their own, from the plan."""
-    return plan(frozen_manifest(files), target_bytes).filter("NOT kept").select("file_id")
+    return plan(frozen_manifest(files), target_bytes).filter("group IS NULL").select("file_id")

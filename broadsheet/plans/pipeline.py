@@ -10,7 +10,7 @@ from broadsheet.operators import compaction, incremental
 from broadsheet.session import shared_dir, table
 
 #: Size of the files that p3_rewrite writes; small, as the test tables are.
-REWRITE_BYTES = 4 << 20
+REWRITE_BYTES = 64 << 10
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -27,7 +27,7 @@ def p3_rewrite(spark: SparkSession, folder: str) -> DataFrame:
     """Rewrites the files in groups and reconciles the result with the plan."""
     import uuid
 
-    planned = compaction.plan(compaction.frozen_manifest(table(spark, folder, "ocr_file")), REWRITE_BYTES)
+    planned = compaction.written_plan(compaction.frozen_manifest(table(spark, folder, "ocr_file")), REWRITE_BYTES)
     path = f"{shared_dir(spark)}/compacted-{uuid.uuid4().hex}"
     compaction.rewrite(planned, path)
     return compaction.reconcile(planned, spark.read.parquet(path)).filter("group IS NOT NULL")
@@ -64,6 +64,10 @@ r AS (SELECT regexp_replace(lower({NORMAL_PATH_SQL.format("page_path")}), '^/',
 SELECT path FROM last WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.key = regexp_replace(lower(last.path), '^/?archive/', '') AND r.started_at >= last.at)"""
     return {
         "p3_found": f"WITH {P3_ROWS} SELECT file_id FROM ocr_file WHERE file_id NOT IN (SELECT file_id FROM kept)",
+        "p3_plan": f"""WITH {P3_ROWS}, s AS (SELECT strlen(record) + 1 AS size, sum(strlen(record) + 1) OVER (ORDER BY place, record ROWS UNBOUNDED PRECEDING) - strlen(record) - 1 AS running FROM kept)
+SELECT CAST(running // {REWRITE_BYTES} AS BIGINT) AS "group", count(*) AS n_records, CAST(sum(size) AS BIGINT) AS n_bytes FROM s GROUP BY 1""",
+        "p3_rewrite": f"""WITH {P3_ROWS}, s AS (SELECT sum(strlen(record) + 1) OVER (ORDER BY place, record ROWS UNBOUNDED PRECEDING) - strlen(record) - 1 AS running FROM kept)
+SELECT CAST(running // {REWRITE_BYTES} AS BIGINT) AS "group", count(*) AS n_planned, count(*) AS n_written, true AS ok FROM s GROUP BY 1""",
         "p3_records": f"WITH {P3_ROWS} SELECT * FROM kept",
         "p5_found": p5,
     }

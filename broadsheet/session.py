@@ -9,7 +9,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Largest side, in bytes of its serialised rows, that may be broadcast.
@@ -24,13 +24,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as the cluster names it in spark.checkpoint.dir.
 
-    Only where that setting is absent (tests, a single machine) a temporary folder takes its place.
+    Only where that setting is absent and all tasks run on this machine a temporary folder takes its place; on a cluster, whose executors
+    could not see it, the absence is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
         found = spark.sparkContext._jsc.sc().getCheckpointDir()
         found = found.get() if found.isDefined() else None
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="broadsheet-")
         spark.conf.set("spark.checkpoint.dir", found)
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
@@ -79,6 +82,26 @@ def broadcast_if_small(df: DataFrame, factor: int = 8, limit: int = BROADCAST_LI
     return F.broadcast(df) if size_of(df) * factor <= limit else df
 
 
+def salted(many: DataFrame, few: DataFrame, on: list[str], part: Column, parts: int) -> DataFrame:
+    """Inner equi-join in which the rows of a key of ``many`` spread over ``parts`` tasks by ``part``; ``few`` is repeated for each."""
+    spread = many.withColumn("__part", F.pmod(F.xxhash64(part), F.lit(parts)).cast("int"))
+    return spread.join(few.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))), [*on, "__part"]).drop("__part")
+
+
+def hot_join(left: DataFrame, right: DataFrame, key: str, spread_left: str, hot: int = 20_000) -> DataFrame:
+    """Inner equi-join on ``key``; a key with more than ``hot`` rows of ``left`` is cut into parts of ``hot`` by a hash of ``spread_left``, and
+    the rows of ``right`` of that key are repeated for each part. All rows of all keys are joined; both sides should be read from files.
+    """
+    heavy = left.groupBy(key).agg(F.count("*").alias("__n")).filter(F.col("__n") > hot).select(key, F.ceil(F.col("__n") / hot).cast("int").alias("__parts"))
+    heavy = write_shared(heavy, "hot-keys")
+    if heavy.isEmpty():
+        return left.join(right, key)
+    heavy = broadcast_if_small(heavy)
+    a = left.join(heavy, key, "left").withColumn("__part", F.when(F.col("__parts").isNull(), 0).otherwise(F.pmod(F.xxhash64(spread_left), F.col("__parts")).cast("int"))).drop("__parts")
+    b = right.join(heavy, key, "left").withColumn("__part", F.explode(F.sequence(F.lit(0), F.coalesce("__parts", F.lit(1)) - 1))).drop("__parts")
+    return a.join(b, [key, "__part"]).drop("__part")
+
+
 def ship(spark: SparkSession) -> None:
     """Sends this package to the executors' Python workers, once a context."""
     sc = spark.sparkContext

@@ -20,8 +20,8 @@ def test_query(spark, con, name):
     if name in SQL:
         same(con, df, SQL[name])
     else:
-        assert df.count() >= 0
-        assert df.columns
+        rows = df.collect()
+        assert rows and len(set(map(str, rows))) > len(rows) // 2  # every column is computed, and they are not all one value
 
 
 def test_sql_belongs_to_queries():
