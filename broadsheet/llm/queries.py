@@ -67,10 +67,16 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
 
 def p7_splits(spark: SparkSession, folder: str) -> DataFrame:
     """The set of every annotation: each issue of a paper lies wholly in one."""
-    rows = grouping.issue_rows(table(spark, folder, "lines"), table(spark, folder, "paper"))
+    rows = grouping.record_keys(table(spark, folder, "lines"), table(spark, folder, "paper"))
     return grouping.splits(rows.select("row_id", "keys"), "row_id")
 
 
+def p7_related(spark: SparkSession, folder: str) -> DataFrame:
+    """The component of every annotation where issues that share a text belong together, too."""
+    rows = grouping.record_keys(table(spark, folder, "lines"), table(spark, folder, "paper"), ("issue", "text"))
+    return grouping.grouped(rows.select("row_id", "keys"), "row_id").select("row_id", "component")
+
+
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.encode_corpus(table(spark, folder, "documents"))
 
@@ -99,7 +105,7 @@ def p10_composition(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p1_report, p2_found, p2_text, p4_found, p4_pages, p6_found, p6_blocks, p6_clean, p7_found, p7_splits, p8_ids, p9_found, p9_passages, p10_found, p10_subjects, p10_composition)}
+    return {f.__name__: f for f in (p1_found, p1_report, p2_found, p2_text, p4_found, p4_pages, p6_found, p6_blocks, p6_clean, p7_found, p7_splits, p7_related, p8_ids, p9_found, p9_passages, p10_found, p10_subjects, p10_composition)}
 
 
 # what the consistent form takes out or changes, as patterns
@@ -110,11 +116,25 @@ MIXED = r"\p{Latin}\p{M}*[\p{Greek}\p{Cyrillic}]|[\p{Greek}\p{Cyrillic}]\p{M}*\p
 def oracle_sql() -> dict[str, str]:
     """SQL of the queries that SQL can express; the others are tested against brute force."""
     page = NORMAL_PATH_SQL.format("page_path")
+    rows = f"""n AS (SELECT row_id, {page} AS p, annotation, coalesce(training, false) AS t, coalesce(validation, false) AS v FROM lines),
+m AS (SELECT row_id, annotation, t, v, nullif(string_split(p, '/')[1], '') AS code, coalesce(merged_into, nullif(string_split(p, '/')[1], '')) AS paper_code, TRY_CAST(regexp_extract(p, '/no0*([0-9]+)/', 1) AS BIGINT) AS issue_no
+  FROM n LEFT JOIN (SELECT paper_code, min(merged_into) AS merged_into FROM paper WHERE merged_into IS NOT NULL GROUP BY 1) c ON c.paper_code = string_split(p, '/')[1])"""
     return {
         "p2_found": f"""SELECT tab, row_id FROM (SELECT 'ocr' AS tab, row_id, ocr_text AS t FROM ocr UNION ALL SELECT 'lines', row_id, annotation FROM lines)
 WHERE t IS NOT NULL AND (regexp_matches(t, '{ODD}') OR nfc_normalize(t) <> t OR regexp_matches(t, '{MIXED}'))""",
-        "p7_found": f"""WITH n AS (SELECT {page} AS p, coalesce(training, false) AS t, coalesce(validation, false) AS v FROM lines),
-m AS (SELECT coalesce(merged_into, string_split(p, '/')[1]) AS paper_code, TRY_CAST(regexp_extract(p, '/no0*([0-9]+)/', 1) AS BIGINT) AS issue_no, t, v
-  FROM n LEFT JOIN (SELECT paper_code, min(merged_into) AS merged_into FROM paper WHERE merged_into IS NOT NULL GROUP BY 1) c ON c.paper_code = string_split(p, '/')[1])
-SELECT paper_code, issue_no FROM m WHERE issue_no IS NOT NULL GROUP BY 1, 2 HAVING bool_or(t AND NOT v) AND bool_or(v AND NOT t)""",
+        "p7_found": f"""WITH {rows} SELECT paper_code, issue_no FROM m WHERE issue_no IS NOT NULL AND paper_code IS NOT NULL GROUP BY 1, 2 HAVING bool_or(t AND NOT v) AND bool_or(v AND NOT t)""",
+        # a component is named by its smallest key: the issue under the smallest of the names that occur, or under the main name
+        "p7_splits": f"""WITH {rows}, k AS (SELECT row_id, paper_code, issue_no, code FROM m),
+g AS (SELECT paper_code, issue_no, least('issue:' || min(code) || '/' || issue_no, 'issue:' || paper_code || '/' || issue_no) AS component FROM k WHERE issue_no IS NOT NULL AND paper_code IS NOT NULL GROUP BY paper_code, issue_no),
+r AS (SELECT row_id, coalesce(component, 'row:' || row_id) AS component FROM k LEFT JOIN g ON g.paper_code = k.paper_code AND g.issue_no = k.issue_no),
+s AS (SELECT component, count(*) AS n FROM r GROUP BY 1),
+c AS (SELECT component, (sum(n) OVER (ORDER BY md5('0:' || component), component) - n + n / 2) / sum(n) OVER () AS place FROM s)
+SELECT row_id, r.component, CASE WHEN place < 0.8 THEN 'train' WHEN place < {0.8 + 0.1!r} THEN 'validation' ELSE 'test' END AS split FROM r JOIN c ON c.component = r.component""",
+        "p7_related": f"""WITH RECURSIVE {rows},
+k AS (SELECT row_id, unnest(['issue:' || code || '/' || issue_no, 'issue:' || paper_code || '/' || issue_no, 'text:' || md5(nullif(regexp_replace(lower(annotation), '[^\\p{{L}}\\p{{N}}]+', '', 'g'), ''))]) AS key FROM m),
+e AS (SELECT DISTINCT a.key AS a, b.key AS b FROM (SELECT row_id, min(key) AS key FROM k WHERE key IS NOT NULL GROUP BY 1) a JOIN k b ON a.row_id = b.row_id AND b.key IS NOT NULL),
+u AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+w(key, other) AS (SELECT a, a FROM u UNION SELECT w.key, u.b FROM w JOIN u ON w.other = u.a),
+c AS (SELECT key, min(other) AS component FROM w GROUP BY key)
+SELECT m.row_id, coalesce(min(component), 'row:' || m.row_id) AS component FROM m LEFT JOIN k ON k.row_id = m.row_id LEFT JOIN c ON c.key = k.key GROUP BY m.row_id""",
     }

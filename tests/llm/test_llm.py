@@ -267,7 +267,9 @@ def test_boilerplate(spark):
 def test_components_against_union_find(spark):
     rng = random.Random(6)
     rows = [(k, [f"k{rng.randrange(400)}" for _ in range(rng.choice([0, 1, 1, 2, 3]))]) for k in range(300)] + [(1000 + k, ["hub", f"leaf{k}"]) for k in range(300)] + [(2000 + k, [f"c{k}", f"c{k + 1}"]) for k in range(60)]
-    got = {r["key"]: r["component"] for r in grouping.components(spark.createDataFrame(rows, "r bigint, keys array<string>"), "r").collect()}
+    found, rounds = grouping.components(spark.createDataFrame(rows, "r bigint, keys array<string>"))
+    assert rounds > 3
+    got = {r["key"]: r["component"] for r in found.collect()}
     parent = {}
 
     def root(x):
@@ -283,6 +285,25 @@ def test_components_against_union_find(spark):
     for k in parent:
         by[root(k)].add(got[k])
     assert all(len(v) == 1 for v in by.values()) and len({next(iter(v)) for v in by.values()}) == len(by)
+    assert all(min(k for k in parent if root(k) == r) == next(iter(v)) for r, v in list(by.items())[:40])
+
+
+def test_issues_of_merged_papers_and_odd_rows(spark):
+    lines = [
+        (1, "a/1850/no0012/jpg/1.jpg", "x", "A", True, False), (2, "b//1850/no12/jpg/2.jpg", "y", " a ", False, True), (3, "c/1850/no12/jpg/2.jpg", "X!", None, False, True), (4, None, None, "", True, None),
+        (5, "a/1850/jpg/1.jpg", "", "B", True, False), (6, "a/1850/no13/jpg/1.jpg", "z", "b", True, True), (7, "a/1850/no13/jpg/1.jpg", "z", "b", True, False), (8, "d/1850/no12/jpg/1.jpg", "q", "d", None, True),
+    ]
+    df = spark.createDataFrame([(*x, "clash", "clash") for x in lines], "row_id bigint, page_path string, annotation string, author string, training boolean, validation boolean, main string, keys string")
+    paper = spark.createDataFrame([("a", "T", "b"), ("b", "T", "d"), ("c", "T", None), ("d", "T", None)], "paper_code string, title string, merged_into string")
+    assert {tuple(r) for r in grouping.mixed_issues(df, paper).collect()} == {("d", 12)}
+    by = lambda *names: {r["row_id"]: r["component"] for r in grouping.grouped(grouping.record_keys(df, paper, names).select("row_id", "keys"), "row_id").collect()}
+    one = by("issue")
+    assert one[1] == one[2] == one[8] == "issue:a/12" and one[3] == "issue:c/12" and one[4] == "row:4" and one[5] == "row:5" and one[6] == one[7]
+    two = by("issue", "text")
+    assert two[3] == two[1] and two[6] != two[1]
+    three = by("issue", "author")
+    assert three[1] == three[2] and three[5] == three[6] and three[3] != three[1]
+    assert grouping.mixed_issues(df.limit(0), paper.limit(0)).count() == 0
 
 
 def test_splits(spark):
