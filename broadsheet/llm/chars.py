@@ -9,7 +9,8 @@ lookup table, an expansion by offsets or a vectorised composition of marks; no s
 * a letter of another script inside a Latin word becomes the Latin letter of the same look.
 
 Fractions, long s, ae and oe, quotes, dashes, words wholly in another script and accents without a single character stay.
-NULL stays NULL, an empty text stays empty; neither counts as changed.
+NULL stays NULL, an empty text stays empty; neither counts as changed. The tables cover the basic plane; characters beyond it (rare
+scripts, emoji, mathematical alphabets) are kept as they are.
 """
 
 from __future__ import annotations
@@ -142,7 +143,7 @@ def offsets(row: np.ndarray, n: int) -> np.ndarray:
     return np.concatenate(([0], np.cumsum(np.bincount(row, minlength=n)))).astype(np.int64)
 
 
-def expand(cps: np.ndarray, row: np.ndarray, length: np.ndarray, first: np.ndarray, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def expand(cps: np.ndarray, src: np.ndarray, length: np.ndarray, first: np.ndarray, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Replaces the characters of ``length`` other than 1 by the run of ``flat`` that begins at ``first``."""
     total = int(length.sum())
     base = np.repeat(np.cumsum(length) - length, length)
@@ -150,11 +151,11 @@ def expand(cps: np.ndarray, row: np.ndarray, length: np.ndarray, first: np.ndarr
     out = np.repeat(cps, length)
     many = np.repeat(length != 1, length)
     out[many] = flat[(np.repeat(first, length) + step)[many]]
-    return out, np.repeat(row, length)
+    return out, np.repeat(src, length)
 
 
-def canonical(cps: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(code points, offsets, changed rows) of the consistent form.
+def canonical(cps: np.ndarray, offs: np.ndarray, source: bool = False):
+    """(code points, offsets, changed rows) of the consistent form; with ``source`` also the place in ``cps`` each code point came from.
 
     Rows without any character that a rule could touch are left as they are; the others are gathered, rewritten together
     and put back by offsets.
@@ -163,11 +164,11 @@ def canonical(cps: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray
     changed = np.zeros(n, bool)
     hit = tables()["any"][low(cps)]
     if not hit.any():
-        return cps, offs, changed
+        return (cps, offs, changed, np.arange(len(cps))) if source else (cps, offs, changed)
     ids = np.unique(np.searchsorted(offs, np.flatnonzero(hit), "right") - 1)
     size = np.diff(offs)
     take = np.repeat(offs[ids], size[ids]) + ramp(size[ids])
-    part, poffs, diff = rewrite(cps[take], np.concatenate(([0], np.cumsum(size[ids]))))
+    part, poffs, diff, psrc = rewrite(cps[take], np.concatenate(([0], np.cumsum(size[ids]))))
     changed[ids] = diff
     new = size.copy()
     new[ids] = np.diff(poffs)
@@ -179,7 +180,11 @@ def canonical(cps: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray
     free[np.repeat(out_offs[ids], new[ids]) + ramp(new[ids])] = False
     out[free] = cps[rest]
     out[~free] = part
-    return out, out_offs, changed
+    if not source:
+        return out, out_offs, changed
+    src = np.empty(len(out), np.int64)
+    src[free], src[~free] = np.flatnonzero(rest), take[psrc]
+    return out, out_offs, changed, src
 
 
 def ramp(size: np.ndarray) -> np.ndarray:
@@ -187,21 +192,24 @@ def ramp(size: np.ndarray) -> np.ndarray:
     return np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
 
 
-def rewrite(cps: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def rewrite(cps: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(code points, offsets, changed rows, the place each code point came from)."""
     t, n = tables(), len(offs) - 1
     was = row_hash(cps, offs)
-    row = rows_of(offs)
+    base = rows_of(offs)
+    src = np.arange(len(cps))
     ix = low(cps)
     kind = t["kind"][ix]
     if kind.any():
         length = np.where(kind == DROP, 0, t["length"][ix])
         source = np.where(kind == ONE, t["to"][ix], cps).astype(np.uint32)
-        cps, row = expand(source, row, length, t["start"][ix], t["flat"])
+        cps, src = expand(source, src, length, t["start"][ix], t["flat"])
         ix = low(cps)
     ccc = t["ccc"][ix]
     if ccc.any():
-        cps, row = compose(cps, row, ccc)
+        cps, src = compose(cps, src, base, ccc)
         ix = low(cps)
+    row = base[src]
     odd = t["alien"][ix]
     if odd.any():
         inside = t["letter"][ix] | (t["ccc"][ix] > 0)
@@ -214,22 +222,23 @@ def rewrite(cps: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         hit = odd & mixed[word]
         cps = np.where(hit & (t["look"][ix] > 0), t["look"][ix], cps).astype(np.uint32)
     offs = offsets(row, n)
-    return cps, offs, row_hash(cps, offs) != was
+    return cps, offs, row_hash(cps, offs) != was, src
 
 
-def compose(cps: np.ndarray, row: np.ndarray, ccc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def compose(cps: np.ndarray, src: np.ndarray, rows: np.ndarray, ccc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Letters before marks are taken apart, marks put in their canonical order and composed with their base, one mark for every
     base a round, until none composes."""
     t = tables()
+    row = rows[src]
     before_mark = np.concatenate(((ccc[1:] > 0) & (row[1:] == row[:-1]), [False])) & (ccc == 0)
     length = np.where(before_mark, t["apart_length"][low(cps)], 1)
     if (length > 1).any():
-        cps, row = expand(cps, row, length, t["apart_start"][low(cps)], t["apart"])
-        ccc = t["ccc"][low(cps)]
+        cps, src = expand(cps, src, length, t["apart_start"][low(cps)], t["apart"])
+        ccc, row = t["ccc"][low(cps)], rows[src]
     run = np.cumsum((ccc == 0) | np.concatenate(([True], row[1:] != row[:-1])))
     if ((ccc[1:] < ccc[:-1]) & (ccc[1:] > 0)).any():
         order = np.lexsort((np.arange(len(cps)), ccc, run))
-        cps, ccc, row = cps[order], ccc[order], row[order]
+        cps, ccc, src, row = cps[order], ccc[order], src[order], row[order]
     while True:
         at = np.flatnonzero(ccc)
         base = np.maximum.accumulate(np.where(ccc == 0, np.arange(len(cps)), -1))[at]
@@ -251,8 +260,8 @@ def compose(cps: np.ndarray, row: np.ndarray, ccc: np.ndarray) -> tuple[np.ndarr
         cps[base] = t["composed"][found]
         keep = np.ones(len(cps), bool)
         keep[at] = False
-        cps, row, ccc = cps[keep], row[keep], ccc[keep]
-    return cps, row
+        cps, src, row, ccc = cps[keep], src[keep], row[keep], ccc[keep]
+    return cps, src
 
 
 # ---------------------------------------------------------------------------------------------------------------------

@@ -1,19 +1,20 @@
 """Problem 9: passages of held-out items inside corpus documents.
 
 The items' texts become skeletons (``chars.skeleton``): case, spacing, punctuation, broken words, invisible characters,
-look-alike letters and most misread letters are gone. Every three successive words of an item are one pattern of a single
-Aho-Corasick automaton; each document's skeleton is scanned once. From each hit the run of item words is followed to both
-sides, word by word, with a small edit distance for a misread word and a short gap for an inserted mark. A document leaks an item if
-one run has at least ``MIN_WORDS`` words. Offsets lead back to the original text.
-
-A NULL, empty or blank text leaks nothing. Items are a held-out set of fixed size; they are taken in blocks of
-``BLOCK_ITEMS`` so that any number of them can be given, each block with an automaton of its own over all documents.
+look-alike letters and most misread letters are gone. Every three successive words of an item (more, if they are very short) are one
+pattern of a single Aho-Corasick automaton over all items; each document's skeleton is scanned once. From each hit the run of item words
+is followed to both sides, word by word, with a small edit distance for a misread word and a short gap for an inserted mark. A document
+leaks an item if one run has at least ``MIN_WORDS`` words. Offsets lead back to the original text: every step from the original to the
+skeleton carries along where a character came from.
+
+A NULL, empty or blank text leaks nothing. The items are a held-out set; they are sent to every executor once and an executor's worker builds
+the automaton once. Its memory grows with the items, so beyond ``ITEM_CHARS`` characters of items it is built and used in parts of that
+size, one after the other over each batch of documents; the documents are read once all the same.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import ahocorasick
 import numpy as np
@@ -27,20 +28,24 @@ from broadsheet.session import ship
 MIN_WORDS = 15
 #: Successive item words of one pattern.
 PATTERN_WORDS = 3
-#: Items of one automaton.
-BLOCK_ITEMS = 2000
+#: Letters that a pattern has at least; very short words are taken together until they have as many.
+PATTERN_LETTERS = 6
+#: Characters of the items of one automaton: some 100 bytes of memory each. It bounds memory, not results.
+ITEM_CHARS = 4 << 20
 #: Characters an inserted mark may add between two words.
 GAP = 8
 
 Item = tuple[int, str, list[int]]
 
 
-def skeletons(texts: pa.Array) -> tuple[list[str], list[np.ndarray], np.ndarray]:
-    """(skeleton without spaces, for each of its characters the place in the canonical text) of each row."""
-    cps, offs, _ = canonical(*decode(texts))
+def skeletons(texts: pa.Array) -> tuple[list[str], list[np.ndarray]]:
+    """(skeleton without spaces, for each of its characters its place in the original text) of each row."""
+    cps, first = decode(texts)
+    cps, offs, _, origin = canonical(cps, first, source=True)
     out, at, src = skeleton(cps, offs, source=True)
     big = out.astype("<u4").tobytes()
-    return [big[4 * a : 4 * b].decode("utf-32-le") for a, b in zip(at[:-1], at[1:])], [src[a:b] for a, b in zip(at[:-1], at[1:])], offs
+    place = origin[src] if len(src) else src
+    return [big[4 * a : 4 * b].decode("utf-32-le") for a, b in zip(at[:-1], at[1:])], [place[a:b] - o for a, b, o in zip(at[:-1], at[1:], first)]
 
 
 def item_words(texts: list[str]) -> list[tuple[str, list[int]]]:
@@ -62,9 +67,12 @@ def automaton(items: list[Item]) -> ahocorasick.Automaton:
     found: dict[str, list[tuple[int, int]]] = {}
     for n, (_, text, ends) in enumerate(items):
         for k in range(len(ends) - PATTERN_WORDS):
-            piece = text[ends[k] + 1 : ends[k + PATTERN_WORDS] - 1]
-            if len(piece) >= 6:
-                found.setdefault(piece, []).append((n, k))
+            for z in range(k + PATTERN_WORDS, len(ends)):
+                # a letter at either end may have melted into the word beside it
+                piece = text[ends[k] + 1 : ends[z] - 1]
+                if len(piece) >= PATTERN_LETTERS:
+                    found.setdefault(piece, []).append((n, k))
+                    break
     auto = ahocorasick.Automaton()
     for piece, places in found.items():
         auto.add_word(piece, (len(piece), places))
@@ -133,44 +141,60 @@ def leaks_of(text: str, items: list[Item], auto: ahocorasick.Automaton, back: li
     return out
 
 
-def leaks(documents: DataFrame, test_items: DataFrame, least: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, item_id, words, begin, end): the longest run of each item in each document, offsets into the canonical text."""
+class Scanner:
+    """Automata over all items, a part of ``ITEM_CHARS`` each, and the items mirrored for the way to the left."""
+
+    def __init__(self, items: list[Item], least: int, chars: int = ITEM_CHARS):
+        self.least, self.parts = least, []
+        start, size = 0, 0
+        for k, (_, text, _) in enumerate([*items, (0, " " * (chars + 1), [])]):
+            if k > start and size + len(text) > chars:
+                part = items[start:k]
+                self.parts.append((part, automaton(part), [(t[::-1], [len(t) - e for e in reversed(ends)]) for _, t, ends in part]))
+                start, size = k, 0
+            size += len(text)
+
+    def leaks_of(self, text: str) -> Iterator[tuple[int, int, int, int]]:
+        """(item, words, begin, end in the skeleton) of every item that leaks."""
+        for items, auto, back in self.parts:
+            if len(auto):
+                for n, found in leaks_of(text, items, auto, back, self.least).items():
+                    yield items[n][0], *found
+
+
+#: The scanner of this worker, by the broadcast it was built from.
+_scanners: dict[object, Scanner] = {}
+
+
+def scanner_of(sent) -> Scanner:
+    key = getattr(sent, "_path", None) or id(sent)
+    if key not in _scanners:
+        _scanners.clear()
+        _scanners[key] = Scanner(*sent.value)
+    return _scanners[key]
+
+
+def leaks(documents: DataFrame, test_items: DataFrame, least: int = MIN_WORDS, chars: int = ITEM_CHARS) -> DataFrame:
+    """(doc_id, item_id, words, begin, end): the longest run of each item in each document, offsets into the original text."""
     ship(documents.sparkSession)
-    rows = test_items.select("item_id", "text").filter(F.col("text").isNotNull() & F.col("item_id").isNotNull()).toLocalIterator()
-    blocks: list[list[Item]] = []
-    held: list[tuple[int, str]] = []
-
-    def close() -> None:
-        if held:
-            blocks.append([(i, *w) for (i, _), w in zip(held, item_words([t for _, t in held]))])
-            held.clear()
-
-    for r in rows:
-        held.append((r["item_id"], r["text"]))
-        if len(held) == BLOCK_ITEMS:
-            close()
-    close()
+    rows = [(r["item_id"], r["text"]) for r in test_items.select("item_id", "text").filter(F.col("text").isNotNull() & F.col("item_id").isNotNull()).toLocalIterator()]
     schema = "doc_id bigint, item_id bigint, words int, begin bigint, end bigint"
-    if not blocks:
+    if not rows:
         return documents.sparkSession.createDataFrame([], schema)
+    items = [(i, *w) for (i, _), w in zip(rows, item_words([t for _, t in rows]))]
+    sent = documents.sparkSession.sparkContext.broadcast((items, least, chars))
     docs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").filter(F.col("text").isNotNull())
-    return reduce(DataFrame.unionAll, [docs.mapInArrow(scanner(b, least), schema) for b in blocks])
-
 
-def scanner(items: list[Item], least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        auto = automaton(items)
-        back = [(t[::-1], [len(t) - e for e in reversed(ends)]) for _, t, ends in items]
+        scanner = scanner_of(sent)
         for b in batches:
             found: list[tuple[int, int, int, int, int]] = []
-            if len(auto):
-                ids = b.column(0).to_pylist()
-                texts, places, offs = skeletons(b.column(1))
-                for doc, text, src, first in zip(ids, texts, places, offs.tolist()):
-                    for n, (words, begin, end) in leaks_of(text, items, auto, back, least).items():
-                        found.append((doc, items[n][0], words, int(src[max(begin, 0)]) - first, int(src[end - 1]) - first + 1))
+            texts, places = skeletons(b.column(1))
+            for doc, text, src in zip(b.column(0).to_pylist(), texts, places):
+                for item, words, begin, end in scanner.leaks_of(text):
+                    found.append((doc, item, words, int(src[max(begin, 0)]), int(src[end - 1]) + 1))
             cols = list(zip(*found)) if found else [[]] * 5
             kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["doc_id", "item_id", "words", "begin", "end"])
 
-    return run
+    return docs.mapInArrow(run, schema)

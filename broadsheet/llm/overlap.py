@@ -2,12 +2,22 @@
 
 Rows with the same letters and digits (case, spacing, punctuation and look-alike characters aside) are one wording; all further
 work is on wordings and comes back to rows at the end. A wording's words become skeletons, so most misread letters vanish.
-Of the words that occur in both sets each wording hashes the pairs (word 2-grams with gaps) of its ``rare_words``
-rarest ones; a validation and a training wording that share a hash and the numbers are compared word by word: each may lack one
-word, letters may be wrong, lost or added, numbers and established names must be the same. A lacking number is found
-by keys with one number taken out of one side only. The containment of the validation wording is reported.
 
-NULL and empty annotations and rows outside both sets have no pair. Repeated saves are rows of their own.
+1. A wording's word n-grams are the pairs of its words at most ``GAP`` places apart, every word and every pair of them (of a wording of
+   up to ``SHORT`` words the single words too), hashed together with its numbers. A lacking number is found by keys with one
+   number taken out, of one side only.
+2. The n-grams of the validation wordings are joined with those of training. The containment of a validation wording in a training
+   wording is the share of its n-grams that the other has; from ``CONTAINED`` on the two are a pair. As that many must be shared,
+   one of its rarest ``n - ceil(CONTAINED * n) + 1`` n-grams must be, whichever they are: only these are looked up in all n-grams of
+   training. No pair of that containment is lost by it.
+3. Pairs of enough containment are checked word by word: each may lack one word, letters may be wrong, lost or added, numbers and
+   established names must be the same.
+
+What counts as a name, as common or as a misreading follows from shares of the wordings that hold a word, less an allowance for chance
+(the root of the count), and not from counts: it is the same at every size of the corpus.
+
+An n-gram of very many wordings is cut into parts. NULL and empty annotations and rows outside both sets have no pair. Repeated saves
+are rows of their own.
 """
 
 from __future__ import annotations
@@ -20,17 +30,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from broadsheet.functions.paths import main_page
 from broadsheet.llm.chars import canonical, decode, encode, low, offsets, rows_of, skeleton, tables
-from broadsheet.session import ship, write_shared
+from broadsheet.session import broadcast_if_small, ship, write_shared
 
 #: Letters that may differ: four on either side.
 MAX_LETTERS = 8
-#: Of a wording's words found in both sets, the share (and the least number) that is hashed.
-RARE_SHARE, RARE_WORDS = 0.6, 3
-#: Wordings that must hold a word before it counts as established.
-ESTABLISHED = 3
-#: A word is common, and no name, if one wording in so many holds it, and so many do.
-COMMON, LEAST_COMMON = 500, 10
+#: Farthest words of an n-gram; words of the longest wording whose single words count; least containment of a pair.
+GAP, SHORT, CONTAINED = 3, 4, 0.1
+#: An n-gram held by more wordings of training is joined in parts of this size.
+HOT = 5_000
+#: A word is a word of its own beside one that is up to so many times as frequent; beside a short one; rare beside another.
+OWN, OWN_SHORT, RARE = 10, 100, 20
+#: A word is common, and no name, if one wording in so many holds it.
+COMMON = 500
 
 
 def split_of(training, validation):
@@ -76,31 +89,46 @@ def lost(a: str, b: str, most: int) -> int:
     return before[-1]
 
 
+def surely(n: int) -> float:
+    """A count less what chance may have added."""
+    return n - 1.5 * n**0.5
+
+
+def least_common(wordings: int) -> float:
+    """The count from which a word is held by one wording in ``COMMON``, three standard deviations allowed for chance."""
+    share = wordings / COMMON
+    return ((3 + (9 + 4 * share) ** 0.5) / 2) ** 2
+
+
 def word_cost(a: str, b: str, sa: str, sb: str, na: int, nb: int) -> int:
-    """Letters by which two words differ if one is a misreading of the other, else a cost beyond ``MAX_LETTERS``."""
+    """Letters by which two words differ if one is a misreading of the other, else a cost beyond ``MAX_LETTERS``.
+
+    ``na`` and ``nb`` are the wordings that hold them.
+    """
     never = MAX_LETTERS + 1
     if a == b:
         return 0
     if a.isdigit() or b.isdigit():
         return never
-    if min(na, nb) >= ESTABLISHED and max(na, nb) < 10 * min(na, nb):
+    low, high = min(na, nb), max(na, nb)
+    if surely(low) > high / OWN:
         return never
     if sa == sb:
         return 1
     longer, shorter = max(len(sa), len(sb)), min(len(sa), len(sb))
     if shorter < 3:
-        return 1 if longer - shorter <= 1 and longer <= 4 and min(na, nb) < ESTABLISHED and lost(sa, sb, 1) <= 1 else never
+        return 1 if longer - shorter <= 1 and longer <= 4 and surely(low) <= high / OWN_SHORT and lost(sa, sb, 1) <= 1 else never
     most = 1 if longer < 6 else min(4, longer // 3)
     d = lost(sa, sb, most)
     if d > most:
         return never
-    if d > longer - shorter and not (min(na, nb) <= 1 and max(na, nb) >= 5):
-        # wrong letters that no confusion explains: only a word seen once beside one seen often
-        return d if d <= 2 and longer - shorter and min(na, nb) <= 1 else never
+    if d > longer - shorter and surely(low) > high / RARE - 0.75:
+        # wrong letters that no confusion explains: only a rare word beside a frequent one, or a short slip of a word hardly seen
+        return d if d <= 2 and longer - shorter and surely(low) <= high / RARE - 0.55 else never
     return d
 
 
-def same_wording(a: list[str], b: list[str], sa: list[str], sb: list[str], counts: dict[str, int], common: int) -> bool:
+def same_wording(a: list[str], b: list[str], sa: list[str], sb: list[str], counts: dict[str, int], common: float) -> bool:
     """Whether two wordings agree but for ``MAX_LETTERS`` letters and one word lacking on either side.
 
     Two words lacking at the same place would be one word put for another: only words that at least ``common`` wordings hold may
@@ -132,16 +160,15 @@ def same_wording(a: list[str], b: list[str], sa: list[str], sb: list[str], count
     return False
 
 
-def comparer(common: int):
+def comparer(common: float):
     def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            keep, share = [], []
+            keep = []
             for p, q, s, t, c, d in zip(f["vplain"], f["tplain"], f["vskels"], f["tskels"], f["vn"], f["tn"]):
                 a, b, sa, sb = p.split(" "), q.split(" "), s.split(" "), t.split(" ")
                 counts = dict(zip(a, c)) | dict(zip(b, d))
                 keep.append(len(a) == len(sa) and len(b) == len(sb) and same_wording(a, b, sa, sb, counts, common))
-                share.append(len(set(sa) & set(sb)) / len(set(sa)))
-            yield f.assign(containment=share)[keep][["v", "t", "containment"]]
+            yield f[keep][["v", "t", "containment"]]
 
     return compare
 
@@ -155,41 +182,78 @@ def wordings(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows.select("row_id", "page_path", "split", "wording"), write_shared(rows.groupBy("split", "wording").agg(F.first("plain").alias("plain"), F.first("skels").alias("skels")), "wordings")
 
 
+def with_grams(w: DataFrame) -> DataFrame:
+    """Adds ``size``, the number of words, ``nums``, the numbers in order, and ``grams``, the hashes of all word n-grams, each once."""
+    words = F.split("skels", " ")
+    w = w.withColumn("__w", words).withColumn("size", F.size(words)).withColumn("nums", F.array_sort(F.filter(F.split("plain", " "), lambda x: x.rlike("^[0-9]+$"))))
+    pairs = F.expr(f"flatten(transform(sequence(1, {GAP}), g -> transform(slice(__w, 1, greatest(size - g, 0)), (x, i) -> xxhash64(x, __w[i + g]))))")
+    single = F.when(F.col("size") <= SHORT, F.transform("__w", lambda x: F.xxhash64(x))).otherwise(F.array().cast("array<bigint>"))
+    return w.withColumn("grams", F.array_distinct(F.concat(pairs, single))).drop("__w")
+
+
+def gram_keys(w: DataFrame, name: str) -> DataFrame:
+    """(name, size, less, sig, p, key): every n-gram with the wording's numbers, and once more with each one of the numbers taken out (``less``)."""
+    whole = F.array(F.struct(F.lit(False).alias("less"), F.concat_ws(" ", "nums").alias("sig")))
+    taken = F.expr("transform(array_distinct(transform(nums, (x, i) -> concat_ws(' ', filter(nums, (y, j) -> j <> i)))), s -> struct(true AS less, s AS sig))")
+    rows = w.select(F.col("wording").alias(name), "size", "grams", F.explode(F.concat(whole, taken)).alias("s"))
+    return rows.select(name, "size", "s.less", "s.sig", F.explode("grams").alias("p")).withColumn("key", F.xxhash64("sig", "p"))
+
+
 def candidates(w: DataFrame) -> DataFrame:
-    """(v, t): wordings of validation and training that share the numbers and a pair of rare words."""
-    words = w.select("split", "wording", F.explode(F.array_distinct(F.split("skels", " "))).alias("word"))
-    both = words.groupBy("word").agg(F.count("*").alias("df"), F.countDistinct("split").alias("sides")).filter("sides = 2").select("word", "df")
-    listed = words.join(both, "word").groupBy("split", "wording").agg(F.array_sort(F.collect_list(F.struct("df", "word"))).alias("rare"))
-    nums = F.array_sort(F.filter(F.split("plain", " "), lambda x: x.rlike("^[0-9]+$")))
-    keyed = w.select("split", "wording", nums.alias("nums")).join(listed, ["split", "wording"])
-    count = F.greatest(F.lit(RARE_WORDS), F.ceil(F.size("rare") * RARE_SHARE)).cast("int")
-    keyed = keyed.withColumn("rare", F.array_sort(F.transform(F.slice("rare", F.lit(1), count), lambda x: x["word"])))
-    pair = F.expr("flatten(transform(rare, (x, i) -> transform(filter(rare, (y, j) -> j > i), y -> xxhash64(x, y))))")
-    lone = F.when(F.size("rare") == 1, F.array(F.xxhash64(F.element_at("rare", 1)))).otherwise(pair)
-    keyed = write_shared(keyed.select("split", "wording", "nums", lone.alias("pairs")), "pair-keys")
-    full = keyed.select("split", "wording", F.concat_ws(" ", "nums").alias("sig"), "pairs")
-    less = keyed.filter("size(nums) > 0").select("split", "wording", F.explode(F.expr("array_distinct(transform(nums, (x, i) -> concat_ws(' ', filter(nums, (y, j) -> j <> i))))")).alias("sig"), "pairs")
-
-    def meet(v: DataFrame, t: DataFrame) -> DataFrame:
-        key = lambda df, name: df.select(F.col("wording").alias(name), F.explode("pairs").alias("p"), "sig").select(name, F.xxhash64("sig", "p").alias("k"))
-        return key(v.filter("split = 'validation'"), "v").join(key(t.filter("split = 'training'"), "t"), "k").select("v", "t")
-
-    return meet(full, full).unionAll(meet(full, less)).unionAll(meet(less, full)).distinct()
+    """(v, t): validation and training wordings that may have ``CONTAINED`` of the first one's n-grams in common, and the numbers but one."""
+    v, t = gram_keys(w.filter("split = 'validation'"), "v"), gram_keys(w.filter("split = 'training'"), "t")
+    t = write_shared(t.select("t", F.col("size").cast("int").alias("tsize"), F.col("less").alias("tless"), "key"), "training-grams")
+    held = write_shared(t.groupBy("key").agg(F.count("*").alias("n")), "gram-counts")
+    ranked = v.join(held, "key", "left").groupBy("v", "size", "less", "sig").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "key"))).alias("rare"))
+    # of the rarest, those that training has at all
+    rare = F.slice("rare", F.lit(1), F.size("rare") - F.ceil(F.size("rare") * CONTAINED).cast("int") + 1)
+    seek = ranked.select("v", F.col("size").alias("vsize"), F.col("less").alias("vless"), F.explode(F.filter(rare, lambda x: x["n"] > 0)).alias("g")).select("v", "vsize", "vless", "g.key", "g.n")
+    seek = seek.withColumn("part", F.explode(F.sequence(F.lit(0), F.ceil(F.col("n") / HOT).cast("int") - 1))).drop("n")
+    hot = broadcast_if_small(write_shared(held.filter(F.col("n") > HOT).select("key", F.ceil(F.col("n") / HOT).cast("int").alias("parts")), "hot-grams"))
+    spread = t.join(hot, "key", "left").withColumn("part", F.when(F.col("parts").isNull(), 0).otherwise(F.pmod(F.xxhash64("t"), F.col("parts")).cast("int"))).drop("parts")
+    met = seek.join(spread, ["key", "part"]).filter((F.abs(F.col("vsize") - F.col("tsize")) <= 1) & ~(F.col("vless") & F.col("tless")) & (F.col("v") != F.col("t")))
+    return met.select("v", "t").distinct()
+
+
+def wording_pairs(w: DataFrame) -> DataFrame:
+    """(v, t, containment): validation and training wordings that are the same, written to the shared folder."""
+    w = write_shared(with_grams(w), "grams")
+    words = w.select("split", "wording", F.posexplode(F.split("plain", " ")).alias("i", "word"))
+    counted = words.select("wording", "word").distinct().groupBy("word").agg(F.count("*").alias("n"))
+    tell = words.join(counted, "word").groupBy("split", "wording").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "n"))), lambda x: x["n"]).alias("n"))
+    told = write_shared(w.select("split", "wording", "plain", "skels", "grams").join(tell, ["split", "wording"]), "told")
+    side = lambda name, split: told.filter(F.col("split") == split).select(F.col("wording").alias(name), *[F.col(c).alias(name + c) for c in ("plain", "skels", "n", "grams")])
+    contained = F.size(F.array_intersect("vgrams", "tgrams")) / F.size("vgrams")
+    pairs = candidates(w).join(side("v", "validation"), "v").join(side("t", "training"), "t").withColumn("containment", contained).filter(F.col("containment") >= CONTAINED).drop("vgrams", "tgrams")
+    found = pairs.mapInPandas(comparer(least_common(told.count())), "v bigint, t bigint, containment double")
+    v, t = (w.filter(F.col("split") == x).select(F.col("wording").alias("v")) for x in ("validation", "training"))
+    same = v.join(t, "v", "left_semi").select("v", F.col("v").alias("t"), F.lit(1.0).alias("containment"))
+    return write_shared(found.unionAll(same), "overlaps")
 
 
 def overlaps(lines: DataFrame) -> DataFrame:
     """(v, t, containment, rows of both): pairs of rows, validation and training, that give the same wording."""
     rows, w = wordings(lines)
-    v, t = w.filter("split = 'validation'"), w.filter("split = 'training'")
-    counted = w.select("wording", F.explode(F.array_distinct(F.split("plain", " "))).alias("word")).distinct().groupBy("word").agg(F.count("*").alias("n"))
-    tell = w.select("split", "wording", F.posexplode(F.split("plain", " ")).alias("i", "word")).join(counted, "word").groupBy("split", "wording").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "n"))), lambda x: x["n"]).alias("n"))
-    told = write_shared(w.join(tell, ["split", "wording"]), "told")
-    side = lambda name, split: told.filter(F.col("split") == split).select(F.col("wording").alias(name), F.col("plain").alias(name + "plain"), F.col("skels").alias(name + "skels"), F.col("n").alias(name + "n"))
-    pairs = candidates(w).filter("v <> t").join(side("v", "validation"), "v").join(side("t", "training"), "t")
-    common = max(LEAST_COMMON, told.count() // COMMON)
-    found = pairs.mapInPandas(comparer(common), "v bigint, t bigint, containment double")
-    same = v.select(F.col("wording").alias("v"), F.col("wording").alias("t")).join(t.select(F.col("wording").alias("t")), "t", "left_semi").select("v", "t", F.lit(1.0).alias("containment"))
-    found = write_shared(found.unionAll(same), "overlaps")
+    found = wording_pairs(w)
     a = rows.filter("split = 'validation'").select(F.col("wording").alias("v"), F.col("row_id").alias("validation_row"), F.col("page_path").alias("validation_page"))
     b = rows.filter("split = 'training'").select(F.col("wording").alias("t"), F.col("row_id").alias("training_row"), F.col("page_path").alias("training_page"))
     return found.join(a, "v").join(b, "t").select("validation_row", "validation_page", "training_row", "training_page", "containment")
+
+
+def report(lines: DataFrame, paper: DataFrame) -> DataFrame:
+    """(validation_paper, training_paper, n_pairs, n_validation, n_training, containment): overlaps counted by the papers of both rows.
+
+    Rows are counted by wording and paper before pairs are, so no pair of rows is written out.
+    """
+    rows, w = wordings(lines)
+    rows = main_page(rows, paper, "page_path", "page").withColumn("paper", F.substring_index("page", "/", 1))
+    per = write_shared(rows.groupBy("split", "wording", "paper").agg(F.count("*").alias("n")), "rows-of-wordings")
+    side = lambda name, split: per.filter(F.col("split") == split).select(F.col("wording").alias(name), F.col("paper").alias(f"{split}_paper"), F.col("n").alias(f"n{name}"))
+    j = write_shared(wording_pairs(w).join(side("v", "validation"), "v").join(side("t", "training"), "t"), "counted-pairs")
+    keys, pairs = ["validation_paper", "training_paper"], F.col("nv") * F.col("nt")
+    out = j.groupBy(*keys).agg(F.sum(pairs).alias("n_pairs"), F.round(F.sum(pairs * F.col("containment")) / F.sum(pairs), 4).alias("containment"))
+    for name, split in (("v", "validation"), ("t", "training")):
+        n = j.groupBy(*keys, name).agg(F.max(f"n{name}").alias("n")).groupBy(*keys).agg(F.sum("n").alias(f"n_{split}"))
+        n = n.select(*[F.col(k).alias(f"__{k}") for k in keys], f"n_{split}")
+        out = out.join(n, F.col(keys[0]).eqNullSafe(F.col(f"__{keys[0]}")) & F.col(keys[1]).eqNullSafe(F.col(f"__{keys[1]}"))).drop(*[f"__{k}" for k in keys])
+    return out

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.functions.paths import NORMAL_PATH_SQL, main_page
+from broadsheet.functions.paths import NORMAL_PATH_SQL
 from broadsheet.llm import boilerplate, chars, grouping, leaks, overlap, repair, subjects, tokens
 from broadsheet.session import table
 
@@ -21,12 +21,7 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
 
 def p1_report(spark: SparkSession, folder: str) -> DataFrame:
     """Pairs and distinct rows by the papers of the validation and the training row."""
-    found = overlap.overlaps(table(spark, folder, "lines"))
-    paper = table(spark, folder, "paper")
-    for side in ("validation", "training"):
-        found = main_page(found, paper, f"{side}_page", side)
-        found = found.withColumn(f"{side}_paper", F.substring_index(side, "/", 1))
-    return found.groupBy("validation_paper", "training_paper").agg(F.count("*").alias("n_pairs"), F.countDistinct("validation_row").alias("n_validation"), F.countDistinct("training_row").alias("n_training"), F.round(F.avg("containment"), 4).alias("containment"))
+    return overlap.report(table(spark, folder, "lines"), table(spark, folder, "paper"))
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:

@@ -45,6 +45,8 @@ FEATURES, WIDTH, STEP, DECAY = 1 << 15, 24, 0.05, 1e-5
 #: Rounds of training, and the steps of each partition in a round.
 SEED_ROUNDS, ROUNDS, LOCAL_STEPS, PARTITIONS = 8, 12, 5, 4
 NGRAMS = (3, 4, 5)
+#: By so much running means of gradients are multiplied before they are sent in half precision.
+HALF = 4096.0
 #: Bounds of the training set: labelled texts, sentences of each subject and of none.
 MAX_LABELLED, PER_LABEL, PER_NONE = 20_000, 500, 3000
 #: A word is a subject's if so many sentences of the subject hold it, at this share of all its sentences with a subject, and this
@@ -235,37 +237,34 @@ def gradients(model: Model, x: Packed, labels: np.ndarray) -> tuple[np.ndarray,
     return dense, mean.T @ error, error.sum(0), loss
 
 
-class Adam:
-    """Steps by first and second moments of the gradients; the moments are part of what the rounds average."""
+class Moments:
+    """Running means of the gradients and of their squares, the latter one for each feature and one for each output weight. Rounds average them."""
 
-    def __init__(self, parts: list[np.ndarray]):
-        self.first, self.second, self.n = [np.zeros_like(p) for p in parts], [np.zeros_like(p) for p in parts], 0
-
-    def step(self, parts: list[np.ndarray], grads: list[np.ndarray], rate: float) -> None:
-        self.n += 1
-        for p, g, m, v in zip(parts, grads, self.first, self.second):
-            m += 0.1 * (g - m)
-            v += 0.01 * (g * g - v)
-            p -= rate * (m / (1 - 0.9**self.n)) / (np.sqrt(v / (1 - 0.99**self.n)) + 1e-6)
+    def __init__(self, model: Model):
+        self.n, self.first = 0, [np.zeros_like(p) for p in model.parts()]
+        self.square = [np.zeros(FEATURES, np.float32), np.zeros_like(model.out), np.zeros_like(model.bias)]
 
 
-def local_steps(model: Model, adam: Adam, x: Packed, labels: np.ndarray, steps: int) -> list[np.ndarray]:
-    """The touched features' part of the model and of the moments after ``steps`` steps over ``x``: 9 arrays."""
-    at = x.touched
+def local_steps(model: Model, moments: Moments, x: Packed, labels: np.ndarray, steps: int) -> list[np.ndarray]:
+    """What ``steps`` steps over ``x`` make of the touched features, the outputs and the bias, of their first moments and of the squares."""
+    at, count = x.touched, len(labels)
     small = Model.__new__(Model)
-    small.words, small.out, small.bias = model.words, model.out.copy(), model.bias.copy()
-    rows = model.words[at].copy()
-    own = Adam.__new__(Adam)
-    own.n = adam.n
-    own.first = [adam.first[0][at].copy(), adam.first[1].copy(), adam.first[2].copy()]
-    own.second = [adam.second[0][at].copy(), adam.second[1].copy(), adam.second[2].copy()]
-    small.words = model.words.copy()
-    for _ in range(steps):
+    small.words, small.out, small.bias = model.words.copy(), model.out.copy(), model.bias.copy()
+    first = [moments.first[0][at], moments.first[1].copy(), moments.first[2].copy()]
+    square = [moments.square[0][at], moments.square[1].copy(), moments.square[2].copy()]
+    for k in range(moments.n + 1, moments.n + 1 + steps):
         dense, out, bias, _ = gradients(small, x, labels)
-        n = len(labels)
-        own.step([rows, small.out, small.bias], [dense / n + DECAY * rows, out / n, bias / n], STEP)
-        small.words[at] = rows
-    return [rows, small.out, small.bias, *own.first, *own.second]
+        rows = small.words[at]
+        step = []
+        for m, v, g, s in zip(first, square, [dense / count + DECAY * rows, out / count, bias / count], [lambda g: (g * g).mean(1), np.square, np.square]):
+            m += 0.1 * (g - m)
+            v += 0.01 * (s(g) - v)
+            root = np.sqrt(v / (1 - 0.99**k)) + 1e-6
+            step.append(STEP * (m / (1 - 0.9**k)) / (root[:, None] if v.ndim < m.ndim else root))
+        small.words[at] = rows - step[0]
+        small.out -= step[1]
+        small.bias -= step[2]
+    return [small.words[at], small.out, small.bias, *first, *square]
 
 
 # ---------------------------------------------------------------------------------------------------------------------
@@ -308,36 +307,41 @@ def fit(rows: DataFrame, subjects: list[str], rounds: int) -> Model:
     spark = rows.sparkSession
     ship(spark)
     model, width = Model(subjects), len(subjects)
-    adam, packed = Adam(model.parts()), pack(rows, width)
+    moments, packed = Moments(model), pack(rows, width)
     for _ in range(rounds):
-        sent = spark.sparkContext.broadcast((model, adam))
+        sent = spark.sparkContext.broadcast((model, moments))
 
         def run(frames: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
             for frame in frames:
                 for part in frame["part"]:
                     x, labels = unpack(part)
-                    done, data = local_steps(*sent.value, x, labels, LOCAL_STEPS), io.BytesIO()
-                    np.savez(data, touched=x.touched, **{f"a{k}": a.astype(np.float32) for k, a in enumerate(done)})
-                    yield pd.DataFrame({"done": [data.getvalue()], "n": [len(labels)]})
-
-        back = [(np.load(io.BytesIO(r["done"])), r["n"]) for r in packed.mapInPandas(run, "done binary, n bigint").collect()]
+                    done = local_steps(*sent.value, x, labels, LOCAL_STEPS)
+                    done[3] = done[3] * HALF  # half precision is enough for a running mean, once scaled
+                    data = [a.astype(np.float16 if k == 3 else np.float32).tobytes() for k, a in enumerate(done)]
+                    yield pd.DataFrame({"touched": [x.touched.astype(np.int32).tobytes()], "done": [data], "n": [len(labels)]})
+
+        weight, total = np.zeros(FEATURES, np.float32), 0
+        new = [np.zeros_like(a) for a in (*model.parts(), *moments.first, *moments.square)]
+        for r in packed.mapInPandas(run, "touched binary, done array<binary>, n bigint").collect():
+            at, n = np.frombuffer(r["touched"], np.int32), r["n"]
+            for k, d in enumerate(r["done"]):
+                part = np.frombuffer(d, np.float16 if k == 3 else np.float32).astype(np.float32) * n
+                if k % 3:
+                    new[k] += part.reshape(new[k].shape)
+                else:
+                    new[k][at] += part.reshape(len(at), *new[k].shape[1:])
+            weight[at] += n
+            total += n
         sent.destroy()
-        total = sum(n for _, n in back)
         if not total:
             break
-        tables_ = [model.parts(), adam.first, adam.second]
-        for k in range(9):
-            target = tables_[k // 3][k % 3]
+        hit = weight > 0
+        for k, held in enumerate((*model.parts(), *moments.first, *moments.square)):
             if k % 3:
-                target[...] = sum(stored[f"a{k}"] * (n / total) for stored, n in back)
+                held[...] = new[k] / total
             else:
-                weight, new = np.zeros(FEATURES, np.float32), np.zeros_like(target)
-                for stored, n in back:
-                    weight[stored["touched"]] += n
-                    new[stored["touched"]] += stored[f"a{k}"] * n
-                hit = weight > 0
-                target[hit] = new[hit] / weight[hit, None]
-        adam.n += LOCAL_STEPS
+                held[hit] = (new[k][hit].T / weight[hit]).T / (HALF if k == 3 else 1)
+        moments.n += LOCAL_STEPS
     return model
 
 

@@ -2,7 +2,9 @@
 
 A batch of texts is cut into the vocabulary's words once; the distinct words lie as bytes in one flat array of symbols. Every
 merge round finds the rank of each neighbouring pair by binary search over the sorted pair keys, takes each word's
-lowest (leftmost) pair and merges it, until no pair is left. A word's ids are kept for later batches of the task.
+lowest (leftmost) pair and merges it, until no pair is left. A round merges one pair of a word, so a word of more than ``LONG_BYTES``
+bytes (an unbroken run of letters or signs) would take rounds without end: its pairs lie in a heap by rank and place instead, which is
+linear but for a logarithm. A word's ids are kept for later batches of the task.
 
 An empty text has the ids ``[]``. A NULL text has them too (``null_ids``), so that every document comes out with a list.
 """
@@ -11,6 +13,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +26,8 @@ from broadsheet.session import ship
 
 #: Words whose ids a task keeps; beyond it the memory starts anew. It bounds memory, not results.
 KEPT_WORDS = 200_000
+#: Bytes from which a word is merged with a heap. It bounds time, not results.
+LONG_BYTES = 192
 #: Characters of one slice of texts that are merged together. It bounds memory, not results.
 SLICE_CHARS = 4 << 20
 
@@ -63,6 +68,41 @@ class Vocabulary:
         self.known: dict[str, np.ndarray] = {}
 
     def merge(self, words: list[bytes]) -> list[np.ndarray]:
+        """Ids of each word: long ones with a heap, all others in rounds together."""
+        short = [w for w in words if len(w) <= LONG_BYTES]
+        done = iter(self.rounds(short) if short else [])
+        return [next(done) if len(w) <= LONG_BYTES else self.heaped(w) for w in words]
+
+    @functools.cached_property
+    def pairs(self) -> dict[int, int]:
+        """Merged symbol by pair key."""
+        return dict(zip(self.keys.tolist(), self.merged.tolist()))
+
+    def heaped(self, word: bytes) -> np.ndarray:
+        """Ids of one word: the pair of lowest rank, of equal ones the leftmost, is merged until there is none."""
+        sym = self.byte_id[np.frombuffer(word, np.uint8)].tolist()
+        n, pairs = len(sym), self.pairs
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(r, i) for i, (a, b) in enumerate(zip(sym, sym[1:])) if (r := pairs.get(a << 32 | b)) is not None]
+        heapq.heapify(heap)
+        while heap:
+            rank, i = heapq.heappop(heap)
+            j = after[i]
+            # a place whose pair has changed meanwhile, or that is gone, was entered again with its new pair
+            if sym[i] < 0 or j >= n or pairs.get(sym[i] << 32 | sym[j]) != rank:
+                continue
+            sym[i], sym[j] = rank, -1
+            after[i] = k = after[j]
+            if k < n:
+                before[k] = i
+                if (r := pairs.get(rank << 32 | sym[k])) is not None:
+                    heapq.heappush(heap, (r, i))
+            h = before[i]
+            if h >= 0 and (r := pairs.get(sym[h] << 32 | rank)) is not None:
+                heapq.heappush(heap, (r, h))
+        return np.array([s for s in sym if s >= 0], np.int32)
+
+    def rounds(self, words: list[bytes]) -> list[np.ndarray]:
         """Ids of each word, by rounds over all words at once."""
         size = np.array([len(w) for w in words], np.int64)
         sym = self.byte_id[np.frombuffer(b"".join(words), np.uint8)]
