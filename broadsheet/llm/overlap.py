@@ -37,7 +37,7 @@ from broadsheet.session import broadcast_if_small, ship, write_shared
 #: Letters that may differ: four on either side.
 MAX_LETTERS = 8
 #: Farthest words of an n-gram; words of the longest wording whose single words count; least containment of a pair.
-GAP, SHORT, CONTAINED = 3, 4, 0.1
+GAP, SHORT, CONTAINED = 3, 4, 0.3
 #: An n-gram held by more wordings of training is joined in parts of this size.
 HOT = 5_000
 #: A word is a word of its own beside one that is up to so many times as frequent; beside a short one; rare beside another.
