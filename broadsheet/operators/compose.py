@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from broadsheet.functions.text import strip, without_letters
+from broadsheet.operators.grouped import each_group
 
 PATH = ["page_path", "predictor", "label", "block_id", "line_id"]
 
@@ -94,13 +95,17 @@ def grid(rows: list[list[str]], header: bool) -> str:
 def table_texts(cells: DataFrame) -> DataFrame:
     """(page_path, table, text): a table of one column as its rows, a wider one as a grid; the first division is the header if it is one row of two or more divisions."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["division", "row", "column"])
-        columns = sorted(pdf["column"].unique())
-        at = [[g.set_index("column")["text"].get(c, "") for c in columns] for _, g in pdf.groupby(["division", "row"])]
-        first = pdf[pdf["division"] == pdf["division"].min()]
-        header = pdf["division"].nunique() >= 2 and first["row"].nunique() == 1
+    def work(g: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        part = {c: [(v is None or v != v, v if v == v else None) for v in g[c].tolist()] for c in ("division", "row", "column")}
+        order = sorted(range(len(g["text"])), key=lambda k: tuple(part[c][k] if not part[c][k][0] else (True, 0) for c in ("division", "row", "column")))
+        columns = sorted(set(part["column"]), key=lambda x: x if not x[0] else (True, 0))
+        rows: dict[tuple, dict] = {}
+        for k in order:
+            rows.setdefault((part["division"][k], part["row"][k]), {})[part["column"][k]] = g["text"][k] or ""
+        divisions = [d for d, _ in rows]
+        header = len(set(divisions)) >= 2 and divisions.count(divisions[0]) == 1
+        at = [[r.get(c, "") for c in columns] for r in rows.values()]
         text = "\n".join(r[0] for r in at) if len(columns) == 1 else grid(at, header)
-        return pd.DataFrame({"page_path": [pdf["page_path"].iloc[0]], "table": [pdf["table"].iloc[0]], "text": [text]})
+        return {"page_path": g["page_path"][:1], "table": g["table"][:1], "text": np.array([text], object)}
 
-    return cells.groupBy("page_path", "table").applyInPandas(run, "page_path string, `table` string, text string")
+    return each_group(cells, ["page_path", "table"], "page_path string, `table` string, text string", work)

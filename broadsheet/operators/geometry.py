@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from broadsheet.operators.grouped import each_group
 from broadsheet.session import ship
 
 RING = "array<struct<x:double,y:double>>"
@@ -145,33 +146,41 @@ def hulls(df: DataFrame, keys: list[str], ring: str = "ring") -> DataFrame:
 
 def neighbours(boxes: DataFrame, cells: int = 128) -> DataFrame:
     """(page_id, a, b): regions of a page between which no other lies (see ``adjacent``)."""
-    ship(boxes.sparkSession)
     page, block = (next(f.dataType.simpleString() for f in boxes.schema.fields if f.name == n) for n in ("page_id", "block_id"))
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.dropna().sort_values("block_id").reset_index(drop=True)
-        found = sorted(adjacent(pdf[["minx", "miny", "maxx", "maxy"]].to_numpy(float), cells))
-        ids = pdf["block_id"].to_list()
-        return pd.DataFrame([(pdf["page_id"].iloc[0], ids[a], ids[b]) for a, b in found], columns=["page_id", "a", "b"])
+    def work(g: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        order = np.argsort(g["block_id"].astype(str), kind="stable")
+        box = np.stack([g[c] for c in ("minx", "miny", "maxx", "maxy")], -1).astype(float)[order]
+        found = np.array(sorted(adjacent(box, cells)), int).reshape(-1, 2)
+        ids = g["block_id"][order]
+        return {"page_id": np.repeat(g["page_id"][:1], len(found)), "a": ids[found[:, 0]], "b": ids[found[:, 1]]}
 
-    return boxes.select("page_id", "block_id", "minx", "miny", "maxx", "maxy").groupBy("page_id").applyInPandas(run, f"page_id {page}, a {block}, b {block}")
+    return each_group(boxes.select("page_id", "block_id", "minx", "miny", "maxx", "maxy").dropna(), ["page_id"], f"page_id {page}, a {block}, b {block}", work)
+
+
+#: Pixels of one word of a mask's row: sums of powers of two that every engine holds in a whole number.
+WORD = 32
 
 
 def mask_signature(boxes: DataFrame, width: float, height: float, size: int = 128, shrink: float = 2) -> DataFrame:
-    """(page_id, label, mask): pixels of a small raster that the label's regions, shrunk a little, fill; packed bits."""
-    ship(boxes.sparkSession)
-    page = next(f.dataType.simpleString() for f in boxes.schema.fields if f.name == "page_id")
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        mask = np.zeros((size, size), bool)
-        for x0, y0, x1, y1 in pdf[["minx", "miny", "maxx", "maxy"]].to_numpy(float):
-            a, b, c, d = x0 + shrink, y0 + shrink, x1 - shrink, y1 - shrink
-            if a < c and b < d:
-                mask[int(b * size / height) : int(np.ceil(d * size / height)), int(a * size / width) : int(np.ceil(c * size / width))] = True
-        return pd.DataFrame({"page_id": [pdf["page_id"].iloc[0]], "label": [pdf["label"].iloc[0]], "mask": [np.packbits(mask).tobytes()]})
+    """(page_id, label, pixels, mask): pixels of a small raster that the label's regions, shrunk a little, fill.
 
+    ``mask`` is an array of (y, w0, w1 ..) of the rows with pixels, ``w0`` the bits of the first 32 pixels from the left. A label without
+    pixels has 0 and an empty array; a region without a page or with a NULL bound is left out. Rows of the raster are ORed by partial aggregates.
+    """
+    words = range(-(-size // WORD))
+    pixel = lambda v, full, up: F.least(F.greatest((F.ceil if up else F.floor)(v * size / F.lit(full)), F.lit(0)), F.lit(size)).cast("int")
     rows = boxes.select("page_id", "label", "minx", "miny", "maxx", "maxy").dropna()
-    return rows.groupBy("page_id", "label").applyInPandas(run, f"page_id {page}, label string, mask binary")
+    rows = rows.select("page_id", "label", pixel(F.col("minx") + shrink, width, False).alias("x0"), pixel(F.col("miny") + shrink, height, False).alias("y0"), pixel(F.col("maxx") - shrink, width, True).alias("x1"), pixel(F.col("maxy") - shrink, height, True).alias("y1"),
+                       ((F.col("maxx") - F.col("minx") > 2 * shrink) & (F.col("maxy") - F.col("miny") > 2 * shrink)).alias("solid"))
+    filled = F.when(F.col("solid") & (F.col("x0") < F.col("x1")) & (F.col("y0") < F.col("y1")), F.sequence("y0", F.col("y1") - 1))
+    rows = rows.withColumn("y", F.explode_outer(filled))
+    at = lambda x, k: F.least(F.greatest(F.col(x) - WORD * k, F.lit(0)), F.lit(WORD))
+    bits = lambda k: F.pow(F.lit(2.0), at("x1", k)).cast("bigint") - F.pow(F.lit(2.0), at("x0", k)).cast("bigint")
+    lines = rows.groupBy("page_id", "label", "y").agg(*[F.bit_or(bits(k)).alias(f"w{k}") for k in words])
+    count = sum((F.bit_count(f"w{k}") for k in words[1:]), F.bit_count("w0"))
+    line = F.when(F.col("y").isNotNull(), F.struct("y", *[f"w{k}" for k in words]))
+    return lines.groupBy("page_id", "label").agg(F.coalesce(F.sum(F.when(F.col("y").isNotNull(), count)), F.lit(0)).alias("pixels"), F.array_sort(F.collect_list(line)).alias("mask"))
 
 
 def dewarped(points: DataFrame, grid: DataFrame, inverse: bool = False) -> DataFrame:

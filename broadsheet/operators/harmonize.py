@@ -1,4 +1,4 @@
-"""Harmonisation of transcriptions: rule tables compiled to column expressions.
+"""Harmonisation of transcriptions: rule tables compiled to one function over Arrow arrays.
 
 A channel is a list of rules (kind, a, b): 'str' replaces a literal, 're' a pattern in Python's syntax, 'unicode' brings the text into a
 normal form, 'tfm' applies another channel. White space is stripped at the end. ``sql_of`` gives the same fold as DuckDB SQL.
@@ -7,11 +7,15 @@ normal form, 'tfm' applies another channel. White space is stripped at the end.
 from __future__ import annotations
 
 import re
+import unicodedata
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from broadsheet.functions.text import normal_form, strip
+from broadsheet.session import ship
 
 Rule = tuple[str, str, str]
 
@@ -70,21 +74,52 @@ def flat(channel: str, channels: dict[str, list[Rule]] | None = None) -> list[Ru
     return out
 
 
-def harmonized(c: Column, channel: str = "default", channels: dict[str, list[Rule]] | None = None) -> Column:
-    """``c`` after all rules of a channel. NULL stays NULL, an empty text empty.
+#: White space of any kind, as a class of patterns whose ``\\s`` knows the plain kinds only.
+SPACE = r"\s\p{Z}\x{85}"
+ENDS = rf"^[{SPACE}]+|[{SPACE}]+$"
+
+
+def portable(pattern: str) -> str:
+    """A pattern of the rules for an engine whose classes are those of ASCII."""
+    p = pattern.replace(r"[^\W\d]", r"[\p{L}\p{M}_]")
+    inside = re.sub(r"\[[^\]]*\]", lambda m: m[0].replace(r"\s", SPACE).replace(r"\w", r"\p{L}\p{M}\p{N}_"), p.replace(r"\[", "\x00").replace(r"\]", "\x01"))
+    return re.sub(r"(?<!\[)(?<!\^)\\s(?!\\p)", lambda _: f"[{SPACE}]", inside).replace("\x00", r"\[").replace("\x01", r"\]")
+
+
+def normalized(texts: pa.Array, form: str) -> pa.Array:
+    """Texts in a normal form; those without any character from U+0300 on are in composed form already and are not touched."""
+    odd = pc.fill_null(pc.match_substring_regex(texts, r"[^\x{00}-\x{2ff}]"), False) if form == "NFC" else pc.is_valid(texts)
+    if not pc.any(odd).as_py():
+        return texts
+    done = pa.array([unicodedata.normalize(form, t) for t in texts.filter(odd).to_pylist()], texts.type)
+    return pc.replace_with_mask(texts, odd, done)
+
 
-    Meant for lines: one pattern of the paper channels looks back over everything before a comma.
-    """
-    for kind, a, b in flat(channel, channels):
+def apply_rules(texts: pa.Array, rules: list[Rule]) -> pa.Array:
+    """All rules over an Arrow array of texts, each a call for the whole array; the patterns never look back, so long texts take no longer in proportion."""
+    for kind, a, b in [*rules, ("strip", "", "")]:
         if kind == "str":
-            c = F.replace(c, F.lit(a), F.lit(b))
+            texts = pc.replace_substring(texts, a, b)
         elif kind == "re":
-            c = F.regexp_replace(c, "(?U)" + a, re.sub(r"\\g<(\d+)>", r"$\1", b.replace("$", r"\$")))
+            texts = pc.replace_substring_regex(texts, portable(a), re.sub(r"\\g<(\d+)>", r"\\\1", b))
         elif kind == "unicode":
-            c = normal_form(c, a)
+            texts = normalized(texts, a)
         else:
-            c = strip(c)
-    return strip(c)
+            texts = pc.replace_substring_regex(texts, ENDS, "")
+    return texts
+
+
+def harmonized(c: Column, channel: str = "default", channels: dict[str, list[Rule]] | None = None) -> Column:
+    """``c`` after all rules of a channel, in one pass over Arrow batches. NULL stays NULL, an empty text empty."""
+    rules = flat(channel, channels)
+    if (spark := SparkSession.getActiveSession()) is not None:
+        ship(spark)
+
+    @F.arrow_udf(T.StringType())
+    def fold(texts: pa.Array) -> pa.Array:
+        return apply_rules(texts, rules)
+
+    return fold(c)
 
 
 def violations(df: DataFrame, text: str, channel: str = "default") -> DataFrame:
@@ -99,11 +134,6 @@ def sql_of(column: str, channel: str = "default") -> str:
     def quoted(s: str) -> str:
         return "'" + s.replace("'", "''") + "'"
 
-    def pattern(p: str) -> str:
-        p = p.replace(r"[^\W\d]", r"[\p{L}\p{M}_]")
-        inside = re.sub(r"\[[^\]]*\]", lambda m: m[0].replace(r"\s", r"\s\p{Z}\x{85}").replace(r"\w", r"\p{L}\p{M}\p{N}_"), p.replace(r"\[", "\x00").replace(r"\]", "\x01"))
-        return re.sub(r"(?<!\[)(?<!\^)\\s(?!\\p)", r"[\\s\\p{Z}\\x{85}]", inside).replace("\x00", r"\[").replace("\x01", r"\]")
-
     def stripped(c: str) -> str:
         return rf"regexp_replace(regexp_replace({c}, '^[\s\p{{Z}}\x{{85}}]+', ''), '[\s\p{{Z}}\x{{85}}]+$', '')"
 
@@ -112,7 +142,7 @@ def sql_of(column: str, channel: str = "default") -> str:
         if kind == "str":
             c = f"replace({c}, {quoted(a)}, {quoted(b)})"
         elif kind == "re":
-            c = f"regexp_replace({c}, {quoted(pattern(a))}, {quoted(re.sub(r'\\g<(\d+)>', r'\\\1', b))}, 'g')"
+            c = f"regexp_replace({c}, {quoted(portable(a))}, {quoted(re.sub(r'\\g<(\d+)>', r'\\\1', b))}, 'g')"
         elif kind == "unicode":
             c = f"nfc_normalize({c})"
         else:

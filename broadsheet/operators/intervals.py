@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from broadsheet.operators.grouped import each_group
+
 
 def merged(df: DataFrame, keys: Sequence[str], lo: str = "lo", hi: str = "hi", extend: float = 1) -> DataFrame:
     """Unions of the overlapping intervals [lo, hi + extend) of each key, by gaps and islands."""
@@ -56,16 +57,14 @@ def position_clusters(df: DataFrame, keys: Sequence[str], position: str, distanc
     keys = list(keys)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name in keys) + ", position double, n bigint, lo double, hi double"
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        v = np.sort(pdf[position].dropna().to_numpy(float))
+    def work(g: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        v = np.sort(g[position].astype(float))
         c = average_link(v, distance)
-        out = [(np.median(v[c == k]), int((c == k).sum()), v[c == k].min(), v[c == k].max()) for k in range(c.max() + 1)] if len(v) else []
-        frame = pd.DataFrame(out, columns=["position", "n", "lo", "hi"])
-        for k in reversed(keys):
-            frame.insert(0, k, pdf[k].iloc[0])
-        return frame
+        parts = [v[c == k] for k in range(c.max() + 1)] if len(v) else []
+        out = {k: np.repeat(g[k][:1], len(parts)) for k in keys}
+        return out | {"position": np.array([np.median(p) for p in parts]), "n": np.array([len(p) for p in parts], np.int64), "lo": np.array([p[0] for p in parts]), "hi": np.array([p[-1] for p in parts])}
 
-    return df.groupBy(*keys).applyInPandas(run, schema)
+    return each_group(df.select(*keys, position).filter(F.col(position).isNotNull()), keys, schema, work)
 
 
 def kept_positions(clusters: DataFrame, pieces: DataFrame, spans: DataFrame, keys: Sequence[str], distance: float = 20, least: float = 0.3) -> DataFrame:

@@ -1,8 +1,9 @@
 """Refinement of page regions: merging, dominance, clipping, splitting, tables. Regions are boxes (see ``spatial``).
 
 A layout program is a list of functions from regions to regions (``Program``); one that fails is reported and skipped.
-Merges find pairs by the binned join, close them by connected components and unite each component by min and max;
-what is sequential within a page (dominance, growth along the reading order) runs in one group for each page.
+Merges find pairs by the binned join, close them by the components of each page and unite each component by min and max;
+what is sequential within a page (components, overlaps to the fix-point, dominance, growth along the reading order) runs over the arrays of
+one page after the other, in one pass over pages sorted within hash partitions.
 """
 
 from __future__ import annotations
@@ -11,14 +12,12 @@ import logging
 from collections.abc import Callable, Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from broadsheet.operators.graph import connected_components
+from broadsheet.operators.grouped import each_group
 from broadsheet.operators.spatial import alignment, area, intersection, meeting, overlap_pairs
 from broadsheet.operators.xycut import SCORES, cut_order
-from broadsheet.session import write_shared
 
 Step = Callable[[DataFrame], DataFrame]
 BOX = ["minx", "miny", "maxx", "maxy"]
@@ -42,14 +41,42 @@ class Program:
         return regions
 
 
+def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The smallest member of the component of each of ``n`` nodes joined by the edges (a, b)."""
+    up = list(range(n))
+
+    def root(k: int) -> int:
+        while up[k] != k:
+            up[k] = up[up[k]]
+            k = up[k]
+        return k
+
+    for x, y in zip(a.tolist(), b.tolist()):
+        x, y = root(x), root(y)
+        up[max(x, y)] = min(x, y)
+    return np.array([root(k) for k in range(n)], int)
+
+
+def page_components(edges: DataFrame, keys: Sequence[str] = ("page_id",)) -> DataFrame:
+    """(keys, node, component) of the nodes of ``edges`` (keys, a, b); components within a page, named by their smallest node."""
+    keys, kinds = list(keys), {f.name: f.dataType.simpleString() for f in edges.schema.fields}
+
+    def work(g: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        nodes, at = np.unique(np.concatenate((g["a"], g["b"])).astype(object), return_inverse=True)
+        found = roots(len(nodes), at[: len(g["a"])], at[len(g["a"]) :])
+        return {**{k: np.repeat(g[k][:1], len(nodes)) for k in keys}, "node": nodes, "component": nodes[found]}
+
+    schema = ", ".join([f"{k} {kinds[k]}" for k in keys] + [f"node {kinds['a']}", f"component {kinds['a']}"])
+    return each_group(edges.select(*keys, "a", "b").dropna(), keys, schema, work)
+
+
 def united(regions: DataFrame, edges: DataFrame, line_count: str | None = None) -> DataFrame:
     """Regions with the components of ``edges`` (page_id, a, b: block ids) made one each.
 
     The largest member, the smaller id among equals, gives its id and label; the box is that of all members. Adds ``n_parts``, and sums ``line_count``.
     """
-    key = lambda page, block: F.concat_ws("\u0001", F.col(page).cast("string"), F.col(block))
-    found = connected_components(edges.select(key("page_id", "a").alias("a"), key("page_id", "b").alias("b")))
-    rows = regions.withColumn("node", key("page_id", "block_id")).join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    found = page_components(edges).withColumnRenamed("node", "block_id")
+    rows = regions.join(found, ["page_id", "block_id"], "left").withColumn("component", F.coalesce("component", "block_id"))
     rank = F.struct(-area(), F.col("block_id"))
     sums = [F.sum(line_count).alias(line_count)] if line_count else []
     return rows.groupBy("page_id", "component").agg(
@@ -63,15 +90,50 @@ def cohesion() -> Column:
     return F.when(area() > 0, F.col("parts_area") / area()).otherwise(1.0)
 
 
-def merge_overlaps(regions: DataFrame, maximum: float = 0.1, rounds: int = 20) -> DataFrame:
-    """Unites overlapping regions of a label until none overlap by more than ``maximum``."""
-    now = regions.select("page_id", "block_id", "label", *BOX)
-    for _ in range(rounds):
-        edges = write_shared(overlap_pairs(now, maximum).select("page_id", F.col("a_block_id").alias("a"), F.col("b_block_id").alias("b")), "overlaps")
-        if edges.isEmpty():
-            break
-        now = write_shared(united(now, edges).select("page_id", "block_id", "label", *BOX), "merged")
-    return now
+def size(box: np.ndarray) -> np.ndarray:
+    return np.maximum(0, box[..., 2] - box[..., 0]) * np.maximum(0, box[..., 3] - box[..., 1])
+
+
+def shared_area(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Overlaps of all boxes of ``a`` with all of ``b``."""
+    low, high = np.maximum(a[:, None, :2], b[None, :, :2]), np.minimum(a[:, None, 2:], b[None, :, 2:])
+    return np.maximum(0, high - low).prod(-1)
+
+
+def hull(box: np.ndarray) -> np.ndarray:
+    return np.concatenate((box[:, :2].min(0), box[:, 2:].max(0)))
+
+
+def boxes_of(g: dict[str, np.ndarray]) -> np.ndarray:
+    return np.stack([g[c] for c in BOX], -1)
+
+
+def of_page(regions: DataFrame, work: Callable[[dict[str, np.ndarray]], dict[str, np.ndarray]], kind: str | None = None) -> DataFrame:
+    """Regions made of each page's regions by ``work`` over (page_id, block_id, label and box) arrays; boxes as ``kind``, or as they are."""
+    kinds = {f.name: f.dataType.simpleString() for f in regions.schema.fields}
+    columns = ["page_id", "block_id", "label", *BOX]
+    schema = ", ".join(f"{c} {kind if kind and c in BOX else kinds[c]}" for c in columns)
+    return each_group(regions.select(*columns), ["page_id"], schema, work)
+
+
+def merge_overlaps(regions: DataFrame, maximum: float = 0.1) -> DataFrame:
+    """Unites overlapping regions of a label until none overlap by more than ``maximum`` of the smaller."""
+
+    def work(g: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        ids, labels, box = g["block_id"], g["label"], boxes_of(g)
+        while True:
+            least = np.minimum.outer(size(box), size(box))
+            over = np.triu((shared_area(box, box) > maximum * least) & (least > 0) & (labels[:, None] == labels[None, :]), 1)
+            a, b = np.nonzero(over)
+            if not len(a):
+                break
+            found = roots(len(box), a, b)
+            groups = [np.flatnonzero(found == k) for k in np.unique(found)]
+            lead = [min(m, key=lambda k: (-size(box[k]), ids[k])) for m in groups]
+            ids, labels, box = ids[lead], labels[lead], np.stack([hull(box[m]) for m in groups])
+        return {"page_id": np.repeat(g["page_id"][:1], len(ids)), "block_id": ids, "label": labels, **{c: box[:, k] for k, c in enumerate(BOX)}}
+
+    return of_page(regions, work)
 
 
 def same_line_pairs(regions: DataFrame, distance: float, least: float = 0.8) -> DataFrame:
@@ -104,98 +166,112 @@ def contained(regions: DataFrame, fringe: float = 0) -> DataFrame:
     return pairs.filter(inside & ((area("a_") < area("b_")) | ((area("a_") == area("b_")) & (F.col("a_block_id") > F.col("b_block_id")))))
 
 
+def absorbed(items: list[list], fringe: float) -> list[list]:
+    """Regions [id, label, box] after the largest have taken in what lies within them (widened by ``fringe``), from the largest again after each."""
+    again = True
+    while again:
+        again = False
+        items.sort(key=lambda r: (-size(r[2]), r[0]))
+        for i, host in enumerate(items):
+            wide = host[2] + np.array([-fringe, -fringe, fringe, fringe])
+            inner = next((j for j in range(i + 1, len(items)) if (items[j][2][:2] >= wide[:2]).all() and (items[j][2][2:] <= wide[2:]).all()), None)
+            if inner is not None:
+                host[2] = hull(np.stack((host[2], items.pop(inner)[2])))
+                again = True
+                break
+    return items
+
+
+def resolved(items: list[list]) -> list[list]:
+    """Regions [id, label, box] without overlaps of a pixel or more, see ``dominated``."""
+    while True:
+        box = np.stack([r[2] for r in items]) if items else np.zeros((0, 4))
+        at = np.argwhere(np.triu(shared_area(box, box) >= 1, 1))
+        if not len(at):
+            return items
+        a, b = items[at[0][0]], items[at[0][1]]
+        low, high = np.maximum(a[2][:2], b[2][:2]), np.minimum(a[2][2:], b[2][2:])
+        big, small = (a, b) if (size(a[2]), b[0]) >= (size(b[2]), a[0]) else (b, a)
+        rows = min(a[2][3] - a[2][1], b[2][3] - b[2][1])
+        if a[1] != b[1] and rows > 0 and (high[1] - low[1]) / rows > 0.9:
+            big[2] = hull(np.stack((a[2], b[2])))
+            items.remove(small)
+            continue
+        # the shared band is cut away on the side where least is lost
+        loser = small if a[1] != b[1] else big
+        x0, y0, x1, y1 = loser[2]
+        options = [(x0, y0, x1, low[1]), (x0, high[1], x1, y1), (x0, y0, low[0], y1), (high[0], y0, x1, y1)]
+        loser[2] = max((np.array(o, float) for o in options), key=size)
+        if size(loser[2]) < 1:
+            items.remove(loser)
+
+
 def dominated(regions: DataFrame, fringe: float = 0, labels: Sequence[str] = ("TEXT", "TABULAR")) -> DataFrame:
     """Per page: large regions take in what lies within them; of two that still overlap, text and table join when their rows agree
     by more than 0.9 and otherwise give the shared band to the larger, and of one label the larger is cut by the smaller."""
     labels = list(labels)
-    schema = regions.select("page_id", "block_id", "label").schema
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields) + ", " + ", ".join(f"{c} double" for c in BOX)
 
-    def size(b: list[float]) -> float:
-        return max(0.0, b[2] - b[0]) * max(0.0, b[3] - b[1])
+    def work(g: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        box, mine = boxes_of(g).astype(float), np.isin(g["label"].astype(str), labels)
+        items = [[i, x, b] for i, x, b in zip(g["block_id"][mine], g["label"][mine], box[mine])]
+        items = resolved(absorbed(items, fringe)) + [[i, x, b] for i, x, b in zip(g["block_id"][~mine], g["label"][~mine], box[~mine])]
+        done = np.stack([r[2] for r in items]) if items else np.zeros((0, 4))
+        out = {"page_id": np.repeat(g["page_id"][:1], len(items)), "block_id": np.array([r[0] for r in items], object), "label": np.array([r[1] for r in items], object)}
+        return out | {c: done[:, k] for k, c in enumerate(BOX)}
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        page = pdf["page_id"].iloc[0]
-        rest = pdf[~pdf["label"].isin(labels)]
-        items = [[r.block_id, r.label, [float(getattr(r, c)) for c in BOX]] for r in pdf[pdf["label"].isin(labels)].itertuples()]
-        items.sort(key=lambda r: (-size(r[2]), r[0]))
-        kept: list[list] = []
-        for r in items:
-            host = next((k for k in kept if all((k[2][0] - fringe <= r[2][0], k[2][1] - fringe <= r[2][1], k[2][2] + fringe >= r[2][2], k[2][3] + fringe >= r[2][3]))), None)
-            if host is None:
-                kept.append(r)
-            else:
-                host[2] = [min(host[2][0], r[2][0]), min(host[2][1], r[2][1]), max(host[2][2], r[2][2]), max(host[2][3], r[2][3])]
-        todo = True
-        while todo:
-            todo = False
-            for i in range(len(kept)):
-                for j in range(i + 1, len(kept)):
-                    a, b = kept[i], kept[j]
-                    x0, y0, x1, y1 = max(a[2][0], b[2][0]), max(a[2][1], b[2][1]), min(a[2][2], b[2][2]), min(a[2][3], b[2][3])
-                    if x1 - x0 <= 0 or y1 - y0 <= 0 or (x1 - x0) * (y1 - y0) < 1:
-                        continue
-                    big, small = (a, b) if (size(a[2]), b[0]) >= (size(b[2]), a[0]) else (b, a)
-                    rows = min(a[2][3] - a[2][1], b[2][3] - b[2][1])
-                    if a[1] != b[1] and rows > 0 and (y1 - y0) / rows > 0.9:
-                        big[2] = [min(a[2][0], b[2][0]), min(a[2][1], b[2][1]), max(a[2][2], b[2][2]), max(a[2][3], b[2][3])]
-                        kept.remove(small)
-                    else:
-                        # cut away the shared band, from the one that loses less
-                        loser = small if a[1] != b[1] else big
-                        options = [[loser[2][0], loser[2][1], loser[2][2], y0], [loser[2][0], y1, loser[2][2], loser[2][3]], [loser[2][0], loser[2][1], x0, loser[2][3]], [x1, loser[2][1], loser[2][2], loser[2][3]]]
-                        loser[2] = max(options, key=size)
-                        if size(loser[2]) < 1:
-                            kept.remove(loser)
-                    todo = True
-                    break
-                if todo:
-                    break
-        out = pd.DataFrame([[page, k[0], k[1], *k[2]] for k in kept], columns=["page_id", "block_id", "label", *BOX])
-        rest = rest[["page_id", "block_id", "label", *BOX]].astype({c: float for c in BOX})
-        return out if not len(rest) else rest if not len(out) else pd.concat([out, rest], ignore_index=True)
-
-    return regions.select("page_id", "block_id", "label", *BOX).groupBy("page_id").applyInPandas(run, kinds)
-
-
-def grown_along_order(regions: DataFrame, label: str, low: float = 0.5, high: float = 0.8, distance: float = 20, max_error: float = 0.05) -> DataFrame:
-    """Per page, along the reading order of one label: a run of regions is united while the cohesion of its union stays above ``low``,
-    from ``high`` on it is taken; it ends at a gap beyond ``distance`` or where it would cover more than ``max_error`` of a region of another label."""
-    schema = regions.select("page_id", "block_id", "label").schema
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields) + ", " + ", ".join(f"{c} double" for c in BOX)
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.astype({c: float for c in BOX})
-        own, other = pdf[pdf["label"] == label].sort_values("block_id"), pdf[pdf["label"] != label]
-        if len(own) < 2:
-            return pdf
-        box = own[BOX].to_numpy()
-        order = [g[0] for g in cut_order(box, SCORES["widest_gap"])]
-        box, ids = box[order], own["block_id"].to_numpy()[order]
-        others = other[BOX].to_numpy()
-        size = lambda b: np.maximum(0, b[..., 2] - b[..., 0]) * np.maximum(0, b[..., 3] - b[..., 1])
+    return of_page(regions, work, "double")
+
+
+def grown_along_order(regions: DataFrame, label: str, low: float = 0.5, high: float = 0.8, distance: float = 20, max_error: float = 0.05, obstacles: Sequence[str] = (), fringe: float = 0) -> DataFrame:
+    """Per page, along the reading order of one label: a run of regions is united while the cohesion of its union stays above ``low``; from
+    ``high`` on the union is taken and the run goes on from it.
+
+    A run ends at a gap beyond ``distance``, where its box, inset by ``fringe``, would hit a region of a label of ``obstacles``, or where it
+    would cover more than ``max_error`` of a region of another label.
+    """
+    obstacles = list(obstacles)
+
+    def grow(box: np.ndarray, others: np.ndarray, walls: np.ndarray) -> list[tuple[int, np.ndarray]]:
+        """(first region, box) of each run of boxes in order."""
         out, i = [], 0
         while i < len(box):
-            now, parts, end, best = box[i], size(box[i]), i, box[i]
-            for j in range(i + 1, len(box)):
+            best, parts, end, now, sizes = box[i], size(box[i]), i, box[i], size(box[i])
+            j = i + 1
+            while j < len(box):
                 gap = np.maximum(np.maximum(box[j, :2] - now[2:], now[:2] - box[j, 2:]), 0)
                 if np.hypot(*gap) > distance:
                     break
-                now = np.concatenate((np.minimum(now[:2], box[j, :2]), np.maximum(now[2:], box[j, 2:])))
-                parts += size(box[j])
-                share = np.concatenate((np.maximum(others[:, :2], now[:2]), np.minimum(others[:, 2:], now[2:])), 1) if len(others) else np.zeros((0, 4))
-                error = (size(share) / np.maximum(size(others), 1e-9)).max() if len(others) else 0
-                c = parts / max(size(now), 1e-9)
+                now = hull(np.stack((now, box[j])))
+                inner = now + np.array([fringe, fringe, -fringe, -fringe])
+                if len(walls) and ((walls[:, :2] <= inner[2:]) & (walls[:, 2:] >= inner[:2])).all(1).any():
+                    break
+                sizes = sizes + size(box[j])
+                error = (shared_area(others, now[None])[:, 0] / np.maximum(size(others), 1e-9)).max() if len(others) else 0
+                c = sizes / max(size(now), 1e-9)
                 if c < low or error > max_error:
                     break
                 if c > high:
-                    end, best = j, now
-            out.append((pdf["page_id"].iloc[0], ids[i], label, *best))
+                    # from here on the union is one region
+                    end, best, parts = j, now, size(now)
+                    sizes = parts
+                j += 1
+            out.append((i, best))
             i = end + 1
-        done = pd.DataFrame(out, columns=["page_id", "block_id", "label", *BOX])
-        return pd.concat([done, other[["page_id", "block_id", "label", *BOX]]], ignore_index=True) if len(other) else done
-
-    return regions.select("page_id", "block_id", "label", *BOX).groupBy("page_id").applyInPandas(run, kinds)
+        return out
+
+    def work(g: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        box, kind, ids = boxes_of(g).astype(float), g["label"].astype(str), g["block_id"]
+        own = np.flatnonzero(kind == label)
+        own = own[np.argsort(ids[own].astype(str), kind="stable")]
+        rest = np.flatnonzero(kind != label)
+        if len(own) > 1:
+            own = own[[k[0] for k in cut_order(box[own], SCORES["widest_gap"])]]
+        runs = grow(box[own], box[rest], box[np.isin(kind, obstacles)])
+        kept = np.concatenate((own[[i for i, _ in runs]], rest)) if len(own) else rest
+        done = np.concatenate((np.stack([b for _, b in runs]), box[rest])) if runs else box[rest]
+        return {"page_id": np.repeat(g["page_id"][:1], len(kept)), "block_id": ids[kept], "label": g["label"][kept], **{c: done[:, k] for k, c in enumerate(BOX)}}
+
+    return of_page(regions, work, "double")
 
 
 def split_on(regions: DataFrame, cuts: DataFrame, axis: str, least: float = 0.2) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from broadsheet.operators.stats import percentiles
 from broadsheet.session import write_shared
 
 
@@ -28,7 +29,9 @@ def stratified(df: DataFrame, strata: Sequence[str], key: str, sizes: dict[str,
     """
     size = F.coalesce(F.create_map(*[x for k, v in sizes.items() for x in (F.lit(k), F.lit(v))])[F.col(by)], F.lit(0))
     w = W.partitionBy(*strata).orderBy(order_key(F.col(key), seed), key)
-    return df.withColumn("__k", F.row_number().over(w)).filter(F.col("__k") <= size).drop("__k")
+    # the bound by a number is what lets each task drop rows before the shuffle
+    ranked = df.withColumn("__k", F.row_number().over(w)).filter(F.col("__k") <= max(sizes.values(), default=0))
+    return ranked.filter(F.col("__k") <= size).drop("__k")
 
 
 def _ranked(df: DataFrame, key: str, seed: int) -> tuple[DataFrame, int]:
@@ -75,7 +78,8 @@ def split_floor(total: Column, ratio: float) -> Column:
 
 def discretized(df: DataFrame, value: str, n: int = 3) -> DataFrame:
     """Adds ``bin``: how many of the quantiles 1/n .. (n-1)/n the value reaches."""
-    cuts = df.agg(F.percentile(value, F.array(*[F.lit(i / n) for i in range(1, n)])).alias("q")).first()["q"] or []
+    found = percentiles(df, [], value, [i / n for i in range(1, n)]).first()
+    cuts = found["q"] if found else []
     steps = [F.when(F.col(value) < F.lit(c), 0).otherwise(1) for c in cuts]
     total = F.lit(0)
     for s in steps:
@@ -97,15 +101,22 @@ def covering_split(counts: DataFrame, key: str, ratio: float = 0.8, rounds: int
     barred = fixed.filter("split = 'val'").select(key) if fixed is not None else keys.limit(0)
     free = counts.join(barred, key, "left_anti")
     taken = write_shared(taken, "taken")
-    for _ in range(rounds):
+    for turn in range(rounds + 1):
         have = counts.join(taken, key, "left_semi").groupBy("letter").agg(F.sum("n").alias("have"))
         short = totals.join(have, "letter", "left").withColumn("missing", F.col("need") - F.coalesce("have", F.lit(0))).filter("missing > 0").select("letter", "missing")
         short = write_shared(short, "short")
         if short.isEmpty():
             break
-        rest = free.join(taken, key, "left_anti").join(short, "letter")
-        w = W.partitionBy("letter").orderBy(F.desc("n"), order_key(F.col(key)), key)
-        more = rest.withColumn("before", F.sum("n").over(w) - F.col("n")).filter(F.col("before") < F.col("missing")).select(key).distinct()
+        if turn == rounds:
+            raise RuntimeError(f"constraints not met in {rounds} rounds")
+        # summed by how often a text holds the letter, then, within the one frequency where the sum passes, by the hash of the text:
+        # a letter that most texts hold is no single task's list
+        rest = write_shared(free.join(taken, key, "left_anti").join(short, "letter").withColumn("h", order_key(F.col(key))).withColumn("b", F.substring("h", 1, 3)), "free")
+        step = rest.groupBy("letter", "n", "b").agg(F.sum("n").alias("m"))
+        ahead = step.withColumn("ahead", F.sum("m").over(W.partitionBy("letter").orderBy(F.desc("n"), "b")) - F.col("m")).drop("m")
+        near = rest.join(ahead, ["letter", "n", "b"]).filter(F.col("ahead") < F.col("missing"))
+        within = F.sum("n").over(W.partitionBy("letter", "n", "b").orderBy("h", key)) - F.col("n")
+        more = near.withColumn("before", F.col("ahead") + within).filter(F.col("before") < F.col("missing")).select(key).distinct()
         more = write_shared(more, "more")
         if more.isEmpty():
             break

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from broadsheet.plans import corpus_queries, layout_queries, pipeline, source_queries
+from broadsheet.plans import corpus_queries, layout_queries, pipeline, source_queries, stage_queries
 
-MODULES = [pipeline, layout_queries, corpus_queries, source_queries]
+MODULES = [pipeline, layout_queries, corpus_queries, source_queries, stage_queries]
 
 Query = Callable[[SparkSession, str], DataFrame]
 

@@ -201,12 +201,12 @@ def sample_names(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def cluster_signature(spark: SparkSession, folder: str) -> DataFrame:
-    """Vectors as signatures, single linkage at L1 distance 25."""
-    return stats.clusters(stats.quantized(table(spark, folder, "embeddings")).select("vec_id", "vector"), "vec_id", "vector", 25)
+    """Vectors as signatures, single linkage at L1 distance 40."""
+    return stats.clusters(stats.quantized(table(spark, folder, "embeddings")).select("vec_id", "vector"), "vec_id", "vector", 40)
 
 
 def signature_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    return stats.l1_pairs(stats.quantized(table(spark, folder, "embeddings")).select("vec_id", "vector"), "vec_id", "vector", 25)
+    return stats.l1_pairs(stats.quantized(table(spark, folder, "embeddings")).select("vec_id", "vector"), "vec_id", "vector", 40)
 
 
 NAMES = [
@@ -293,8 +293,8 @@ SELECT fold, 'val' AS set, own AS n FROM f UNION ALL SELECT fold, 'test', own FR
         "quantile_bins": """WITH q AS (SELECT quantile_cont(n_chars, [1 / 3, 2 / 3]) AS q FROM documents WHERE n_chars IS NOT NULL)
 SELECT doc_id, CAST(CASE WHEN n_chars < q[1] THEN 0 ELSE 1 END + CASE WHEN n_chars < q[2] THEN 0 ELSE 1 END AS INT) AS bin FROM documents, q WHERE n_chars IS NOT NULL""",
         "sample_names": "SELECT task_id, regexp_replace(regexp_replace(path, '^/+|/+$', '', 'g'), '/+', '--', 'g') AS name FROM task",
-        "signature_pairs": f"WITH {near} SELECT a, b, CAST(distance AS INT) AS distance FROM n WHERE distance <= 25 AND (distance > 0 OR NOT EXISTS (SELECT 1 FROM n m WHERE m.b = n.a AND m.distance = 0))",
-        "cluster_signature": f"""WITH RECURSIVE {near}, e AS (SELECT a, b FROM n WHERE distance <= 25 UNION ALL SELECT b, a FROM n WHERE distance <= 25),
+        "signature_pairs": f"WITH {near} SELECT a, b, CAST(distance AS INT) AS distance FROM n WHERE distance <= 40 AND (distance > 0 OR NOT EXISTS (SELECT 1 FROM n m WHERE m.b = n.a AND m.distance = 0))",
+        "cluster_signature": f"""WITH RECURSIVE {near}, e AS (SELECT a, b FROM n WHERE distance <= 40 UNION ALL SELECT b, a FROM n WHERE distance <= 40),
 r(node, other) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.node, e.b FROM r JOIN e ON r.other = e.a) SELECT node AS vec_id, min(other) AS cluster FROM r GROUP BY node""",
     }
     return {name: duck(sql) for name, sql in s.items()}

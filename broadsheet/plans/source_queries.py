@@ -71,8 +71,10 @@ def region_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def mask_signature(spark: SparkSession, folder: str) -> DataFrame:
+    """Pixels and rows of the mask of each page and label."""
     found = geometry.mask_signature(boxes(spark, folder), PAGE_WIDTH, PAGE_HEIGHT)
-    return found.select("page_id", "label", F.bit_count(F.conv(F.hex(F.substring("mask", 1, 8)), 16, 10).cast("decimal(20,0)").cast("bigint")).alias("first_bits"), F.sha2("mask", 256).alias("digest"))
+    line = F.transform("mask", lambda r: F.concat_ws(":", r["y"], r["w0"], r["w1"], r["w2"], r["w3"]))
+    return found.select("page_id", "label", "pixels", F.md5(F.concat_ws(";", line)).alias("digest"))
 
 
 def path_recognition(spark: SparkSession, folder: str) -> DataFrame:
@@ -148,6 +150,12 @@ SELECT page_path, '<?xml version="1.0" encoding="UTF-8"?><PcGts xmlns="{pagexml.
   || '" imageWidth="0" imageHeight="0"><ReadingOrder><OrderedGroup id="ro">' || string_agg('<RegionRefIndexed index="' || i || '" regionRef="' || region || '"/>', '' ORDER BY i) || '</OrderedGroup></ReadingOrder>'
   || string_agg('<TextRegion id="' || region || '"><Coords points="' || points || '"/>' || lines || '</TextRegion>', '' ORDER BY i) || '</Page></PcGts>' AS xml FROM n GROUP BY page_path""",
         "archive_round_trip": "SELECT page_path AS page, predictor, label, block_id, line_id, text FROM {ocr_lines}",
+        "mask_signature": f"""WITH b AS (SELECT page_id, label, maxx - minx > 4 AND maxy - miny > 4 AS solid,
+  {", ".join(f"CAST(least(greatest({f}(({c} {d} 2) * 128 / {size}), 0), 128) AS INT) AS {n}" for f, c, d, size, n in (("floor", "minx", "+", PAGE_WIDTH, "x0"), ("floor", "miny", "+", PAGE_HEIGHT, "y0"), ("ceil", "maxx", "-", PAGE_WIDTH, "x1"), ("ceil", "maxy", "-", PAGE_HEIGHT, "y1")))} FROM {{boxes}}),
+r AS (SELECT page_id, label, y, {", ".join(f"bit_or(CAST(pow(2, least(greatest(x1 - {32 * k}, 0), 32)) AS BIGINT) - CAST(pow(2, least(greatest(x0 - {32 * k}, 0), 32)) AS BIGINT)) AS w{k}" for k in range(4))}
+  FROM b, range(128) t(y) WHERE solid AND x0 < x1 AND y >= y0 AND y < y1 GROUP BY page_id, label, y),
+s AS (SELECT page_id, label, CAST(sum(bit_count(w0) + bit_count(w1) + bit_count(w2) + bit_count(w3)) AS BIGINT) AS pixels, string_agg(concat_ws(':', y, w0, w1, w2, w3), ';' ORDER BY y) AS lines FROM r GROUP BY page_id, label)
+SELECT DISTINCT b.page_id, b.label, coalesce(pixels, 0) AS pixels, md5(coalesce(lines, '')) AS digest FROM b LEFT JOIN s ON s.page_id = b.page_id AND s.label = b.label""",
         "path_recognition": "SELECT row_id, CASE WHEN coalesce(confidence * 40, 0) >= 6 THEN 'text for ' || concat_ws('/', predictor, label, block_id, CAST(line_id AS VARCHAR)) || '.' ELSE '' END AS text FROM {ocr_lines}",
         "class_weights": "WITH c AS (SELECT CAST(l_suppkey % 4 AS INT) AS label, count(*) AS n FROM lineitem GROUP BY 1) SELECT CAST(k AS INT) AS label, round(coalesce((SELECT median(n) FROM c) / c.n, 0.0), 6) AS weight FROM range(4) r(k) LEFT JOIN c ON c.label = k",
         "tile_layout": """WITH p AS (SELECT *, CASE WHEN width <= 1280 THEN 1 ELSE CAST(ceil((width - 50) / 1230) AS INT) END AS nx, CASE WHEN height <= 896 THEN 1 ELSE CAST(ceil((height - 50) / 846) AS INT) END AS ny FROM scan_page WHERE width IS NOT NULL AND height IS NOT NULL)
