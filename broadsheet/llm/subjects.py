@@ -171,21 +171,42 @@ def sentences(text: str) -> list[list[str]]:
     return Cut(pa.array([text], pa.string())).sentences()
 
 
-def mixed(s: str, seed: int) -> int:
-    """A hash that is the same in every process."""
-    h = 0xCBF29CE484222325 ^ seed
-    for c in s:
-        h = ((h ^ ord(c)) * 0x100000001B3) & 0xFFFFFFFFFFFFFFFF
-    return (h ^ h >> 31) % FEATURES
-
-
-def features(word: str) -> list[int]:
-    """Hashed ids of a word and its letter n-grams."""
-    ids = [mixed(word, 1)]
-    framed = f"<{word}>"
-    for n in NGRAMS:
-        ids += [mixed(framed[k : k + n], 2) for k in range(len(framed) - n + 1)]
-    return ids
+BASIS, PRIME = np.uint64(0xCBF29CE484222325), np.uint64(0x100000001B3)
+
+
+def ids_of(h: np.ndarray) -> np.ndarray:
+    return ((h ^ h >> np.uint64(31)) % np.uint64(FEATURES)).astype(np.int64)
+
+
+def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(hashed ids of each word and of its letter n-grams, word by word; number of ids of each): the same in every process."""
+    cps, offs = decode(pa.array(words, pa.string()))
+    n, size = len(words), np.diff(offs)
+    wide = cps.astype(np.uint64)
+    with np.errstate(over="ignore"):
+        whole = np.full(n, BASIS ^ np.uint64(1))
+        live = np.flatnonzero(size > 0)
+        k = 0
+        while len(live):
+            whole[live] = (whole[live] ^ wide[offs[live] + k]) * PRIME
+            k += 1
+            live = live[size[live] > k]
+        # n-grams of <word>
+        framed = np.full(len(cps) + 2 * n, ord(">"), np.uint64)
+        start = offs[:-1] + 2 * np.arange(n)
+        framed[start] = ord("<")
+        framed[np.repeat(start + 1 - offs[:-1], size) + np.arange(len(cps))] = wide
+        ids, owner = [ids_of(whole)], [np.arange(n)]
+        for g in NGRAMS:
+            count = np.maximum(size + 3 - g, 0)
+            at = np.repeat(start, count) + ramp(count)
+            h = np.full(len(at), BASIS ^ np.uint64(2))
+            for k in range(g):
+                h = (h ^ framed[at + k]) * PRIME
+            ids.append(ids_of(h))
+            owner.append(np.repeat(np.arange(n), count))
+    owner = np.concatenate(owner)
+    return np.concatenate(ids)[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=n)
 
 
 class Model:
@@ -206,9 +227,7 @@ class Packed:
     def __init__(self, texts: list[list[str]]):
         place: dict[str, int] = {}
         tokens = np.array([place.setdefault(w, len(place)) for words in texts for w in words], np.int64)
-        lists = [features(w) for w in place]
-        self.ids = np.array([f for x in lists for f in x], np.int64)
-        size = np.array([len(x) for x in lists], np.int64)
+        self.ids, size = features(list(place))
         self.word_start, self.word_size = np.cumsum(size) - size, size.astype(np.float32)
         length = np.array([len(x) for x in texts], np.int64)
         self.tokens, self.start, self.length = tokens, np.cumsum(length) - length, length.astype(np.float32)
@@ -349,6 +368,20 @@ def fit(rows: DataFrame, subjects: list[str], rounds: int) -> Model:
 # The corpus as word hashes.
 
 
+#: Bytes of text that are cut together. It bounds memory, not results: a longer text is a slice of its own.
+SLICE_BYTES = 1 << 20
+
+
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches (.., text) cut into runs of rows of about ``SLICE_BYTES`` of text."""
+    for b in batches:
+        sizes = pa.compute.binary_length(b.column(1)).fill_null(0).to_numpy(zero_copy_only=False)
+        part = np.cumsum(sizes) // SLICE_BYTES
+        edges = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.zeros(0, int)
+        for a, z in zip(edges.tolist(), [*edges[1:].tolist(), len(b)]):
+            yield b.slice(a, z - a)
+
+
 def word_table(documents: DataFrame) -> DataFrame:
     """(doc_id, h ARRAY, lengths ARRAY, words STRING) of every document with words, written once to the shared folder.
 
@@ -357,7 +390,7 @@ def word_table(documents: DataFrame) -> DataFrame:
     ship(documents.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             c = Cut(b.column(1))
             n = c.rows
             count = np.bincount(c.row, minlength=n)
@@ -422,9 +455,8 @@ class WordScores:
         if new.any():
             if len(self.h) > 500_000:  # bounds memory, not results
                 self.h, self.score, new = self.h[:0], self.score[:0], np.ones(len(distinct), bool)
-            lists = [features(w) for w in s.spellings(b, first[new])]
-            size = np.array([len(x) for x in lists])
-            vectors = np.add.reduceat(self.model.words[np.array([f for x in lists for f in x])], np.cumsum(size) - size, axis=0) / size[:, None]
+            ids, size = features(s.spellings(b, first[new]))
+            vectors = np.add.reduceat(self.model.words[ids], np.cumsum(size) - size, axis=0) / size[:, None]
             h = np.concatenate((self.h, distinct[new]))
             order = np.argsort(h, kind="stable")
             self.h, self.score = h[order], np.concatenate((self.score, (vectors @ self.model.out).astype(np.float32)))[order]
