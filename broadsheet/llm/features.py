@@ -153,8 +153,6 @@ def reading_place(block_id: Column, line_id: Column) -> Column:
     return block * (1 << 24) + F.coalesce(line_id.cast("bigint"), F.lit((1 << 24) - 1))
 
 
-def is_page_number(nums: Column, page_path: Column) -> Column:
-    """Whether the lone number of a line is the number of its page."""
-    return nums.isNotNull() & (F.regexp_replace(nums, "^0+(?=.)", "").try_cast("bigint") == F.regexp_extract(page_path, r"/0*(\d+)\.[A-Za-z]+$", 1).try_cast("bigint"))
-
-
+def page_offset(nums: Column, page_path: Column) -> Column:
+    """The lone number of a line less the number of its page file; NULL if either is missing."""
+    return F.regexp_replace(nums, "^0+(?=.)", "").try_cast("bigint") - F.regexp_extract(page_path, r"/0*(\d+)\.[A-Za-z]+$", 1).try_cast("bigint")

@@ -1,20 +1,36 @@
-"""Running headers and footers: titles that repeat at the edges of a paper's pages, whatever date and number stand beside."""
+"""Running headers and footers: titles that repeat at the edges of a paper's pages, whatever date and number stand beside; page numbers."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from broadsheet.llm.features import is_page_number
+from broadsheet.llm.features import page_offset
+from broadsheet.session import broadcast_if_small, write_shared
 
 #: A title must stand at the edge of this share of a paper's pages, and of this many.
 TITLE_SHARE = 0.05
 TITLE_PAGES = 3
+#: Pages of an issue whose lone numbers must rise with the pages, if the first page is not number one.
+SEQUENCE_PAGES = 3
 
 
 def page_number(f: DataFrame) -> DataFrame:
-    """``f`` with ``is_pagenum``: running text that is only the number of its page."""
-    return f.withColumn("is_pagenum", F.coalesce((F.col("label") == "TEXT") & is_page_number(F.col("pagenum"), F.col("page")), F.lit(False)))
+    """``f``, read from files, with ``is_pagenum`` and without ``pagenum``: running text that is only a number of the sequence of its issue's page numbers.
+
+    The pages of an issue are in the order of their files. A lone number belongs to a sequence if its distance from the page's place is
+    that of the sequence: none, where an issue counts from one, or the distance that most of the issue's pages show, on
+    ``SEQUENCE_PAGES`` pages at least and on more than show none.
+    """
+    f = f.withColumn("offset", F.when(F.col("label") == "TEXT", page_offset(F.col("pagenum"), F.col("page")))).withColumn("issue", F.regexp_replace("page", "/[^/]*$", ""))
+    lone = f.filter("offset IS NOT NULL")
+    per = lone.groupBy("issue", "offset").agg(F.countDistinct("page").alias("n"))
+    best = per.groupBy("issue").agg(F.max(F.when(F.col("offset") != 0, F.struct("n", -F.abs("offset"), "offset"))).alias("b"), F.max(F.when(F.col("offset") == 0, F.col("n"))).alias("plain"))
+    best = best.filter(F.col("b.n") >= F.greatest(F.lit(SEQUENCE_PAGES), F.coalesce("plain", F.lit(0)) + 1)).select("issue", F.col("b.offset").alias("start"))
+    best = broadcast_if_small(write_shared(best, "page-sequences"))
+    found = lone.join(best, "issue", "left").withColumn("is_pagenum", (F.col("offset") == 0) | F.coalesce(F.col("offset") == F.col("start"), F.lit(False))).drop("start")
+    rest = f.filter("offset IS NULL").withColumn("is_pagenum", F.lit(False))
+    return rest.unionByName(found).drop("offset", "issue", "pagenum")
 
 
 def titles(f: DataFrame) -> DataFrame:

@@ -1,15 +1,15 @@
 """Problem 4: text of scanned pages as continuous, readable paragraphs.
 
 * Headers and footers: titles that repeat at the edges of a paper's pages, with date and numbers aside (``headers``).
-* Page numbers: running text that is only the number of its page.
-* Hyphens: a line that ends in a letter and a hyphen goes on in the page's next line of running text, unless that begins with
-  a word before which a hyphen is kept.
+* Page numbers: running text that is only a number of the sequence of its issue's page numbers (``headers.page_number``).
+* Hyphens: a line that ends in a letter and a hyphen goes on in the page's next line of running text, unless the hyphen hangs: before
+  a word that keeps it, or before one of the corpus's most frequent words if the vocabulary does not know the two joined.
 * Misread words: the corpus vocabulary counts whole words, those broken at a line end joined. A rare word that is a
   likely misreading (letters that scanning confuses, one lost, one doubled) of a word many times as frequent is misread, and so
   is a word with a digit or bar among its letters.
 
 NULL, empty and unlettered texts have no defect but may stand for the next line of a broken word; a line that is broken though
-nothing follows is still broken. Rows without a page have no neighbours. A page is read in order within one task:
+nothing follows is still broken. Rows without a page have no neighbours, are no part of a page's text, and each is a group of its own. A page is read in order within one task:
 its lines are bounded by the sheet, and the sort spills.
 """
 
@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from broadsheet.functions.paths import main_page
@@ -40,6 +40,8 @@ EITHER_WAY = ["ec", "un", "rt", "sf", "hb", "gq", "vp", "vo", "tk"]
 ONE_WAY = ["i1", "l1", "l|", "s5", "o0", "b6", "é6", "ßb"]
 APART = [("m", "rn"), ("d", "cl"), ("w", "vv"), ("ü", "ii"), ("ä", "ii"), ("nn", "im")]
 
+#: A word is one of the most frequent if it is one in so many of all words.
+FREQUENT = 500
 #: A word must be this frequent before others count as its misreadings.
 MIN_COUNT = 10
 #: (times as frequent, most occurrences of the misreading beside a share of the word's) by kind of misreading.
@@ -78,7 +80,7 @@ def prepared(rows: DataFrame) -> DataFrame:
             skel = pa.compute.if_else(pa.array(some), "x", "")
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in kept], encode(cps, offs, text.is_valid()), skel, found["title"], found["pagenum"]], names=[*kept, "text", "skel", "title", "pagenum"])
 
-    return write_shared(page_number(named.mapInArrow(run, schema)).drop("pagenum"), "page-lines")
+    return page_number(write_shared(named.mapInArrow(run, schema), "page-lines"))
 
 
 BROKEN = re.compile(r"([^\W_]+)[\u0300-\u036f]*[" + HYPHENS.replace("-", r"\-") + r"]+\s*$")
@@ -120,7 +122,8 @@ def with_neighbours(f: DataFrame) -> DataFrame:
     Rows are sorted within hash partitions of the page and streamed; of an open page only the last two lines are held.
     """
     flows = (F.col("tab") == "ocr") & (F.coalesce("label", F.lit("TEXT")) == "TEXT") & ~F.col("is_pagenum") & ~F.col("is_header")
-    rows = f.select("tab", "row_id", "page", "place", F.when(flows, 0).otherwise(1).alias("aside"), "text", "is_header", "is_pagenum")
+    alone = F.concat(F.lit("\0"), "tab", F.lit("/"), F.coalesce(F.col("row_id").cast("string"), F.lit("")))
+    rows = f.select("tab", "row_id", F.coalesce("page", alone).alias("page"), "place", F.when(flows, 0).otherwise(1).alias("aside"), "text", "is_header", "is_pagenum")
     given = list(rows.columns)
     columns = [*given, "broken", "before", "after"]
 
@@ -141,7 +144,8 @@ def with_neighbours(f: DataFrame) -> DataFrame:
             yield held.iloc[done:][columns]
 
     kinds = ", ".join(f"{x.name} {x.dataType.simpleString()}" for x in rows.schema.fields) + ", broken boolean, before string, after string"
-    return rows.repartition("page").sortWithinPartitions("page", "place", "aside", "row_id").mapInPandas(run, kinds).drop("aside")
+    done = rows.repartition("page").sortWithinPartitions("page", "place", "aside", "row_id").mapInPandas(run, kinds).drop("aside")
+    return done.withColumn("page", F.when(~F.col("page").startswith("\0"), F.col("page")))
 
 
 class Listed:
@@ -294,29 +298,48 @@ class Repair:
         """(tab, row_id, word, right) of the misread words of each line."""
         return looked_up(self.rows, self.misread)
 
+    def frequent(self) -> list[str]:
+        """The words of which one is met in ``FREQUENT`` words of the corpus: no more than that many."""
+        total = self.vocab.agg(F.sum("n")).first()[0] or 0
+        return sorted(r["word"] for r in self.vocab.filter(F.col("n") * FREQUENT >= F.lit(total)).select("word").collect())
+
+    def joined(self, rows: DataFrame) -> DataFrame:
+        """Adds ``known``: whether the corpus has the word that a broken line and the next one make, more than this once."""
+        last = F.regexp_extract(F.lower("text"), r"([\p{L}\p{M}\p{N}|]+)[^\p{L}\p{M}\p{N}|]*$", 1)
+        word = F.when(F.col("broken") & (F.coalesce("after", F.lit("")) != ""), F.concat(last, F.col("after")))
+        known = self.vocab.filter("n > 1").select(F.col("word").alias("__joined"), F.lit(True).alias("known"))
+        open_rows = rows.filter("broken").withColumn("__joined", F.coalesce(word, F.concat(F.lit("\0"), F.col("row_id").cast("string")))).join(known, "__joined", "left").withColumn("known", F.coalesce("known", F.lit(False)))
+        return open_rows.drop("__joined").unionByName(rows.filter("NOT broken").withColumn("known", F.lit(False)))
+
+    def hangs(self, frequent: list[str]) -> Column:
+        """Whether a hyphen at a line's end is kept, of rows with ``known``."""
+        after = F.coalesce("after", F.lit(""))
+        return after.isin(KEEP_BEFORE) | (after.isin(frequent) & ~F.col("known"))
+
     def defects(self) -> DataFrame:
         """(tab, row_id, kind), one row for each kind of defect of a line."""
-        hyphen = F.col("broken") & ~F.coalesce(F.col("after").isin(KEEP_BEFORE), F.lit(False)) & ~F.col("is_header")
-        kinds = F.array_compact(F.array(F.when(F.col("is_header"), "header"), F.when(F.col("is_pagenum") & (F.col("tab") == "ocr"), "pagenum"), F.when(hyphen, "hyphen")))
+        frequent = self.frequent()
+        broken = self.rows.filter("broken AND NOT is_header")
+        doubt = F.coalesce(F.col("after").isin([w for w in frequent if w not in KEEP_BEFORE]), F.lit(False))
+        sure = broken.filter(~doubt & ~F.coalesce(F.col("after").isin(KEEP_BEFORE), F.lit(False)))
+        hyphen = sure.unionByName(self.joined(broken.filter(doubt)).filter(~self.hangs(frequent)).drop("known"))
+        kinds = F.array_compact(F.array(F.when(F.col("is_header"), "header"), F.when(F.col("is_pagenum") & (F.col("tab") == "ocr"), "pagenum")))
         plain = self.rows.select("tab", "row_id", F.explode(kinds).alias("kind"))
         bad = self.misread_words().select("tab", "row_id").distinct().withColumn("kind", F.lit("misread"))
-        return plain.unionByName(bad)
+        return plain.unionByName(hyphen.select("tab", "row_id", F.lit("hyphen").alias("kind"))).unionByName(bad)
 
     def paragraphs(self) -> DataFrame:
         """(page_path, text): each page as continuous paragraphs, without headers and page numbers, broken words joined, misread words put right.
 
         A line loaded again counts once. A broken word loses its hyphen if it goes on in lower case or the corpus knows the joined
-        word; it keeps it before the words that keep it and in compounds the corpus does not know. A page's lines are brought
+        word; it keeps it where it hangs and in compounds the corpus does not know. A page's lines are brought
         together, of which there are no more than on a sheet.
         """
-        flows = self.rows.filter("tab = 'ocr' AND NOT is_header AND NOT is_pagenum AND text IS NOT NULL")
+        flows = self.rows.filter("tab = 'ocr' AND NOT is_header AND NOT is_pagenum AND text IS NOT NULL AND page IS NOT NULL")
         one = flows.groupBy("page", "place").agg(F.min_by(F.struct("row_id", "text", "broken", "after"), "row_id").alias("r")).select("page", "place", "r.*")
-        last = F.regexp_extract(F.lower("text"), r"([\p{L}\p{M}\p{N}|]+)[^\p{L}\p{M}\p{N}|]*$", 1)
-        word = F.when(F.col("broken") & (F.coalesce("after", F.lit("")) != ""), F.concat(last, F.col("after")))
-        known = self.vocab.filter("n > 1").select(F.col("word").alias("joined"), F.lit(True).alias("known"))
-        one = one.withColumn("joined", word).join(known, "joined", "left")
-        keeps = F.coalesce(F.col("after").isin(KEEP_BEFORE), F.lit(False))
-        lines = one.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("place", "text", "broken", keeps.alias("keeps"), F.coalesce("known", F.lit(False)).alias("known")))).alias("lines"))
+        one = self.joined(one)
+        keeps = self.hangs(self.frequent())
+        lines = one.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("place", "text", "broken", keeps.alias("keeps"), "known"))).alias("lines"))
         fixes = self.misread_words().filter("tab = 'ocr' AND right IS NOT NULL").join(one.select("row_id", "page"), "row_id")
         fixes = fixes.groupBy("page").agg(F.collect_set(F.struct("word", "right")).alias("fixes"))
         ship(self.rows.sparkSession)
