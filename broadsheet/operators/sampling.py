@@ -27,10 +27,12 @@ def stratified(df: DataFrame, strata: Sequence[str], key: str, sizes: dict[str,
 
     Only the hash order within a stratum is needed: rows beyond its size are dropped before they are shuffled further.
     """
+    if not sizes:
+        return df.limit(0)
     size = F.coalesce(F.create_map(*[x for k, v in sizes.items() for x in (F.lit(k), F.lit(v))])[F.col(by)], F.lit(0))
     w = W.partitionBy(*strata).orderBy(order_key(F.col(key), seed), key)
     # the bound by a number is what lets each task drop rows before the shuffle
-    ranked = df.withColumn("__k", F.row_number().over(w)).filter(F.col("__k") <= max(sizes.values(), default=0))
+    ranked = df.withColumn("__k", F.row_number().over(w)).filter(F.col("__k") <= max(sizes.values()))
     return ranked.filter(F.col("__k") <= size).drop("__k")
 
 

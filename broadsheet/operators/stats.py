@@ -23,22 +23,24 @@ def percentiles(df: DataFrame, keys: list[str], value: str, shares: list[float])
     A mergeable sketch gives a band around each percentile; how many values lie below a band is counted, and only the values within it
     (one in 250 of a large group) are ranked. No task holds all values of a group.
     """
+    if not keys:
+        return percentiles(df.withColumn("__all", F.lit(0)), ["__all"], value, shares).drop("__all")
     rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("__v"))
     edges = [e for q in shares for e in (max(0.0, q - 2 * BAND), min(1.0, q + 2 * BAND))]
-    small = F.col("n") * BAND < 2
-    bands = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.percentile_approx("__v", edges, 10_000).alias("e"), F.min("__v").alias("least"), F.max("__v").alias("most"))
-    bands = write_shared(bands.withColumn("b", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.when(small, F.col("least")).otherwise(F.col("e")[2 * k]).alias("lo"), F.when(small, F.col("most")).otherwise(F.col("e")[2 * k + 1]).alias("hi"), F.lit(q).alias("share")) for k, q in enumerate(shares)]))).select(*keys, "n", "b.*"), "bands")
-    on = [F.col(f"__{k}").eqNullSafe(F.col(k)) for k in keys]
-    met = rows.select(*[F.col(k).alias(f"__{k}") for k in keys], "__v").join(broadcast_if_small(bands), on if keys else F.lit(True)).filter(F.col("__v") <= F.col("hi"))
+    small = F.col("__n") * BAND < 2
+    bands = rows.groupBy(*keys).agg(F.count("*").alias("__n"), F.percentile_approx("__v", edges, 10_000).alias("__e"), F.min("__v").alias("__least"), F.max("__v").alias("__most"))
+    bands = write_shared(bands.withColumn("__b", F.explode(F.array(*[F.struct(F.lit(k).alias("__q"), F.when(small, F.col("__least")).otherwise(F.col("__e")[2 * k]).alias("__lo"), F.when(small, F.col("__most")).otherwise(F.col("__e")[2 * k + 1]).alias("__hi"), F.lit(q).alias("__share")) for k, q in enumerate(shares)]))).select(*keys, "__n", "__b.*"), "bands")
+    on = [F.col(f"__k{i}").eqNullSafe(F.col(k)) for i, k in enumerate(keys)]
+    met = rows.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__v").join(broadcast_if_small(bands), on).filter(F.col("__v") <= F.col("__hi"))
     # equal values are one row from here on
-    counted = met.groupBy(*keys, "k", "n", "share", F.when(F.col("__v") >= F.col("lo"), F.col("__v")).alias("v")).agg(F.count("*").alias("c"))
-    order = W.partitionBy(*keys, "k").orderBy(F.col("v").asc_nulls_first())
-    ranked = counted.withColumn("end", F.sum("c").over(order.rowsBetween(W.unboundedPreceding, 0))).withColumn("at", F.col("share") * (F.col("n") - 1))
-    has = lambda i: F.max(F.when((F.col("end") > i) & (F.col("end") - F.col("c") <= i), F.col("v")))
-    low, high = F.floor("at"), F.ceil("at")
-    found = ranked.groupBy(*keys, "k", "n", "at").agg(has(low).alias("a"), has(high).alias("z"))
-    value_at = F.col("a") + (F.col("z") - F.col("a")) * (F.col("at") - F.floor("at"))
-    return found.groupBy(*keys, "n").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", value_at.alias("v")))), lambda x: x["v"]).alias("q"))
+    counted = met.groupBy(*keys, "__q", "__n", "__share", F.when(F.col("__v") >= F.col("__lo"), F.col("__v")).alias("__x")).agg(F.count("*").alias("__c"))
+    order = W.partitionBy(*keys, "__q").orderBy(F.col("__x").asc_nulls_first())
+    ranked = counted.withColumn("__end", F.sum("__c").over(order.rowsBetween(W.unboundedPreceding, 0))).withColumn("__at", F.col("__share") * (F.col("__n") - 1))
+    has = lambda i: F.max(F.when((F.col("__end") > i) & (F.col("__end") - F.col("__c") <= i), F.col("__x")))
+    low, high = F.floor("__at"), F.ceil("__at")
+    found = ranked.groupBy(*keys, "__q", "__n", "__at").agg(has(low).alias("__a"), has(high).alias("__z"))
+    value_at = F.col("__a") + (F.col("__z") - F.col("__a")) * (F.col("__at") - F.floor("__at"))
+    return found.groupBy(*keys, F.col("__n").alias("n")).agg(F.transform(F.array_sort(F.collect_list(F.struct("__q", value_at.alias("v")))), lambda x: x["v"]).alias("q"))
 
 
 def elapsed(runs: DataFrame) -> DataFrame:
