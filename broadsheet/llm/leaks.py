@@ -141,6 +141,21 @@ def leaks_of(text: str, items: list[Item], auto: ahocorasick.Automaton, back: li
     return out
 
 
+def in_original(text: str, src: np.ndarray, begin: int, end: int) -> tuple[int, int]:
+    """Places in the original text of the skeleton's characters from ``begin`` to ``end``.
+
+    A run of one class is one character of the skeleton: where it begins in the word before, that word is left out, and the rest of
+    a run at the end is taken in.
+    """
+    first = int(src[begin])
+    upto = int(src[begin + 1]) if begin + 1 < len(src) else len(text)
+    gap = max((k + 1 for k in range(first, upto) if text[k].isspace()), default=first)
+    last, limit = int(src[end - 1]) + 1, int(src[end]) if end < len(src) else len(text)
+    while last < limit and text[last].isalnum():
+        last += 1
+    return gap, last
+
+
 class Scanner:
     """Automata over all items, a part of ``ITEM_CHARS`` each, and the items mirrored for the way to the left."""
 
@@ -190,9 +205,9 @@ def leaks(documents: DataFrame, test_items: DataFrame, least: int = MIN_WORDS, c
         for b in batches:
             found: list[tuple[int, int, int, int, int]] = []
             texts, places = skeletons(b.column(1))
-            for doc, text, src in zip(b.column(0).to_pylist(), texts, places):
+            for k, (doc, text, src) in enumerate(zip(b.column(0).to_pylist(), texts, places)):
                 for item, words, begin, end in scanner.leaks_of(text):
-                    found.append((doc, item, words, int(src[max(begin, 0)]), int(src[end - 1]) + 1))
+                    found.append((doc, item, words, *in_original(b.column(1)[k].as_py(), src, max(begin, 0), end)))
             cols = list(zip(*found)) if found else [[]] * 5
             kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["doc_id", "item_id", "words", "begin", "end"])

@@ -122,7 +122,7 @@ def with_neighbours(f: DataFrame) -> DataFrame:
     Rows are sorted within hash partitions of the page and streamed; of an open page only the last two lines are held.
     """
     flows = (F.col("tab") == "ocr") & (F.coalesce("label", F.lit("TEXT")) == "TEXT") & ~F.col("is_pagenum") & ~F.col("is_header")
-    alone = F.concat(F.lit("\0"), "tab", F.lit("/"), F.coalesce(F.col("row_id").cast("string"), F.lit("")))
+    alone = F.concat(F.lit("\u0001"), "tab", F.lit("/"), F.coalesce(F.col("row_id").cast("string"), F.lit("")))
     rows = f.select("tab", "row_id", F.coalesce("page", alone).alias("page"), "place", F.when(flows, 0).otherwise(1).alias("aside"), "text", "is_header", "is_pagenum")
     given = list(rows.columns)
     columns = [*given, "broken", "before", "after"]
@@ -145,7 +145,7 @@ def with_neighbours(f: DataFrame) -> DataFrame:
 
     kinds = ", ".join(f"{x.name} {x.dataType.simpleString()}" for x in rows.schema.fields) + ", broken boolean, before string, after string"
     done = rows.repartition("page").sortWithinPartitions("page", "place", "aside", "row_id").mapInPandas(run, kinds).drop("aside")
-    return done.withColumn("page", F.when(~F.col("page").startswith("\0"), F.col("page")))
+    return done.withColumn("page", F.when(~F.col("page").startswith("\u0001"), F.col("page")))
 
 
 class Listed:

@@ -32,7 +32,7 @@ def test_query(spark, name):
     if name in sql:
         same(connect(), df, sql[name])
     else:
-        assert df.count() >= 0
+        assert df.collect()  # every column is computed
 
 
 # --- 2: characters ---------------------------------------------------------------------------------------------------
@@ -109,6 +109,10 @@ def test_ids_against_the_public_library(spark):
     got = tokens.encode_corpus(spark.createDataFrame([(k, x, [7]) for k, x in rows], "doc_id bigint, text string, ids array<int>")).collect()
     want = dict(enumerate(e.ids for e in t.encode_batch(texts, add_special_tokens=False)))
     assert len(got) == len(rows) and all(r["ids"] == (want[r["doc_id"]] if r["doc_id"] >= 0 else []) for r in got)
+    v, rng = tokens.vocabulary(tokens.default_path(), tokens.default_pattern()), random.Random(5)
+    for _ in range(60):  # long words: the heap, the rounds and the public library agree
+        w = "".join(rng.choice("etaoinsß"[: rng.randrange(2, 9)]) for _ in range(rng.randrange(150, 700)))
+        assert v.heaped(w.encode()).tolist() == v.rounds([w.encode()])[0].tolist() == t.encode(w, add_special_tokens=False).ids
     alone = tokens.encode_corpus(spark.createDataFrame([(1, None), (2, "")], "doc_id bigint, text string"), null_ids=False)
     assert {r["doc_id"]: r["ids"] for r in alone.collect()} == {1: None, 2: []}
     assert tokens.encode_corpus(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
@@ -135,7 +139,29 @@ def test_leaks_by_length_and_noise(spark):
     assert got == {(1, 7): 2, (3, 7): 1, (4, 7): 1, (6, 7): 1, (7, 7): 1, (11, 7): 1, (12, 7): 1}
     assert leaks.leaks(d, t.limit(0)).count() == 0 and leaks.leaks(d.limit(0), t).count() == 0
     r = leaks.leaks(d.filter("doc_id = 12"), t).first()
-    assert (LONG + " ".join(item))[r["begin"] : r["end"]].split()[0] == item[0] and r["words"] == 40
+    assert (LONG + " ".join(item))[r["begin"] : r["end"]] == " ".join(item) and r["words"] == 40
+
+
+def test_offsets_lead_to_the_original(spark):
+    """Invisible characters, ligatures and separate accents before and within a passage move nothing."""
+    item = [WORDS[(7 * k) % len(WORDS)].lower() for k in range(20)]
+    before = "​﻿ﬁﬃ ä\xad Ｈｅｒｒ " * 5
+    spoilt = [w.replace("a", "а") if k % 5 == 0 else w[:3] + "​" + w[3:] if k % 5 == 1 else w for k, w in enumerate(item)]
+    text = before + " ".join(spoilt) + " ﬂ danach"
+    d, t = spark.createDataFrame([(1, text)], "doc_id bigint, text string"), spark.createDataFrame([(5, " ".join(item))], "item_id bigint, text string")
+    r = leaks.leaks(d, t).collect()
+    assert len(r) == 1 and text[r[0]["begin"] : r[0]["end"]] == " ".join(spoilt)
+
+
+def test_any_number_of_items(spark):
+    """Items in parts by their size, and very short words, give the same rows."""
+    rng = random.Random(4)
+    items = [[rng.choice(WORDS) if k % 3 else rng.choice("abcdefgh") for _ in range(24)] for k in range(60)]
+    t = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id bigint, text string")
+    d = spark.createDataFrame([(k, "Quelle " * 5 + " ".join(items[k][2:20]) + " Zebra") for k in range(0, 60, 2)], "doc_id bigint, text string")
+    one = {tuple(r) for r in leaks.leaks(d, t).collect()}
+    assert one == {tuple(r) for r in leaks.leaks(d, t, chars=500).collect()}
+    assert {(k, k) for k in range(0, 60, 2) if k % 3} <= {r[:2] for r in one}
 
 
 # --- 1: overlaps -----------------------------------------------------------------------------------------------------
@@ -175,6 +201,36 @@ def test_word_alignment():
     assert not same("in altona am see", "in altonaa am see", altona=5, altonaa=5) and same("in bergedorf am see", "in bergdorf am see")
 
 
+def test_words_are_judged_alike_at_every_size():
+    cost = lambda a, b, na, nb: overlap.word_cost(a, b, skel(a), skel(b), na, nb)
+    for k in (1, 10, 1000):
+        assert cost("altona", "altonaa", 5 * k, 5 * k) > overlap.MAX_LETTERS  # both are words
+        assert cost("bergedorf", "bergdorf", k, 200 * k) <= overlap.MAX_LETTERS  # one a misreading of the other
+    assert [round(overlap.least_common(n)) for n in (0, 60, 50_000, 5_000_000)] == [9, 9, 135, 10305]
+
+
+def test_recall_against_all_pairs(spark):
+    """Every validation wording with an id divisible by 50 against all of training, word by word."""
+    lines = spark.read.parquet("/root/testdata/sf0.01/lines.parquet")
+    rows, w = overlap.wordings(lines)
+    found = {(r["v"], r["t"]) for r in overlap.wording_pairs(w).collect()}
+    asked = {r["wording"] for r in rows.filter("split = 'validation' AND row_id % 50 = 0").collect()}
+    told = {(r["split"], r["wording"]): (r["plain"].split(" "), r["skels"].split(" ")) for r in w.collect()}
+    counts = Counter(x for words in {k[1]: v[0] for k, v in told.items()}.values() for x in set(words))
+    common = overlap.least_common(len(told))
+    exact = {(v, t) for (s, v), a in told.items() if s == "validation" and v in asked for (z, t), b in told.items() if z == "training" and (v == t or (len(a[0]) == len(a[1]) and len(b[0]) == len(b[1]) and overlap.same_wording(a[0], b[0], a[1], b[1], counts, common)))}
+    assert len(asked) >= 10 and exact and len(exact & found) >= 0.9 * len(exact)
+    assert {p for p in found if p[0] in asked} <= exact
+
+
+def test_report_counts_rows_without_pairing_them(spark):
+    w = "Die Turmkasse bei Holzleben prüft heute neue Bergfeste."
+    rows = [(k, f"{'eic' if k % 4 else 'alt'}/1850/no1/jpg/1.jpg", w if k % 3 else w.lower(), k % 2 == 0, k % 2 == 1) for k in range(40)] + [(100, None, w, False, True)]
+    df = spark.createDataFrame(rows, "row_id bigint, page_path string, annotation string, training boolean, validation boolean")
+    got = {tuple(r) for r in overlap.report(df, spark.createDataFrame([], PAPER)).collect()}
+    assert got == {("eic", "eic", 200, 1.0, 20, 10), ("eic", "alt", 200, 1.0, 20, 10), (None, "eic", 10, 1.0, 1, 10), (None, "alt", 10, 1.0, 1, 10)}
+
+
 # --- 4: repair -------------------------------------------------------------------------------------------------------
 
 OCR = "row_id bigint, paper_code string, page_path string, predictor string, label string, block_id string, line_id int, ocr_text string, confidence double, title string"
@@ -236,6 +292,34 @@ def test_neighbours_over_batches(spark):
     assert rows == {k: (word(k - 1) if k else None, word(k + 1) if k < n - 1 else None) for k in range(n)}
 
 
+def test_rows_without_a_page_stand_alone(spark):
+    rows = [(1, "a", None, "r", "TEXT", "1", 0, "eine Ver-", None, None), (2, "a", None, "r", "TEXT", "1", 1, "kehr ist", None, None)]
+    made = repair.Repair(spark.createDataFrame(rows, OCR), spark.createDataFrame([], "row_id bigint, page_path string, line_path string, annotation string"), spark.createDataFrame([], PAPER))
+    got = {r["row_id"]: (r["broken"], r["after"], r["page"]) for r in made.rows.collect()}
+    assert got == {1: (True, None, None), 2: (False, None, None)}
+    assert {tuple(r) for r in made.defects().collect()} == {("ocr", 1, "hyphen")} and made.paragraphs().count() == 0
+
+
+def test_page_number_sequences(spark):
+    def page(issue, k):
+        return f"a/1850/no{issue}/jpg/{k:04d}.jpg"
+
+    rows = [(10 * i + k, page(i, k), str(n)) for i, ns in ((1, [1, 2, 7, 4]), (2, [101, 102, 103, 9]), (3, [40, 41, 5, 77])) for k, n in enumerate(ns, 1)]
+    f = spark.createDataFrame([(r, p, "TEXT", n) for r, p, n in rows] + [(99, page(2, 2), "TABULAR", "102"), (98, None, "TEXT", "3"), (97, page(1, 1), "TEXT", None)], "row_id bigint, page string, label string, pagenum string")
+    got = {r["row_id"] for r in headers.page_number(f).filter("is_pagenum").collect()}
+    # issue 1 counts from one, issue 2 goes on from 101; two pages make no sequence
+    assert got == {11, 12, 14, 21, 22, 23}
+    assert headers.page_number(f).count() == len(rows) + 3
+
+
+def test_hyphens_that_hang(spark):
+    """A hyphen before one of the most frequent words stays, unless the corpus knows the two as one word."""
+    fill = [(100 + k, "a", f"a/1850/no1/jpg/{k // 30 + 2}.jpg", "r", "TEXT", "1", k % 30, "sowie heute Vorsowie und alle anderen sowie Hauskasse", None, None) for k in range(60)]
+    rows = [(1, "a", "a/1850/no1/jpg/1.jpg", "r", "TEXT", "1", 0, "die Markt-", None, None), (2, "a", "a/1850/no1/jpg/1.jpg", "r", "TEXT", "1", 1, "sowie Turmkasse der Vor-", None, None), (3, "a", "a/1850/no1/jpg/1.jpg", "r", "TEXT", "1", 2, "sowie", None, None)]
+    made = repair.Repair(spark.createDataFrame(rows + fill, OCR), spark.createDataFrame([], "row_id bigint, page_path string, line_path string, annotation string"), spark.createDataFrame([], PAPER))
+    assert {tuple(r) for r in made.defects().filter("kind = 'hyphen'").collect()} == {("ocr", 2, "hyphen")}
+
+
 def test_titles_need_a_share_of_the_pages(spark):
     f = spark.createDataFrame([("a", f"p{k}", "TEXT", 0, "x", "rare" if k < 4 else None, False) for k in range(100)] + [("b", f"q{k}", "TEXT", 0, "x", "often long", False) for k in range(10)], "paper string, page string, label string, place bigint, skel string, title string, is_pagenum boolean")
     got = {(r["paper"], r["title"]) for r in headers.titles(f).collect()}
@@ -255,12 +339,23 @@ def test_boilerplate(spark):
     rows += [(500 + k, "oth", f"oth/{k}", "r", "TEXT", "1", 0, notice, None, "c") for k in range(4)] + [(600 + k, "dup", "dup/1", "r", "TEXT", "1", 0, notice, None, "c") for k in range(9)] + [(700, None, "x", "r", "TEXT", "1", 0, notice, None, "c")]
     df = spark.createDataFrame(rows, OCR)
     found = boilerplate.boilerplate(df).collect()
-    assert {r["row_id"] for r in found} == {0, 10, 20, 40, 50, 60} | {1, 11, 21, 31, 41, 51} or {r["row_id"] for r in found} == {0, 10, 20, 30, 40, 50, 60} | {1, 11, 21, 31, 41, 51}
+    assert {r["row_id"] for r in found} == {0, 10, 20, 30, 40, 50, 60} | {1, 11, 21, 31, 41, 51}
     assert len({r["block"] for r in found}) == 1
     assert boilerplate.without_boilerplate(df).count() == len(rows) - len(found)
     assert boilerplate.boilerplate(df.limit(0)).count() == 0
 
 
+def test_variants_of_variants_and_harm_in_both_halves(spark):
+    notice, second = "Alle Rechte bleiben der Witwe Holzkamp vorbehalten.", "Druck und Verlag von Brunstedt & Comp. in Altona."
+    forms = [notice, notice, notice.replace("Rechte", "Rchte"), notice.replace("Rechte", "Rchte"), notice.replace("Witwe", "Wite"), notice, notice, notice.replace("Rechte", "Rchte").replace("vorbehalten", "vorbehaten")]
+    rows = [(10 * p + k, "eic", f"eic/1850/no{p}/jpg/1.jpg", "r", "TEXT", "1", k, t, None, "c") for p, text in enumerate(forms) for k, t in enumerate((second, text, f"{WORDS[7 * p]} {WORDS[5 * p + 3]} allein"))]
+    rows += [(1000 + p, "fro", f"fro/1850/no{p}/jpg/1.jpg", "r", "TEXT", "1", 0, t, None, "c") for p, t in enumerate([notice, notice, forms[2], forms[2], forms[4]])]
+    got = {r["row_id"]: r["block"] for r in boilerplate.boilerplate(spark.createDataFrame(rows, OCR)).collect()}
+    # the last form is harmed in both halves and found by the line above it; of the second paper no form stands on three pages
+    assert set(got) == {10 * p + k for p in range(8) for k in (0, 1)} | {1000 + p for p in range(5)}
+    assert len(set(got.values())) == 2
+
+
 # --- 7: groups -------------------------------------------------------------------------------------------------------
 
 
@@ -326,8 +421,33 @@ def test_splits(spark):
 
 def test_sentences():
     text = "Herr Nr. 5 kam. Mrs. Bell went home.\n\nDie Mark-\nkasse prüft! „Um 8 Uhr“ geht es. Er kam. m. Ende"
-    assert subjects.sentences(text) == ["Herr Nr. 5 kam.", "Mrs. Bell went home.", "Die Markkasse prüft!", "„Um 8 Uhr“ geht es.", "Er kam. m. Ende"] or len(subjects.sentences(text)) == 5
-    assert subjects.sentences("") == [] and subjects.sentences(" \n\n ") == []
+    assert subjects.sentences(text) == [["herr", "nr", "kam"], ["mrs", "bell", "went", "home"], ["die", "markkasse", "prüft"], ["um", "uhr", "geht", "es"], ["er", "kam", "m", "ende"]]
+    assert subjects.sentences("") == [] and subjects.sentences(" \n\n ") == [] and subjects.sentences("12. 13.") == []
+    assert subjects.sentences("A. B") == [["a"], ["b"]] and subjects.sentences("x-\ny z") == [["xy", "z"]] and subjects.sentences("-\n x.") == [["x"]]
+
+
+def test_words_of_batches(spark):
+    """The word table holds the words of each document whatever the batches, and both ways of counting votes agree."""
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice(WORDS) + rng.choice(["", ".", "!", "\n\n", "-\n"]) for _ in range(rng.randrange(0, 40))) for _ in range(60)] + [None, "", "1 2"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    rows = subjects.word_table(docs)
+    got = {r["doc_id"]: r for r in rows.collect()}
+    for k, t in enumerate(texts):
+        want = subjects.sentences(t or "")
+        assert (k in got) == bool(want)
+        if want:
+            assert got[k]["words"].split() == [w for x in want for w in x] and got[k]["lengths"] == [len(x) for x in want]
+            assert got[k]["h"] == subjects.hashes([w for x in want for w in x]).tolist()
+    some = sorted({w.lower() for w in WORDS})[:30]
+    chosen = spark.createDataFrame([(int(h), k % 4) for k, h in enumerate(subjects.hashes(some))], "h bigint, subject int")
+    key = lambda r: (r["h"] is None, r["h"] or 0, r["subject"], r["n"])
+    from broadsheet.session import write_shared
+
+    chosen = write_shared(chosen, "chosen")
+    assert sorted(map(key, subjects.voted_counts(rows, chosen, 4).collect())) == sorted(map(key, subjects.voted_by_shuffle(rows, chosen).collect()))
+    a, b = (Counter((r["label"], r["words"]) for r in f(rows, chosen).collect()) for f in (lambda r, c: subjects.training_set(r, c, 4), subjects.training_by_shuffle))
+    assert a == Counter({(k, w.strip()): n for (k, w), n in b.items()})
 
 
 def test_gradients_match_differences():
@@ -363,6 +483,9 @@ def test_held_out_labels_and_odd_documents(spark):
     ours = [d for d in found if d > 100000]
     right = sum(truth[d] in found[d] for d in ours)
     assert len(ours) >= 30 and right / len(ours) >= 0.9
+    # of all held-out texts with the sentences that a subject needs, nearly all are found
+    able = [r["doc_id"] for r in held.collect() if len(subjects.sentences(r["text"])) >= subjects.MIN_SENTENCES]
+    assert sum(truth[d] in found[d] for d in able) >= 0.9 * len(able)
 
 
 def test_subjects_of_empty_tables(spark):
