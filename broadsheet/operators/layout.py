@@ -330,3 +330,29 @@ def median_line_height(lines: DataFrame, height: str, least: int = 6) -> DataFra
 def cover_share(pairs: DataFrame) -> DataFrame:
     """Adds ``share``: overlap over the area of b."""
     return pairs.withColumn("share", F.when(area("b_") > 0, intersection() / area("b_")).otherwise(0.0))
+
+
+def newspaper_program(width: float, height: float, separators: DataFrame | None = None, line_height: float = 30) -> Program:
+    """The steps by which regions of a newspaper page are refined, in order: regions on one line and below one another united, overlaps
+    united, dominance, growth along the reading order with table regions as obstacles, standing separators cut what spills over them,
+    small regions dropped. Distances are shares of the page's diagonal.
+    """
+    diagonal = (width**2 + height**2) ** 0.5
+    near, least = 0.006 * diagonal, (0.0025 * diagonal) ** 2
+    plain = ["page_id", "block_id", "label", *BOX]
+    text = lambda r: r.filter("label = 'TEXT'")
+    rest = lambda r: r.filter("label IS NULL OR label <> 'TEXT'").select(*plain)
+
+    def on_lines(r: DataFrame) -> DataFrame:
+        return merge_adjacent(text(r), same_line_pairs(text(r), near)).select(*plain).unionByName(rest(r))
+
+    def below(r: DataFrame) -> DataFrame:
+        return merge_adjacent(text(r), below_pairs(text(r), line_height)).select(*plain).unionByName(rest(r))
+
+    def cut(r: DataFrame) -> DataFrame:
+        return r.select(*plain) if separators is None else split_on(r, separators, "x")
+
+    return Program([
+        ("small", lambda r: large_enough(r, least).select(*plain)), ("lines", on_lines), ("below", below), ("overlaps", lambda r: merge_overlaps(r, 0.1)), ("dominance", lambda r: dominated(r, 0.005 * diagonal)),
+        ("sequence", lambda r: grown_along_order(r, "TEXT", distance=near, obstacles=["TABULAR"])), ("spill", cut), ("overlaps again", lambda r: merge_overlaps(r, 0.1)), ("small again", lambda r: large_enough(r, least)),
+    ])

@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from broadsheet.functions.numbers import rounded
-from broadsheet.operators import layout, regions, segments, stats
+from broadsheet.operators import compose, layout, regions, segments, stats, xycut
 from broadsheet.plans.fixtures import PAGE_HEIGHT, PAGE_WIDTH, boxes, duck, ocr_lines, separators
 from broadsheet.plans.layout_queries import PAIRS
 from broadsheet.session import table
+from broadsheet.sources import pagexml
 
 DIAGONAL = (PAGE_WIDTH**2 + PAGE_HEIGHT**2) ** 0.5
 WHOLE = [F.col(c).cast("bigint").alias(c) for c in layout.BOX]
@@ -241,6 +242,32 @@ def line_form(spark: SparkSession, folder: str) -> DataFrame:
     return segments.line_form(pixels, ["page_id"]).select("page_id", rounded("form", 6).alias("form"))
 
 
+def order_stage(spark: SparkSession, folder: str) -> DataFrame:
+    """Reading orders of each label and of all together ('*'), as the stage writes them; small regions are left out."""
+    rows = regions.everything(boxes(spark, folder).filter("(maxx - minx) * (maxy - miny) >= 2000"))
+    return xycut.reading_order(rows, ["page_id", "label"], "block_id", fringe=2)
+
+
+def pagexml_regions(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents with text and table regions of recognised lines; outlines are the made-up bounds."""
+    lines = ocr_lines(spark, folder)
+    base = F.substring_index("block_id", ".", 1)
+    points = lambda a, b: F.concat(F.lit("60,"), a.cast("string"), F.lit(" 860,"), a.cast("string"), F.lit(" 860,"), b.cast("string"), F.lit(" 60,"), b.cast("string"))
+    at = points(F.col("line_id") * 40, F.col("line_id") * 40 + 40)
+    text = lines.filter("label = 'TEXT'").groupBy("page_path", "block_id", "line_id").agg(F.min("text").alias("text")).withColumn("points", at)
+    cells = compose.table_cells(lines).select("page_path", F.col("table").alias("block_id"), *[F.coalesce(c, F.lit(0)).alias(c) for c in ("division", "row", "column")], "text").withColumn("points", points(F.col("row") * 40, F.col("row") * 40 + 40))
+    areas = lines.groupBy("page_path", "label", base.alias("block_id")).agg(F.min("line_id").alias("a"), F.max("line_id").alias("b"))
+    areas = areas.select("page_path", "label", "block_id", points(F.col("a") * 40, F.col("b") * 40 + 40).alias("points"))
+    pictures = areas.filter("block_id = '1' AND label = 'TEXT'").select("page_path", F.lit("ILLUSTRATION").alias("label"), F.lit("9999").alias("block_id"), "points")
+    return pagexml.region_documents(areas.unionByName(pictures), text, cells)
+
+
+def layout_program(spark: SparkSession, folder: str) -> DataFrame:
+    """Regions after the whole program of a newspaper page."""
+    cuts = separators(spark, folder).filter("label = 'V'").select("page_id", F.col("x0").alias("position"))
+    return layout.newspaper_program(PAGE_WIDTH, PAGE_HEIGHT, cuts)(boxes(spark, folder)).select("page_id", "block_id", "label", *[rounded(c, 3).alias(c) for c in layout.BOX])
+
+
 def label_set(spark: SparkSession, folder: str) -> DataFrame:
     names = table(spark, folder, "paper").selectExpr("paper_code AS name", "merged_into AS `group`")
     return segments.label_set(names).select("name", "label", "group", "group_label")
@@ -283,7 +310,7 @@ def intersecting_keys(spark: SparkSession, folder: str) -> DataFrame:
 NAMES = [
     repaired_regions, geometry_faults, long_separators, confident_lines, next_block_ids, split_keys, label_lookup, all_labels, lines_in_blocks, page_document, ordered_parts, missing_texts, combined_tables, nested_bounds,
     merge_lineage, margin_noise, greedy_match, interval_neighbours, unstopped_pairs, glued_regions, agglomerated_regions, text_areas, reliable_regions, disjoint_hulls, merged_rightwards, review_order, navigation, paper_slugs,
-    subdivided_separators, smoothed_paths, path_progress, steady_separators, near_ends, parallel_segments, good_segments, join_reasons, tile_label_stats, line_form, label_set, warp_parameters, resized_regions, partial_outputs,
+    subdivided_separators, smoothed_paths, path_progress, steady_separators, near_ends, parallel_segments, good_segments, join_reasons, tile_label_stats, line_form, order_stage, pagexml_regions, layout_program, label_set, warp_parameters, resized_regions, partial_outputs,
     elapsed_percentiles, intersecting_keys,
 ]
 
@@ -301,6 +328,12 @@ CLOSED = """r(page_id, node, other) AS (SELECT page_id, block_id, block_id FROM
 c AS (SELECT page_id, node, min(other) AS component FROM r GROUP BY page_id, node)"""
 
 
+MARK = "'r_' || translate(block_id, './', '__')"
+CORDS = """'<Coords points="60,' || ({0}) || ' 860,' || ({0}) || ' 860,' || ({1}) || ' 60,' || ({1}) || '"/>'"""
+ESCAPE = "replace(replace(replace(replace({0}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;')"
+SAID = f"'<TextEquiv><Unicode>' || {ESCAPE.format('text')} || '</Unicode></TextEquiv>'"
+
+
 def merging_rounds(condition: str, rounds: int) -> str:
     """``rounds`` rounds of uniting all boxes of ``b0`` that satisfy ``condition`` (of a and b), as further tables up to ``b<rounds>``."""
     out = []
@@ -397,6 +430,19 @@ SELECT p.page_id, round(avg(len), 6) AS form FROM (SELECT DISTINCT page_id FROM
         "resized_regions": f"SELECT page_id, block_id, round(330 - (miny * {825 / PAGE_HEIGHT!r} - 412.5), 3) AS x, round(412.5 + (minx * {660 / PAGE_WIDTH!r} - 330), 3) AS y FROM {{boxes}}",
         "partial_outputs": r"""WITH w AS (SELECT regexp_extract(path, '([^/]+/\d+/[^/]+/jpg/[^/.]+)\.out/', 1) || '.jpg' AS page_path, count(DISTINCT path) AS n_written FROM ocr_file GROUP BY 1), a AS (SELECT page_path, count(*) AS n_wanted FROM {ocr_lines} GROUP BY 1)
 SELECT page_path, n_written, n_wanted FROM w JOIN a USING (page_path) WHERE n_written < n_wanted""",
+        "pagexml_regions": f"""WITH l AS (SELECT page_path, block_id, line_id, min(text) AS text FROM {{ocr_lines}} WHERE label = 'TEXT' GROUP BY ALL),
+t AS (SELECT page_path, CASE WHEN contains(block_id, '.') THEN block_id ELSE block_id || '.1.1.1' END AS p, line_id, text FROM {{ocr_lines}} WHERE label = 'TABULAR'),
+c AS (SELECT page_path, string_split(p, '.')[1] AS block_id, coalesce(TRY_CAST(string_split(p, '.')[2] AS INT), 0) AS d, coalesce(TRY_CAST(string_split(p, '.')[3] AS INT), 0) AS r, coalesce(TRY_CAST(string_split(p, '.')[4] AS INT), 0) AS k, string_agg(text, chr(10) ORDER BY line_id, text) AS text FROM t GROUP BY ALL),
+i AS (SELECT page_path, 'TEXT' AS label, block_id, string_agg('<TextLine id="' || {MARK} || '_l_' || line_id || '">' || {CORDS.format("line_id * 40", "line_id * 40 + 40")} || {SAID} || '</TextLine>', '' ORDER BY line_id) AS inner_ FROM l GROUP BY page_path, block_id
+  UNION ALL SELECT page_path, 'TABULAR', block_id, string_agg('<TextRegion id="' || {MARK} || '_' || d || '_' || r || '_' || k || '">' || {CORDS.format("r * 40", "r * 40 + 40")} || {SAID} || '</TextRegion>', '' ORDER BY d, r, k) FROM c GROUP BY page_path, block_id),
+a AS (SELECT page_path, label, string_split(block_id, '.')[1] AS block_id, min(line_id) AS lo, max(line_id) AS hi FROM {{ocr_lines}} GROUP BY ALL),
+g AS (SELECT * FROM a UNION ALL SELECT page_path, 'ILLUSTRATION', '9999', lo, hi FROM a WHERE block_id = '1' AND label = 'TEXT'),
+b AS (SELECT g.page_path, g.block_id, g.label, {MARK.replace("block_id", "g.block_id")} AS id, CASE g.label WHEN 'TEXT' THEN 'TextRegion' WHEN 'TABULAR' THEN 'TableRegion' ELSE 'GraphicRegion' END AS kind, {CORDS.format("lo * 40", "hi * 40 + 40")} AS coords, coalesce(inner_, '') AS inner_
+  FROM g LEFT JOIN i ON i.page_path = g.page_path AND i.label = g.label AND i.block_id = g.block_id WHERE inner_ IS NOT NULL OR g.label NOT IN ('TEXT', 'TABULAR')),
+n AS (SELECT *, row_number() OVER (PARTITION BY page_path ORDER BY block_id, label) - 1 AS n FROM b)
+SELECT page_path, '<?xml version="1.0" encoding="UTF-8"?><PcGts xmlns="{pagexml.NAMESPACE}"><Metadata><Creator>broadsheet</Creator><Created>1970-01-01T00:00:00</Created><LastChange>1970-01-01T00:00:00</LastChange></Metadata><Page imageFilename="' || {ESCAPE.format("page_path")}
+  || '" imageWidth="0" imageHeight="0"><ReadingOrder><OrderedGroup id="ro">' || string_agg('<RegionRefIndexed index="' || n || '" regionRef="' || id || '"/>', '' ORDER BY n) || '</OrderedGroup></ReadingOrder>'
+  || string_agg('<' || kind || ' id="' || id || '">' || coords || inner_ || '</' || kind || '>', '' ORDER BY n) || '</Page></PcGts>' AS xml FROM n GROUP BY page_path""",
         "elapsed_percentiles": "SELECT l_returnflag, count(*) AS n, round(quantile_cont(CAST(l_extendedprice AS DOUBLE), 0.25), 4) AS q0, round(quantile_cont(CAST(l_extendedprice AS DOUBLE), 0.75), 4) AS q1, round(quantile_cont(CAST(l_extendedprice AS DOUBLE), 0.99), 4) AS q2 FROM lineitem GROUP BY 1",
         "intersecting_keys": "SELECT page_path, concat_ws('/', predictor, label, block_id, CAST(line_id AS VARCHAR)) AS line_path FROM {ocr_lines} INTERSECT SELECT page_path, line_path FROM lines",
     }

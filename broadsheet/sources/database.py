@@ -5,7 +5,7 @@ from __future__ import annotations
 import sqlite3
 from collections.abc import Iterator
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 # Columns of the annotation table.
@@ -56,3 +56,38 @@ def register(spark: SparkSession) -> None:
 
     ship(spark)
     spark.dataSource.register(AnnotationDatabase)
+
+
+def create(path: str) -> None:
+    """The annotation table and its unique index, if they are not there."""
+    kinds = {"string": "TEXT", "boolean": "BOOLEAN"}
+    with sqlite3.connect(path) as c:
+        c.execute("CREATE TABLE IF NOT EXISTS lines (" + ", ".join(f'"{n}" {kinds[k]}' for n, k in ANNOTATIONS.items()) + ")")
+        c.execute("CREATE UNIQUE INDEX IF NOT EXISTS lines_place ON lines (page_path, line_path)")
+
+
+def insert(path: str, lines: DataFrame, batch: int = 1000) -> int:
+    """Appends the lines whose place the table lacks; gives their number. For samples: the rows come through the driver in batches."""
+    names = [n for n in ANNOTATIONS if n in lines.columns]
+    sql = f"INSERT OR IGNORE INTO lines ({', '.join(names)}) VALUES ({', '.join('?' * len(names))})"
+    create(path)
+    with sqlite3.connect(path) as c:
+        before = c.total_changes
+        held: list[tuple] = []
+        for row in lines.select(*names).toLocalIterator():
+            held.append(tuple(row))
+            if len(held) == batch:
+                c.executemany(sql, held)
+                held = []
+        c.executemany(sql, held)
+        return c.total_changes - before
+
+
+def migrate(path: str) -> list[str]:
+    """Adds the flags that an older table lacks, true by default; gives the names of those added."""
+    with sqlite3.connect(path) as c:
+        have = {r[1] for r in c.execute("PRAGMA table_info(lines)")}
+        new = [n for n in ("training", "validation") if n not in have]
+        for n in new:
+            c.execute(f"ALTER TABLE lines ADD COLUMN {n} BOOLEAN DEFAULT TRUE")
+    return new

@@ -118,3 +118,37 @@ def test_normal_forms_of_arrays():
 
     got = harmonize.normalized(pa.array(["ä", None, "", "ä", "x̣́"]), "NFC").to_pylist()
     assert got == ["ä", None, "", "ä", "x̣́"] and harmonize.normalized(pa.array([], pa.string()), "NFC").to_pylist() == []
+
+
+def test_layout_program_runs_whole(spark):
+    rng = random.Random(3)
+    rows = [(k % 3, f"b{k:02d}", rng.choice(["TEXT", "TABULAR", "ILLUSTRATION"]), x := rng.uniform(0, 800), y := rng.uniform(0, 1200), x + rng.uniform(20, 300), y + rng.uniform(20, 300)) for k in range(60)]
+    program = layout.newspaper_program(1320, 1650)
+    got = program(boxes(spark, rows)).collect()
+    assert not program.failed and 0 < len(got) < len(rows) and {r["page_id"] for r in got} == {0, 1, 2}
+    text = [r for r in got if r["label"] in ("TEXT", "TABULAR")]
+    for i, a in enumerate(text):
+        for b in text[i + 1 :]:
+            if a["page_id"] == b["page_id"] and a["label"] == b["label"]:
+                w, h = min(a["maxx"], b["maxx"]) - max(a["minx"], b["minx"]), min(a["maxy"], b["maxy"]) - max(a["miny"], b["miny"])
+                small = min((r["maxx"] - r["minx"]) * (r["maxy"] - r["miny"]) for r in (a, b))
+                assert w <= 0 or h <= 0 or w * h <= 0.1 * small + 1e-6
+
+
+def test_annotation_tables_are_made_filled_and_migrated(spark, tmp_path):
+    import sqlite3
+
+    from broadsheet.sources import database
+
+    path = str(tmp_path / "a.db")
+    df = spark.createDataFrame([(f"p{k % 3}", f"l{k % 5}", "x", k % 2 == 0) for k in range(30)], "page_path string, line_path string, annotation string, training boolean")
+    assert database.insert(path, df, batch=7) == 15 and database.insert(path, df) == 0
+    database.register(spark)
+    assert spark.read.format("annotations").option("path", path).load().count() == 15
+    old = str(tmp_path / "old.db")
+    with sqlite3.connect(old) as c:
+        c.execute("CREATE TABLE lines (page_path TEXT, training BOOLEAN)")
+        c.execute("INSERT INTO lines VALUES ('p', NULL)")
+    assert database.migrate(old) == ["validation"] and database.migrate(old) == []
+    with sqlite3.connect(old) as c:
+        assert c.execute("SELECT validation FROM lines").fetchall() == [(1,)]
