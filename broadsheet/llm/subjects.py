@@ -22,6 +22,7 @@ broadcasts; a larger one is joined by shuffle.
 
 from __future__ import annotations
 
+import functools
 import io
 import re
 from collections.abc import Iterator
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.llm.chars import canonical, decode, encode, low, ramp, row_hash, rows_of, tables
+from broadsheet.llm.chars import BMP, canonical, decode, encode, low, ramp, row_hash, rows_of, tables
 from broadsheet.llm.features import MONTHS, NUMBER_WORDS, PAGE_WORDS
 from broadsheet.session import BROADCAST_LIMIT, ship, write_shared
 
@@ -62,6 +63,15 @@ OPENING = "(„»\""
 HYPHENS = "-¬⸗=‐"
 
 
+@functools.cache
+def signs() -> np.ndarray:
+    """Of each character of the basic plane: 1 hyphen, 2 space, 4 closing sign, 8 end of a sentence, 16 opening sign."""
+    out = np.zeros(BMP, np.uint8)
+    for bit, chars in ((1, HYPHENS), (2, " \n\r"), (4, CLOSING), (8, ".!?"), (16, OPENING)):
+        out[[ord(c) for c in chars]] |= bit
+    return out
+
+
 def hashes(words: list[str]) -> np.ndarray:
     """64-bit hashes of words, the same in every process."""
     return row_hash(*decode(pa.array(words, pa.string())))
@@ -104,15 +114,14 @@ class Cut:
     @staticmethod
     def joined(cps: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Without hyphens, line ends and spaces inside a word that is broken at a line end."""
-        hyphen = np.isin(cps, [ord(c) for c in HYPHENS])
-        at = np.flatnonzero(hyphen[:-1] & (cps[1:] == 10)) if len(cps) > 1 else np.zeros(0, int)
+        at = np.flatnonzero(cps[1:] == 10)
+        at = at[(signs()[low(cps[at])] & 1) > 0]
         if not len(at):
             return cps, row
         t = tables()
         ix = low(cps)
         word = t["letter"][ix] | t["digit"][ix]
-        space = (cps == 32) | (cps == 10) | (cps == 13)
-        solid = np.flatnonzero(~space)
+        solid = np.flatnonzero((signs()[ix] & 2) == 0)
         nxt = np.searchsorted(solid, at + 1)
         ok = (at > 0) & (nxt < len(solid))
         at, nxt = at[ok], solid[nxt[ok]]
@@ -127,10 +136,10 @@ class Cut:
         n = len(cps)
         if not n:
             return np.zeros(0, int)
-        space = (cps == 32) | (cps == 10) | (cps == 13)
-        closing = np.isin(cps, [ord(c) for c in CLOSING])
-        stop = np.flatnonzero(np.isin(cps, [46, 33, 63]))
-        solid = np.flatnonzero(~closing)
+        sign = signs()[low(cps)]
+        space = (sign & 2) > 0
+        stop = np.flatnonzero(sign & 8)
+        solid = np.flatnonzero((sign & 4) == 0)
         q = np.searchsorted(solid, stop + 1)
         stop, q = stop[q < len(solid)], q[q < len(solid)]
         q = solid[q]
@@ -147,7 +156,7 @@ class Cut:
         if len(stop) and len(self.first):
             short = (cps[stop] == 46) & (self.first[k] + self.size[k] == stop) & np.isin(self.hash[k], hashes(ABBREVIATIONS))
             ahead = np.maximum(self.first[k] - 1, 0)
-            alone = (self.first[k] == 0) | (row[ahead] != row[stop]) | space[ahead] | np.isin(cps[ahead], [ord(c) for c in OPENING])
+            alone = (self.first[k] == 0) | (row[ahead] != row[stop]) | space[ahead] | ((sign[ahead] & 16) > 0)
             stop = stop[~(short & alone)]
         # two line ends with nothing between them
         lines = np.flatnonzero(cps == 10)
@@ -465,9 +474,10 @@ class WordScores:
         return 1 / (1 + np.exp(-(total / s.length[:, None] + self.model.bias)))
 
 
-def once_a_sentence(s: Sentences) -> np.ndarray:
-    """Places of the words of each sentence, a repeated word once."""
-    order = np.lexsort((s.h, s.owner))
+def once_a_sentence(s: Sentences, which: np.ndarray | None = None) -> np.ndarray:
+    """Places (of those given) of the words of each sentence, a repeated word once."""
+    which = np.arange(len(s.h)) if which is None else which
+    order = which[np.lexsort((s.h[which], s.owner[which]))]
     h, o = s.h[order], s.owner[order]
     return order[np.append(True, (h[1:] != h[:-1]) | (o[1:] != o[:-1]))] if len(order) else order
 
@@ -513,20 +523,25 @@ class Lexicon:
         return chosen.sparkSession.sparkContext.broadcast((rows["h"].to_numpy(np.int64), rows["subject"].to_numpy(np.int64)))
 
 
+def subjects_of(h: np.ndarray, lexicon: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The subject of each hash, -1 for none."""
+    known, subject = lexicon
+    if not len(known):
+        return np.full(len(h), -1)
+    k = np.minimum(np.searchsorted(known, h), len(known) - 1)
+    return np.where(known[k] == h, subject[k], -1)
+
+
 def subject_words(s: Sentences, lexicon: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(places of the words once a sentence, the subject of each, -1 for none)."""
-    at = once_a_sentence(s)
-    h, subject = lexicon
-    if not len(h):
-        return at, np.full(len(at), -1)
-    k = np.minimum(np.searchsorted(h, s.h[at]), len(h) - 1)
-    return at, np.where(h[k] == s.h[at], subject[k], -1)
+    """(places of the words with a subject, each once a sentence; the subject of each)."""
+    subject = subjects_of(s.h, lexicon)
+    at = once_a_sentence(s, np.flatnonzero(subject >= 0))
+    return at, subject[at]
 
 
 def votes(s: Sentences, at: np.ndarray, subject: np.ndarray, width: int) -> np.ndarray:
     """How many words of each subject each sentence holds."""
-    hit = subject >= 0
-    return np.bincount(s.owner[at[hit]] * width + subject[hit], minlength=len(s.length) * width).reshape(-1, width)
+    return np.bincount(s.owner[at] * width + subject, minlength=len(s.length) * width).reshape(-1, width)
 
 
 def voted_counts(rows: DataFrame, chosen: DataFrame, width: int) -> DataFrame:
@@ -543,12 +558,12 @@ def voted_counts(rows: DataFrame, chosen: DataFrame, width: int) -> DataFrame:
             one = (v > 0).sum(1) == 1
             yield whole_counts(np.bincount(v[one].argmax(1), minlength=width) if one.any() else np.zeros(width, np.int64))
             # of the sentence's votes without the word itself
-            some = np.flatnonzero(v.any(1)[s.owner[at]])
-            rest = v[s.owner[at[some]]]
-            own = subject[some]
+            some = once_a_sentence(s, np.flatnonzero(v.any(1)[s.owner]))
+            rest = v[s.owner[some]]
+            own = subjects_of(s.h[some], lexicon.value)
             rest[np.flatnonzero(own >= 0), own[own >= 0]] -= 1
             clear = (rest > 0).sum(1) == 1
-            yield counts_of(s.h[at[some]][clear], rest[clear].argmax(1) if clear.any() else np.zeros(0, int))
+            yield counts_of(s.h[some][clear], rest[clear].argmax(1) if clear.any() else np.zeros(0, int))
 
     return rows.select("h", "lengths").mapInArrow(run, COUNTS).groupBy("h", "subject").agg(F.sum("n").alias("n"))
 
