@@ -9,7 +9,8 @@ work is on wordings and comes back to rows at the end. A wording's words become
 2. The n-grams of the validation wordings are joined with those of training. The containment of a validation wording in a training
    wording is the share of its n-grams that the other has; from ``CONTAINED`` on the two are a pair. As that many must be shared,
    one of its rarest ``n - ceil(CONTAINED * n) + 1`` n-grams must be, whichever they are: only these are looked up in all n-grams of
-   training. No pair of that containment is lost by it.
+   training. No pair of that containment is lost by it. With ``SHARED - 1`` more of them looked up, ``SHARED`` must be found, which spares most
+   pairs that have one turn of phrase in common.
 3. Pairs of enough containment are checked word by word: each may lack one word, letters may be wrong, lost or added, numbers and
    established names must be the same.
 
@@ -38,6 +39,8 @@ from broadsheet.session import broadcast_if_small, ship, write_shared
 MAX_LETTERS = 8
 #: Farthest words of an n-gram; words of the longest wording whose single words count; least containment of a pair.
 GAP, SHORT, CONTAINED = 3, 4, 0.3
+#: N-grams that a pair must show (or as many as its containment needs) before it is looked at.
+SHARED = 3
 #: An n-gram held by more wordings of training is joined in parts of this size.
 HOT = 5_000
 #: A word is a word of its own beside one that is up to so many times as frequent; beside a short one; rare beside another.
@@ -206,13 +209,15 @@ def candidates(w: DataFrame) -> DataFrame:
     held = write_shared(t.groupBy("key").agg(F.count("*").alias("n")), "gram-counts")
     ranked = v.join(held, "key", "left").groupBy("v", "size", "less", "sig").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "key"))).alias("rare"))
     # of the rarest, those that training has at all
-    rare = F.slice("rare", F.lit(1), F.size("rare") - F.ceil(F.size("rare") * CONTAINED).cast("int") + 1)
-    seek = ranked.select("v", F.col("size").alias("vsize"), F.col("less").alias("vless"), F.explode(F.filter(rare, lambda x: x["n"] > 0)).alias("g")).select("v", "vsize", "vless", "g.key", "g.n")
+    least = F.ceil(F.size("rare") * CONTAINED).cast("int")
+    need = F.least(least, F.lit(SHARED))
+    rare = F.slice("rare", F.lit(1), F.size("rare") - least + need)
+    seek = ranked.select("v", F.col("size").alias("vsize"), F.col("less").alias("vless"), need.alias("need"), F.explode(F.filter(rare, lambda x: x["n"] > 0)).alias("g")).select("v", "vsize", "vless", "need", "g.key", "g.n")
     seek = seek.withColumn("part", F.explode(F.sequence(F.lit(0), F.ceil(F.col("n") / HOT).cast("int") - 1))).drop("n")
     hot = broadcast_if_small(write_shared(held.filter(F.col("n") > HOT).select("key", F.ceil(F.col("n") / HOT).cast("int").alias("parts")), "hot-grams"))
     spread = t.join(hot, "key", "left").withColumn("part", F.when(F.col("parts").isNull(), 0).otherwise(F.pmod(F.xxhash64("t"), F.col("parts")).cast("int"))).drop("parts")
     met = seek.join(spread, ["key", "part"]).filter((F.abs(F.col("vsize") - F.col("tsize")) <= 1) & ~(F.col("vless") & F.col("tless")) & (F.col("v") != F.col("t")))
-    return met.select("v", "t").distinct()
+    return met.groupBy("v", "t").agg(F.count("*").alias("n"), F.max("need").alias("need")).filter("n >= need").select("v", "t")
 
 
 def wording_pairs(w: DataFrame) -> DataFrame:
