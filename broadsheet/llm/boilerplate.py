@@ -97,15 +97,21 @@ def heavy_edges(rows: DataFrame) -> DataFrame:
     return after.filter(follows & (F.col("node") != F.col("before"))).groupBy("node", "before").agg(F.countDistinct("page").alias("w")).filter(F.col("w") >= MIN_PAGES)
 
 
-def expected_variants(f: DataFrame, rows: DataFrame, edges: DataFrame) -> DataFrame:
+def expected_variants(f: DataFrame, nodes: DataFrame, rows: DataFrame, edges: DataFrame) -> DataFrame:
     """Rows of ``f`` that stand where an edge expects another node's line and differ from that by no more than ``MAX_EDITS``: (row_id, paper, page, place, node)."""
     spots = rows.select("page", "place", "node")
     onward = spots.join(edges.select(F.col("before").alias("node"), F.col("node").alias("expected")), "node").select("page", (F.col("place") + 1).alias("place"), "expected")
     back = spots.join(edges.select("node", F.col("before").alias("expected")), "node").select("page", (F.col("place") - 1).alias("place"), "expected")
-    skels = f.join(broadcast_if_small(write_shared(edges.select(F.col("node").alias("key")).unionAll(edges.select(F.col("before").alias("key"))).distinct(), "edge-nodes")), "key", "left_semi").groupBy("key").agg(F.min("skel").alias("askel"), F.min("nums").alias("anums"))
-    wanted = onward.unionAll(back).distinct().join(skels.withColumnRenamed("key", "expected"), "expected")
-    there = f.select("row_id", "paper", "page", "place", "skel", "nums").join(rows.select("row_id"), "row_id", "left_anti").filter(F.length("skel") >= MIN_LETTERS)
-    near = there.join(wanted, ["page", "place"]).filter((F.col("nums") == F.col("anums")) & F.levenshtein("skel", "askel", MAX_EDITS).between(0, MAX_EDITS))
+    at = lambda page, place: F.xxhash64(page, place)
+    wanted = onward.unionAll(back).select(at("page", "place").alias("spot"), "expected").distinct()
+    # of all lines only place and key are shuffled; the few that stand in a wanted place and are no repeated line are then looked up
+    there = f.filter(F.length("skel") >= MIN_LETTERS).select(at(F.col("page"), F.col("place")).alias("spot"), "row_id", "key").join(wanted, "spot")
+    there = there.join(broadcast_if_small(nodes.select("key")), "key", "left_anti").select("row_id", "expected")
+    there = broadcast_if_small(write_shared(there, "lines-in-wanted-places"))
+    ends = edges.select(F.col("node").alias("key")).unionAll(edges.select(F.col("before").alias("key"))).distinct()
+    skels = f.join(broadcast_if_small(write_shared(ends, "edge-nodes")), "key", "left_semi").groupBy("key").agg(F.min("skel").alias("askel"), F.min("nums").alias("anums"))
+    skels = broadcast_if_small(write_shared(skels.withColumnRenamed("key", "expected"), "edge-skeletons"))
+    near = f.join(there, "row_id").join(skels, "expected").filter((F.col("nums") == F.col("anums")) & F.levenshtein("skel", "askel", MAX_EDITS).between(0, MAX_EDITS))
     return near.groupBy("row_id").agg(F.first("paper").alias("paper"), F.first("page").alias("page"), F.first("place").alias("place"), F.min("expected").alias("node"))
 
 
@@ -120,9 +126,10 @@ def blocks(rows: DataFrame, edges: DataFrame) -> DataFrame:
 def boilerplate(ocr: DataFrame) -> DataFrame:
     """(row_id, paper, page, node, block) of every row of a block of boilerplate."""
     f = body_lines(ocr)
-    rows = write_shared(f.join(broadcast_if_small(supports(f)), "key").select("row_id", "paper", "page", "place", "node"), "repeated")
+    nodes = supports(f)
+    rows = write_shared(f.join(broadcast_if_small(nodes), "key").select("row_id", "paper", "page", "place", "node"), "repeated")
     edges = write_shared(heavy_edges(rows), "line-edges")
-    rows = write_shared(rows.unionByName(expected_variants(f, rows, edges)), "boilerplate-rows")
+    rows = write_shared(rows.unionByName(expected_variants(f, nodes, rows, edges)), "boilerplate-rows")
     return rows.join(blocks(rows, edges), "node").select("row_id", "paper", "page", "node", "block")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from broadsheet.llm.features import page_offset
-from broadsheet.session import broadcast_if_small, write_shared
+from broadsheet.session import BROADCAST_LIMIT, broadcast_if_small, size_of, write_shared
 
 #: A title must stand at the edge of this share of a paper's pages, and of this many.
 TITLE_SHARE = 0.05
@@ -27,10 +27,12 @@ def page_number(f: DataFrame) -> DataFrame:
     per = lone.groupBy("issue", "offset").agg(F.countDistinct("page").alias("n"))
     best = per.groupBy("issue").agg(F.max(F.when(F.col("offset") != 0, F.struct("n", -F.abs("offset"), "offset"))).alias("b"), F.max(F.when(F.col("offset") == 0, F.col("n"))).alias("plain"))
     best = best.filter(F.col("b.n") >= F.greatest(F.lit(SEQUENCE_PAGES), F.coalesce("plain", F.lit(0)) + 1)).select("issue", F.col("b.offset").alias("start"))
-    best = broadcast_if_small(write_shared(best, "page-sequences"))
-    found = lone.join(best, "issue", "left").withColumn("is_pagenum", (F.col("offset") == 0) | F.coalesce(F.col("offset") == F.col("start"), F.lit(False))).drop("start")
-    rest = f.filter("offset IS NULL").withColumn("is_pagenum", F.lit(False))
-    return rest.unionByName(found).drop("offset", "issue", "pagenum")
+    best = write_shared(best, "page-sequences")
+    mark = lambda df: df.join(broadcast_if_small(best), "issue", "left").withColumn("is_pagenum", F.coalesce((F.col("offset") == 0) | F.coalesce(F.col("offset") == F.col("start"), F.lit(False)), F.lit(False))).drop("start", "offset", "issue", "pagenum")
+    if size_of(best) * 8 <= BROADCAST_LIMIT:
+        return mark(f)
+    # where the sequences are joined by shuffle, only the lone numbers are shuffled
+    return mark(lone).unionByName(f.filter("offset IS NULL").drop("offset", "issue", "pagenum").withColumn("is_pagenum", F.lit(False)))
 
 
 def titles(f: DataFrame) -> DataFrame:
