@@ -13,7 +13,8 @@ from broadsheet.session import table
 from broadsheet.sources import pagexml
 
 DIAGONAL = (PAGE_WIDTH**2 + PAGE_HEIGHT**2) ** 0.5
-WHOLE = [F.col(c).cast("bigint").alias(c) for c in layout.BOX]
+#: Bounds as whole numbers.
+WHOLE = [f"CAST({c} AS BIGINT) AS {c}" for c in layout.BOX]
 #: Palette of the label lookup.
 PALETTE = {1: 2, 2: 1, 3: 1}
 
@@ -33,7 +34,7 @@ def repaired_regions(spark: SparkSession, folder: str) -> DataFrame:
     """Boxes of which some come reversed, empty or with a bound missing."""
     b = boxes(spark, folder)
     bad = b.withColumns({"minx": F.when(F.col("ord") == 2, F.col("maxx")).when(F.col("ord") == 3, None).otherwise(F.col("minx")), "maxx": F.when(F.col("ord") == 2, F.col("minx")).when(F.col("ord") == 4, F.col("minx")).otherwise(F.col("maxx"))})
-    return regions.repaired(bad).select("page_id", "block_id", *WHOLE)
+    return regions.repaired(bad).select("page_id", "block_id", *map(F.expr, WHOLE))
 
 
 def geometry_faults(spark: SparkSession, folder: str) -> DataFrame:
@@ -102,14 +103,14 @@ def missing_texts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def combined_tables(spark: SparkSession, folder: str) -> DataFrame:
-    return regions.combined_tables(_ocr_regions(spark, folder)).select("page_id", "label", "block_id", *WHOLE, "n_parts")
+    return regions.combined_tables(_ocr_regions(spark, folder)).select("page_id", "label", "block_id", *map(F.expr, WHOLE), "n_parts")
 
 
 def nested_bounds(spark: SparkSession, folder: str) -> DataFrame:
     """Bounds of cells, columns, divisions and tables; cells are the boxes of table regions."""
     b = boxes(spark, folder).filter("label = 'TABULAR'")
     cells = b.selectExpr("page_id", "'t' AS `table`", "ord % 2 AS division", "ord % 3 AS `column`", "conf_pct AS `row`", "minx", "miny", "maxx", "maxy")
-    return regions.nested_bounds(cells).select("page_id", "level", "division", "column", "row", *WHOLE)
+    return regions.nested_bounds(cells).select("page_id", "level", "division", "column", "row", *map(F.expr, WHOLE))
 
 
 def merge_lineage(spark: SparkSession, folder: str) -> DataFrame:
@@ -143,7 +144,7 @@ def unstopped_pairs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def glued_regions(spark: SparkSession, folder: str) -> DataFrame:
-    return regions.glued(boxes(spark, folder), 30, 4000).select("page_id", "block_id", "n_parts", *WHOLE)
+    return regions.glued(boxes(spark, folder), 30, 4000).select("page_id", "block_id", "n_parts", *map(F.expr, WHOLE))
 
 
 def agglomerated_regions(spark: SparkSession, folder: str) -> DataFrame:
@@ -159,15 +160,15 @@ def reliable_regions(spark: SparkSession, folder: str) -> DataFrame:
     r = _ocr_regions(spark, folder)
     lines = _ocr_lines(spark, folder).select("page_id", "label", "block_id", "line_id", F.lit(100).alias("minx"), (F.col("line_id") * 40).alias("miny"), F.lit(800).alias("maxx"), (F.col("line_id") * 40 + 30).alias("maxy"))
     free = lines.filter("label = 'TEXT' AND line_id = 3").withColumn("line_id", F.concat_ws("/", "block_id", F.col("line_id").cast("string")))
-    return regions.reliable(r.filter("label = 'TEXT'"), lines.filter("line_id % 2 = 0"), free).select("page_id", "label", "block_id", *WHOLE)
+    return regions.reliable(r.filter("label = 'TEXT'"), lines.filter("line_id % 2 = 0"), free).select("page_id", "label", "block_id", *map(F.expr, WHOLE))
 
 
 def disjoint_hulls(spark: SparkSession, folder: str) -> DataFrame:
-    return regions.disjoint(boxes(spark, folder)).select("page_id", "block_id", *WHOLE)
+    return regions.disjoint(boxes(spark, folder)).select("page_id", "block_id", *map(F.expr, WHOLE))
 
 
 def merged_rightwards(spark: SparkSession, folder: str) -> DataFrame:
-    return regions.merged_rightwards(boxes(spark, folder), _walls(spark, folder), 100).select("page_id", "block_id", "label", *WHOLE)
+    return regions.merged_rightwards(boxes(spark, folder), _walls(spark, folder), 100).select("page_id", "block_id", "label", *map(F.expr, WHOLE))
 
 
 def review_order(spark: SparkSession, folder: str) -> DataFrame:
