@@ -94,8 +94,10 @@ class State:
             if self.version() != expected:
                 raise FileExistsError
             out = self.fs.create(self.hadoop(f"{self.path}/current-{target:09d}"), False)
-        except (Py4JJavaError, FileExistsError):
+        except (Py4JJavaError, FileExistsError) as e:
             self.fs.delete(self.hadoop(f"{self.path}/{folder}"), True)
+            if isinstance(e, Py4JJavaError) and self.next_version() == target:
+                raise  # no other run's pointer is there: the store cannot be written
             return False
         out.write(bytearray((folder + "\n").encode()))
         out.close()
