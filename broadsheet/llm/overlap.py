@@ -4,45 +4,52 @@ Rows with the same letters and digits (case, spacing, punctuation and look-alike
 work is on wordings and comes back to rows at the end. A wording's words become skeletons, so most misread letters vanish.
 
 1. A wording's word n-grams are the pairs of its words at most ``GAP`` places apart, every word and every pair of them (of a wording of
-   up to ``SHORT`` words the single words too), hashed together with its numbers. A lacking number is found by keys with one
-   number taken out, of one side only.
-2. The n-grams of the validation wordings are joined with those of training. The containment of a validation wording in a training
-   wording is the share of its n-grams that the other has; from ``CONTAINED`` on the two are a pair. As that many must be shared,
-   one of its rarest ``n - ceil(CONTAINED * n) + 1`` n-grams must be, whichever they are: only these are looked up in all n-grams of
-   training. No pair of that containment is lost by it. With ``SHARED - 1`` more of them looked up, ``SHARED`` must be found, which spares most
-   pairs that have one turn of phrase in common.
-3. Pairs of enough containment are checked word by word: each may lack one word, letters may be wrong, lost or added, numbers and
-   established names must be the same.
+   up to ``SHORT`` words the single words too). The containment of a validation wording in a training wording is the share of its
+   n-grams that the other has; from ``CONTAINED`` on the two may be a pair, if their numbers are the same but for one lacking.
+2. Two wordings of that containment that agree word by word have three words in common within ``GAP`` places of each other, whatever their order
+   (of a wording of up to five words two, of up to two words one): with one word lacking on either side or moved there is no other way to share so
+   many n-grams. So wordings meet by these words, hashed together with the numbers. A lacking number is found by keys with one number taken
+   out, of one side only.
+3. A key brings its wording along, and wordings that meet are compared there and then: by a bitmap of their words, by containment, then word
+   by word (each may lack one word, letters may be wrong, lost or added, numbers and established names must be the same). Only pairs that
+   are found are written, so what is on disk does not grow with the wordings that merely meet.
+4. The keys are made in up to ``ROUNDS`` rounds, each of a share of all keys, and a round's files go before the next begins.
 
 What counts as a name, as common or as a misreading follows from shares of the wordings that hold a word, less an allowance for chance
 (the root of the count), and not from counts: it is the same at every size of the corpus.
 
-An n-gram of very many wordings is cut into parts. NULL and empty annotations and rows outside both sets have no pair. Repeated saves
+A key of very many wordings is cut into parts. NULL and empty annotations and rows outside both sets have no pair. Repeated saves
 are rows of their own.
 """
 
 from __future__ import annotations
 
+import math
+import re
 from collections.abc import Iterator
+from functools import lru_cache
+from hashlib import blake2b
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from broadsheet.functions.paths import main_page
 from broadsheet.llm.chars import canonical, decode, encode, low, offsets, rows_of, skeleton, tables
-from broadsheet.session import broadcast_if_small, ship, write_shared
+from broadsheet.session import broadcast_if_small, drop_shared, release, ship, size_of, write_shared
 
 #: Letters that may differ: four on either side.
 MAX_LETTERS = 8
 #: Farthest words of an n-gram; words of the longest wording whose single words count; least containment of a pair.
 GAP, SHORT, CONTAINED = 3, 4, 0.3
-#: N-grams that a pair must show (or as many as its containment needs) before it is looked at.
-SHARED = 3
-#: An n-gram held by more wordings of training is joined in parts of this size.
-HOT = 5_000
+#: Words of the longest wordings that meet by one word and by two.
+ONE, TWO = 2, 5
+#: Most rounds of keys, and the bytes of written wordings from which there is one more.
+ROUNDS, ROUND_BYTES = 12, 2 << 20
+#: A key held by more wordings of training is joined in parts of this size; training wordings by which such keys are told.
+HOT, SAMPLE = 5_000, 20_000
 #: A word is a word of its own beside one that is up to so many times as frequent; beside a short one; rare beside another.
 OWN, OWN_SHORT, RARE = 10, 100, 20
 #: A word is common, and no name, if one wording in so many holds it.
@@ -163,15 +170,154 @@ def same_wording(a: list[str], b: list[str], sa: list[str], sb: list[str], count
     return False
 
 
-def comparer(common: float):
-    def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            keep = []
-            for p, q, s, t, c, d in zip(f["vplain"], f["tplain"], f["vskels"], f["tskels"], f["vn"], f["tn"]):
-                a, b, sa, sb = p.split(" "), q.split(" "), s.split(" "), t.split(" ")
-                counts = dict(zip(a, c)) | dict(zip(b, d))
-                keep.append(len(a) == len(sa) and len(b) == len(sb) and same_wording(a, b, sa, sb, counts, common))
-            yield f[keep][["v", "t", "containment"]]
+@lru_cache(1 << 18)
+def word_hash(word: str) -> int:
+    return int.from_bytes(blake2b(word.encode(), digest_size=8).digest(), "little")
+
+
+def grams(words: list[str]) -> set[tuple[str, ...]]:
+    """The word n-grams of a wording, each once."""
+    found = {p for g in range(1, GAP + 1) for p in zip(words, words[g:])}
+    return found | {(w,) for w in words} if len(words) <= SHORT else found
+
+
+def least_words(words: list[str]) -> int:
+    """Distinct words that a wording must share with another to have ``CONTAINED`` of its n-grams in common.
+
+    So many places hold at most ``edges`` pairs, and a repeated word stands at several.
+    """
+    edges = lambda n: n * (n - 1) // 2 if n <= GAP else GAP * n - GAP * (GAP + 1) // 2
+    least, again, k = math.ceil(CONTAINED * len(grams(words)) - 1e-9), len(words) - len(set(words)), 1
+    while edges(k + again) + k * (len(words) <= SHORT) < least:
+        k += 1
+    return k
+
+
+def signatures(plain: str) -> list[tuple[bool, int]]:
+    """(whether a number was taken out, hash) of a wording's numbers, and of them with each one taken out."""
+    nums = sorted(re.findall(r"(?<![^ ])[0-9]+(?![^ ])", plain))
+    taken = dict.fromkeys(" ".join(nums[:i] + nums[i + 1 :]) for i in range(len(nums)))
+    return [(False, word_hash("#" + " ".join(nums))), *((True, word_hash("#" + x)) for x in taken)]
+
+
+def word_sets(h: np.ndarray, start: np.ndarray, seek: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(wording, hash) of the words of which one set must be shared; ``h`` has the hashes of all words, ``start`` where each wording begins.
+
+    ``seek``: the sets that a validation wording looks for; else those by which one of up to a word more or less may look.
+    """
+    n, at = np.diff(start), np.arange(len(h))
+    row = np.repeat(np.arange(len(n)), n)
+    size, end, more = n[row], start[1:][row], 0 if seek else 1
+    within = lambda lowest, highest: (size + more >= lowest) & (size - more <= highest)
+    far = np.iinfo(np.int64).max
+    sets = [(within(0, ONE), ())] + [(within(ONE + 1, TWO), (a,)) for a in range(1, GAP + 1)] + [(within(TWO + 1, far - 1), (a, b)) for b in range(2, GAP + 1) for a in range(1, b)]
+    rows, keys = [], []
+    for of_size, steps in sets:
+        i = at[of_size & (at + max(steps, default=0) < end)]
+        key = h[i]
+        for x in steps:
+            key = key ^ h[i + x]
+        rows.append(row[i])
+        keys.append((key + np.uint64(len(steps))) * np.uint64(0x9E3779B97F4A7C15))
+    return np.concatenate(rows), np.concatenate(keys)
+
+
+def keys_of(w: DataFrame, seek: bool, rounds: int = 1, turn: int = 0, hot: dict[int, int] | None = None) -> DataFrame:
+    """(key, part, size, less, need, bits, plain): the keys of wordings that belong to this turn; ``bits`` is a bitmap of the words, of which ``need`` must be shared."""
+    ship(w.sparkSession)
+    held = w.sparkSession.sparkContext.broadcast((np.array(sorted(hot), np.uint64), np.array([hot[k] for k in sorted(hot)], np.int32))) if hot else None
+    names = ["key", "part", "size", "less", "need", "bits", "plain"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 4096):
+                b = whole.slice(at, 4096)
+                plain, split = b.column("plain"), pc.split_pattern(b.column("skels"), " ")
+                words = pc.list_flatten(split).dictionary_encode()
+                h = np.array([word_hash(x) for x in words.dictionary.to_pylist()], np.uint64)[words.indices.to_numpy(zero_copy_only=False)]
+                start = np.concatenate(([0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False)))).astype(np.int64)
+                bits = np.bitwise_or.reduceat(np.uint64(1) << (h & np.uint64(63)), start[:-1])
+                row, key = word_sets(h, start, seek)
+                told = [signatures(x) for x in plain.to_pylist()]
+                n = np.array([len(x) for x in told])
+                first = np.concatenate(([0], np.cumsum(n)))
+                less, sig = (np.array([y[k] for x in told for y in x], t) for k, t in ((0, bool), (1, np.uint64)))
+                each = np.repeat(np.arange(len(row)), n[row])
+                nth = np.arange(len(each)) - np.repeat(np.cumsum(n[row]) - n[row], n[row]) + first[row[each]]
+                key = (key[each] ^ sig[nth]) * np.uint64(0xC2B2AE3D27D4EB4F)
+                key ^= key >> np.uint64(29)
+                mine = np.flatnonzero(key % np.uint64(rounds) == turn)
+                key, less, row = key[mine], less[nth[mine]], row[each[mine]]
+                need = np.zeros(len(bits), np.int32)
+                if seek:
+                    need = np.array([least_words(x) - len(set(x)) for x in split.to_pylist()], np.int32) + np.bitwise_count(bits).astype(np.int32)
+                part = np.zeros(len(key), np.int32)
+                if held:
+                    ks, ps = held.value
+                    ix = np.minimum(np.searchsorted(ks, key), len(ks) - 1)
+                    parts = np.where(ks[ix] == key, ps[ix], 1)
+                    if seek:  # a wording looks in all parts of a key
+                        again = np.repeat(np.arange(len(key)), parts)
+                        part = (np.arange(len(again)) - np.repeat(np.cumsum(parts) - parts, parts)).astype(np.int32)
+                        key, less, row = key[again], less[again], row[again]
+                    else:
+                        own = np.array([word_hash(x) for x in plain.to_pylist()], np.uint64) if (parts > 1).any() else np.zeros(len(bits), np.uint64)
+                        part = (own[row] % parts.astype(np.uint64)).astype(np.int32)
+                if len(key):
+                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(part), pa.array(np.diff(start)[row].astype(np.int32)), pa.array(less), pa.array(need[row]), pa.array(bits.view(np.int64)[row]), plain.take(pa.array(row))], names=names)
+
+    return w.select("plain", "skels").mapInArrow(run, "key bigint, part int, size int, less boolean, need int, bits bigint, plain string")
+
+
+def hot_keys(w: DataFrame, n: int) -> dict[int, int]:
+    """The parts of every key that more than ``HOT`` of the ``n`` training wordings hold, by a sample of them."""
+    times = max(1, n // SAMPLE)
+    found = keys_of(w.filter(F.pmod("wording", F.lit(times)) == 0), False).groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > max(HOT / times, 8 * (times > 1))).collect()
+    return {r["key"] % (1 << 64): -(-r["n"] * times // HOT) for r in found}
+
+
+def comparer(held, common: float):
+    """Keeps of wordings that met those of enough containment that agree word by word. ``held``: broadcast hashes of words, sorted, and the wordings that hold them; other words are held by one."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, ns = held.value
+
+        @lru_cache(1 << 17)
+        def count(word: str) -> int:
+            x = np.uint64(word_hash(word))
+            i = int(np.searchsorted(hashes, x))
+            return int(ns[i]) if i < len(hashes) and hashes[i] == x else 1
+
+        def skeletons(texts: pa.Array) -> list[str]:
+            return [x.strip(" ") for x in encode(*skeleton(*decode(texts), spaces=True)).to_pylist()]
+
+        @lru_cache(1 << 16)
+        def told(skels: str) -> tuple[list[str], set[tuple[str, ...]]]:
+            words = skels.split(" ")
+            return words, grams(words)
+
+        for f in batches:
+            keep, shares = [], []
+            texts, ix = [], []
+            for name in ("vplain", "tplain"):
+                d = f.column(name).dictionary_encode()
+                texts.append((d.dictionary.to_pylist(), skeletons(d.dictionary)))
+                ix.append(d.indices.to_pylist())
+            seen: dict[tuple[int, int], bool] = {}
+            for k, (i, j) in enumerate(zip(*ix)):
+                if (i, j) in seen:
+                    continue
+                (sa, ga), (sb, gb) = told(texts[0][1][i]), told(texts[1][1][j])
+                share = len(ga & gb) / len(ga)
+                seen[i, j] = False
+                if share < CONTAINED:
+                    continue
+                a, b = texts[0][0][i].split(" "), texts[1][0][j].split(" ")
+                if len(a) == len(sa) and len(b) == len(sb) and same_wording(a, b, sa, sb, {x: count(x) for x in {*a, *b}}, common):
+                    keep.append(k)
+                    shares.append(share)
+            if keep:
+                yield pa.RecordBatch.from_arrays([f.column("v").take(pa.array(keep)), f.column("t").take(pa.array(keep)), pa.array(shares, pa.float64())], names=["v", "t", "containment"])
 
     return compare
 
@@ -181,65 +327,56 @@ def wordings(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = lines.withColumn("split", split_of(F.col("training"), F.col("validation"))).filter(F.col("split").isNotNull() & (F.trim(F.coalesce("annotation", F.lit(""))) != ""))
     rows = with_words(rows.select("row_id", "page_path", "split", "annotation"), "annotation")
     rows = rows.withColumn("plain", F.trim("plain")).withColumn("skels", F.trim("skels")).filter(F.col("plain").rlike(r"[\p{L}\p{N}]"))
-    rows = write_shared(rows.withColumn("wording", F.xxhash64("plain")), "annotations")
-    return rows.select("row_id", "page_path", "split", "wording"), write_shared(rows.groupBy("split", "wording").agg(F.first("plain").alias("plain"), F.first("skels").alias("skels")), "wordings")
-
-
-def with_grams(w: DataFrame) -> DataFrame:
-    """Adds ``size``, the number of words, ``nums``, the numbers in order, and ``grams``, the hashes of all word n-grams, each once."""
-    words = F.split("skels", " ")
-    w = w.withColumn("__w", words).withColumn("size", F.size(words)).withColumn("nums", F.array_sort(F.filter(F.split("plain", " "), lambda x: x.rlike("^[0-9]+$"))))
-    pairs = F.expr(f"flatten(transform(sequence(1, {GAP}), g -> transform(slice(__w, 1, greatest(size - g, 0)), (x, i) -> xxhash64(x, __w[i + g]))))")
-    single = F.when(F.col("size") <= SHORT, F.transform("__w", lambda x: F.xxhash64(x))).otherwise(F.array().cast("array<bigint>"))
-    return w.withColumn("grams", F.array_distinct(F.concat(pairs, single))).drop("__w")
-
-
-def gram_keys(w: DataFrame, name: str) -> DataFrame:
-    """(name, size, less, sig, p, key): every n-gram with the wording's numbers, and once more with each one of the numbers taken out (``less``)."""
-    whole = F.array(F.struct(F.lit(False).alias("less"), F.concat_ws(" ", "nums").alias("sig")))
-    taken = F.expr("transform(array_distinct(transform(nums, (x, i) -> concat_ws(' ', filter(nums, (y, j) -> j <> i)))), s -> struct(true AS less, s AS sig))")
-    rows = w.select(F.col("wording").alias(name), "size", "grams", F.explode(F.concat(whole, taken)).alias("s"))
-    return rows.select(name, "size", "s.less", "s.sig", F.explode("grams").alias("p")).withColumn("key", F.xxhash64("sig", "p"))
-
-
-def candidates(w: DataFrame) -> DataFrame:
-    """(v, t): validation and training wordings that may have ``CONTAINED`` of the first one's n-grams in common, and the numbers but one."""
-    v, t = gram_keys(w.filter("split = 'validation'"), "v"), gram_keys(w.filter("split = 'training'"), "t")
-    t = write_shared(t.select("t", F.col("size").cast("int").alias("tsize"), F.col("less").alias("tless"), "key"), "training-grams")
-    held = write_shared(t.groupBy("key").agg(F.count("*").alias("n")), "gram-counts")
-    ranked = v.join(held, "key", "left").groupBy("v", "size", "less", "sig").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "key"))).alias("rare"))
-    # of the rarest, those that training has at all
-    least = F.ceil(F.size("rare") * CONTAINED).cast("int")
-    need = F.least(least, F.lit(SHARED))
-    rare = F.slice("rare", F.lit(1), F.size("rare") - least + need)
-    seek = ranked.select("v", F.col("size").alias("vsize"), F.col("less").alias("vless"), need.alias("need"), F.explode(F.filter(rare, lambda x: x["n"] > 0)).alias("g")).select("v", "vsize", "vless", "need", "g.key", "g.n")
-    seek = seek.withColumn("part", F.explode(F.sequence(F.lit(0), F.ceil(F.col("n") / HOT).cast("int") - 1))).drop("n")
-    hot = broadcast_if_small(write_shared(held.filter(F.col("n") > HOT).select("key", F.ceil(F.col("n") / HOT).cast("int").alias("parts")), "hot-grams"))
-    spread = t.join(hot, "key", "left").withColumn("part", F.when(F.col("parts").isNull(), 0).otherwise(F.pmod(F.xxhash64("t"), F.col("parts")).cast("int"))).drop("parts")
-    met = seek.join(spread, ["key", "part"]).filter((F.abs(F.col("vsize") - F.col("tsize")) <= 1) & ~(F.col("vless") & F.col("tless")) & (F.col("v") != F.col("t")))
-    return met.groupBy("v", "t").agg(F.count("*").alias("n"), F.max("need").alias("need")).filter("n >= need").select("v", "t")
+    texts = write_shared(rows.withColumn("wording", F.xxhash64("plain")), "annotations", "zstd")
+    w = write_shared(texts.groupBy("split", "wording").agg(F.first("plain").alias("plain"), F.first("skels").alias("skels")), "wordings", "zstd")
+    rows = write_shared(texts.select("row_id", "page_path", "split", "wording"), "rows", "zstd")
+    drop_shared(texts)
+    release(lines.sparkSession)
+    return rows, w
+
+
+def word_counts(w: DataFrame, same: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, wordings that hold them), sorted by hash, of all words of two wordings or more; a wording of both sets, as in ``same``, counts once."""
+    words = lambda df, n: df.select(F.explode(F.array_distinct(F.split("plain", " "))).alias("word"), F.lit(n).alias("n"))
+    twice = w.filter("split = 'validation'").join(broadcast_if_small(same), "wording", "left_semi")
+    found = words(w, 1).unionAll(words(twice, -1)).groupBy("word").agg(F.sum("n").alias("n")).filter("n > 1").toArrow()
+    hashes = np.array([word_hash(x) for x in found.column("word").to_pylist()], np.uint64)
+    order = np.argsort(hashes)
+    return hashes[order], found.column("n").to_numpy()[order].astype(np.int64)
 
 
 def wording_pairs(w: DataFrame) -> DataFrame:
     """(v, t, containment): validation and training wordings that are the same, written to the shared folder."""
-    w = write_shared(with_grams(w), "grams")
-    words = w.select("split", "wording", F.posexplode(F.split("plain", " ")).alias("i", "word"))
-    counted = words.select("wording", "word").distinct().groupBy("word").agg(F.count("*").alias("n"))
-    tell = words.join(counted, "word").groupBy("split", "wording").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "n"))), lambda x: x["n"]).alias("n"))
-    told = write_shared(w.select("split", "wording", "plain", "skels", "grams").join(tell, ["split", "wording"]), "told")
-    side = lambda name, split: told.filter(F.col("split") == split).select(F.col("wording").alias(name), *[F.col(c).alias(name + c) for c in ("plain", "skels", "n", "grams")])
-    contained = F.size(F.array_intersect("vgrams", "tgrams")) / F.size("vgrams")
-    pairs = candidates(w).join(side("v", "validation"), "v").join(side("t", "training"), "t").withColumn("containment", contained).filter(F.col("containment") >= CONTAINED).drop("vgrams", "tgrams")
-    found = pairs.mapInPandas(comparer(least_common(told.count())), "v bigint, t bigint, containment double")
-    v, t = (w.filter(F.col("split") == x).select(F.col("wording").alias("v")) for x in ("validation", "training"))
-    same = v.join(t, "v", "left_semi").select("v", F.col("v").alias("t"), F.lit(1.0).alias("containment"))
-    return write_shared(found.unionAll(same), "overlaps")
+    spark = w.sparkSession
+    validation, training = (w.filter(F.col("split") == x) for x in ("validation", "training"))
+    same = write_shared(validation.select("wording").join(training, "wording", "left_semi"), "same")
+    held = spark.sparkContext.broadcast(word_counts(w, same))
+    n = training.count()
+    hot, common, rounds = hot_keys(training, n), least_common(w.count()), min(ROUNDS, 1 + size_of(w) // ROUND_BYTES)
+    release(spark)
+    found = [same.select(F.col("wording").alias("v"), F.col("wording").alias("t"), F.lit(1.0).alias("containment"))]
+    for turn in range(rounds):
+        v, t = (keys_of(df, seek, rounds, turn, hot) for df, seek in ((validation, True), (training, False)))
+        v, t = (df.select("key", "part", *[F.col(c).alias(name + c) for c in columns]) for name, df, columns in (("v", v, ("size", "less", "need", "bits", "plain")), ("t", t, ("size", "less", "bits", "plain"))))
+        met = v.join(t, ["key", "part"]).filter((F.abs(F.col("vsize") - F.col("tsize")) <= 1) & ~(F.col("vless") & F.col("tless")) & (F.bit_count(F.col("vbits").bitwiseAND(F.col("tbits"))) >= F.col("vneed")) & (F.col("vplain") != F.col("tplain")))
+        met = met.select(F.xxhash64("vplain").alias("v"), F.xxhash64("tplain").alias("t"), "vplain", "tplain")
+        found.append(write_shared(met.mapInArrow(comparer(held, common), "v bigint, t bigint, containment double"), "pairs"))
+        release(spark)
+    out = found[0]
+    for df in found[1:]:
+        out = out.unionAll(df)
+    out = write_shared(out.groupBy("v", "t").agg(F.max("containment").alias("containment")), "overlaps")
+    for df in (same, *found[1:]):
+        drop_shared(df)
+    release(spark)
+    return out
 
 
 def overlaps(lines: DataFrame) -> DataFrame:
     """(v, t, containment, rows of both): pairs of rows, validation and training, that give the same wording."""
     rows, w = wordings(lines)
-    found = wording_pairs(w)
+    found = broadcast_if_small(wording_pairs(w))
+    drop_shared(w)
     a = rows.filter("split = 'validation'").select(F.col("wording").alias("v"), F.col("row_id").alias("validation_row"), F.col("page_path").alias("validation_page"))
     b = rows.filter("split = 'training'").select(F.col("wording").alias("t"), F.col("row_id").alias("training_row"), F.col("page_path").alias("training_page"))
     return found.join(a, "v").join(b, "t").select("validation_row", "validation_page", "training_row", "training_page", "containment")
@@ -254,7 +391,9 @@ def report(lines: DataFrame, paper: DataFrame) -> DataFrame:
     rows = main_page(rows, paper, "page_path", "page").withColumn("paper", F.substring_index("page", "/", 1))
     per = write_shared(rows.groupBy("split", "wording", "paper").agg(F.count("*").alias("n")), "rows-of-wordings")
     side = lambda name, split: per.filter(F.col("split") == split).select(F.col("wording").alias(name), F.col("paper").alias(f"{split}_paper"), F.col("n").alias(f"n{name}"))
-    j = write_shared(wording_pairs(w).join(side("v", "validation"), "v").join(side("t", "training"), "t"), "counted-pairs")
+    found = broadcast_if_small(wording_pairs(w))
+    drop_shared(w)
+    j = write_shared(found.join(side("v", "validation"), "v").join(side("t", "training"), "t"), "counted-pairs")
     keys, pairs = ["validation_paper", "training_paper"], F.col("nv") * F.col("nt")
     out = j.groupBy(*keys).agg(F.sum(pairs).alias("n_pairs"), F.round(F.sum(pairs * F.col("containment")) / F.sum(pairs), 4).alias("containment"))
     for name, split in (("v", "validation"), ("t", "training")):

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import io
 import os
 import tempfile
+import time
 import uuid
 import zipfile
 from pathlib import Path
@@ -45,14 +47,14 @@ def shared_dir(spark: SparkSession) -> str:
 _written: list[str] = []
 
 
-def write_shared(df: DataFrame, name: str) -> DataFrame:
+def write_shared(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Writes ``df`` once as Parquet into the shared folder and reads it back.
 
     It cuts the lineage: a lost executor costs its tasks, not the plan before it. ``clear_shared`` removes the tables.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -66,6 +68,23 @@ def clear_shared(spark: SparkSession) -> int:
     return n
 
 
+def drop_shared(df: DataFrame) -> None:
+    """Removes a table that ``write_shared`` has made, when all that reads it is written."""
+    spark = df.sparkSession
+    for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        _written[:] = [x for x in _written if x.rpartition("/")[2] != p.getName()]
+
+
+def release(spark: SparkSession) -> None:
+    """Has Spark remove the shuffle files of the jobs that are over; by itself it does so when the driver collects its garbage, which may be long after."""
+    spark.range(1).write.format("noop").mode("overwrite").save()  # the last job is held until another has run
+    gc.collect()
+    spark._jvm.System.gc()
+    time.sleep(0.2)  # the files go in the background
+
+
 def size_of(df: DataFrame) -> int:
     """Bytes on disk of a DataFrame read from files."""
     spark = df.sparkSession

@@ -2,6 +2,7 @@
 
 import random
 import sys
+import threading
 import unicodedata
 from collections import Counter, defaultdict
 from pathlib import Path
@@ -18,6 +19,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 from oracle import DATA, connect, same  # noqa: E402
 
 from broadsheet.llm import boilerplate, chars, features, grouping, headers, leaks, overlap, queries, repair, subjects, tokens  # noqa: E402
+from broadsheet.session import release, shared_dir  # noqa: E402
 
 LONG = "Die Marktkasse verlangt heute neue Straßen. " * 3000
 
@@ -223,6 +225,69 @@ def test_recall_against_all_pairs(spark):
     assert {p for p in found if p[0] in asked} <= exact
 
 
+def test_overlaps_take_a_few_times_their_input_on_disk(spark, monkeypatch):
+    """Shuffle files and shared tables at their most, looked at again and again; in rounds as on a large table."""
+    monkeypatch.setattr(overlap, "ROUND_BYTES", 1 << 16, raising=False)
+    release(spark)
+    blocks, shared = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager(), Path(shared_dir(spark).removeprefix("file://"))
+    spark_dirs = [Path(str(x)) for x in blocks.localDirsString()]
+
+    def used():
+        total = 0
+        for p in [x for d in (*spark_dirs, shared) for x in d.rglob("*")]:
+            try:
+                total += p.stat().st_size if p.is_file() else 0
+            except OSError:
+                pass
+        return total
+
+    file, over, most, floor = "/root/testdata/sf0.1/lines.parquet", threading.Event(), [], used()
+
+    def watch():
+        while not over.wait(0.02):
+            most.append(used() - floor)
+
+    t = threading.Thread(target=watch)
+    t.start()
+    try:
+        assert overlap.overlaps(spark.read.parquet(file)).count()
+    finally:
+        over.set()
+        t.join()
+    assert max(most) < 8 * Path(file).stat().st_size
+
+
+def test_rounds_and_parts_of_keys_lose_no_pair(spark, monkeypatch):
+    rows, w = overlap.wordings(spark.read.parquet("/root/testdata/sf0.01/lines.parquet"))
+    whole = {tuple(r) for r in overlap.wording_pairs(w).collect()}
+    monkeypatch.setattr(overlap, "ROUND_BYTES", 1 << 14)
+    monkeypatch.setattr(overlap, "HOT", 3)
+    assert whole and {tuple(r) for r in overlap.wording_pairs(w).collect()} == whole
+
+
+def test_wordings_of_enough_containment_meet():
+    """Any words misread, one lacking on either side or moved: whoever shares enough n-grams shares a set of words and enough words."""
+    rng = random.Random(1)
+
+    def sets(words, seek):
+        return set(overlap.word_sets(np.array([overlap.word_hash(x) for x in words], np.uint64), np.array([0, len(words)]), seek)[1].tolist())
+
+    n = 0
+    for k in range(20_000):
+        a = [f"w{i}" for i in range(k % 14 + 1)]
+        b = [x if rng.random() < 0.6 else x + "x" for x in a]
+        if len(b) > 1 and rng.random() < 0.5:
+            out = b.pop(rng.randrange(len(b)))
+        else:
+            out = "other"
+        if rng.random() < 0.5:
+            b.insert(rng.randrange(len(b) + 1), rng.choice([out, "other", *[x for x in a if x not in b]]))
+        if len(overlap.grams(a) & overlap.grams(b)) >= overlap.CONTAINED * len(overlap.grams(a)):
+            n += 1
+            assert sets(a, True) & sets(b, False) and len({*a} & {*b}) >= overlap.least_words(a), (a, b)
+    assert n > 1000
+
+
 def test_report_counts_rows_without_pairing_them(spark):
     w = "Die Turmkasse bei Holzleben prüft heute neue Bergfeste."
     rows = [(k, f"{'eic' if k % 4 else 'alt'}/1850/no1/jpg/1.jpg", w if k % 3 else w.lower(), k % 2 == 0, k % 2 == 1) for k in range(40)] + [(100, None, w, False, True)]
