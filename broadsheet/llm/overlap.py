@@ -193,6 +193,12 @@ def least_words(words: list[str]) -> int:
     return k
 
 
+@lru_cache(1 << 10)
+def least_of_size(n: int) -> int:
+    """``least_words`` of n words of which none is repeated."""
+    return least_words([str(i) for i in range(n)])
+
+
 def signatures(plain: str) -> list[tuple[bool, int]]:
     """(whether a number was taken out, hash) of a wording's numbers, and of them with each one taken out."""
     nums = sorted(re.findall(r"(?<![^ ])[0-9]+(?![^ ])", plain))
@@ -228,6 +234,8 @@ def keys_of(w: DataFrame, seek: bool, rounds: int = 1, turn: int = 0, hot: dict[
     held = w.sparkSession.sparkContext.broadcast((np.array(sorted(hot), np.uint64), np.array([hot[k] for k in sorted(hot)], np.int32))) if hot else None
     names = ["key", "part", "size", "less", "need", "bits", "plain"]
 
+    none = signatures("")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 4096):
@@ -238,7 +246,7 @@ def keys_of(w: DataFrame, seek: bool, rounds: int = 1, turn: int = 0, hot: dict[
                 start = np.concatenate(([0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False)))).astype(np.int64)
                 bits = np.bitwise_or.reduceat(np.uint64(1) << (h & np.uint64(63)), start[:-1])
                 row, key = word_sets(h, start, seek)
-                told = [signatures(x) for x in plain.to_pylist()]
+                told = [signatures(x) if y else none for x, y in zip(plain.to_pylist(), pc.match_substring_regex(plain, "[0-9]").to_pylist())]
                 n = np.array([len(x) for x in told])
                 first = np.concatenate(([0], np.cumsum(n)))
                 less, sig = (np.array([y[k] for x in told for y in x], t) for k, t in ((0, bool), (1, np.uint64)))
@@ -250,7 +258,13 @@ def keys_of(w: DataFrame, seek: bool, rounds: int = 1, turn: int = 0, hot: dict[
                 key, less, row = key[mine], less[nth[mine]], row[each[mine]]
                 need = np.zeros(len(bits), np.int32)
                 if seek:
-                    need = np.array([least_words(x) - len(set(x)) for x in split.to_pylist()], np.int32) + np.bitwise_count(bits).astype(np.int32)
+                    size = np.diff(start)
+                    own = np.unique(np.repeat(np.arange(len(size)), size) * len(words.dictionary) + words.indices.to_numpy(zero_copy_only=False)) // len(words.dictionary)
+                    distinct = np.bincount(own, minlength=len(size))
+                    need = np.array([least_of_size(k) for k in size.tolist()])
+                    for i in np.flatnonzero(distinct < size).tolist():
+                        need[i] = least_words(split[i].as_py())
+                    need = (need - distinct + np.bitwise_count(bits)).astype(np.int32)
                 part = np.zeros(len(key), np.int32)
                 if held:
                     ks, ps = held.value
