@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from broadsheet.llm.chars import canonical, decode, encode, low, offsets, ramp, row_hash, rows_of, skeleton, tables
+from broadsheet.llm.chars import canonical, decode, encode, finish, low, offsets, polynomial, powers, ramp, row_hash, rows_of, skeleton, tables
 from broadsheet.session import ship
 
 # Words beside a page number; words beside an issue number; months of the three languages.
@@ -103,31 +103,48 @@ def numbers_of(cps: np.ndarray, offs: np.ndarray) -> dict[str, pa.Array]:
     return {"nums": nums, "title": title, "pagenum": pa.compute.if_else(pa.array(only), nums, pa.scalar(None, pa.string()))}
 
 
+@functools.cache
+def word_tables() -> tuple[np.ndarray, np.ndarray]:
+    """Of each character of the basic plane: whether it is part of a word, and the value of its lower case in a hash."""
+    t = tables()
+    part = t["letter"] | t["digit"] | (t["ccc"] > 0)
+    part[124] = True
+    return part, polynomial(t["lower"])
+
+
 class Words:
     """The words of canonical texts (runs of letters, marks, digits and bars): row, first and last character, hash in lower case."""
 
     def __init__(self, cps: np.ndarray, offs: np.ndarray):
-        t = tables()
-        ix, row = low(cps), rows_of(offs)
-        solid = t["letter"][ix] | t["digit"][ix] | (t["ccc"][ix] > 0) | (cps == 124)
-        same = row[1:] == row[:-1]
+        part, value = word_tables()
+        self.cps = cps
+        solid = part[low(cps)]
+        full = offs[1:] > offs[:-1]
+        head, tail = offs[:-1][full], offs[1:][full] - 1
         begin = solid.copy()
-        begin[1:] &= ~(solid[:-1] & same)
+        begin[1:] &= ~solid[:-1]
+        begin[head] = solid[head]
         self.first = np.flatnonzero(begin)
         end = solid.copy()
-        end[:-1] &= ~(solid[1:] & same)
+        end[:-1] &= ~solid[1:]
+        end[tail] = solid[tail]
         self.last = np.flatnonzero(end) + 1
-        self.row = row[self.first]
-        self.lower = t["lower"][ix]
-        size = self.last - self.first
-        self.size = size
-        self.hash = row_hash(self.lower[solid], np.concatenate(([0], np.cumsum(size))))
+        #: words of each row
+        self.count = np.diff(np.searchsorted(self.first, offs))
+        self.row = np.repeat(np.arange(len(offs) - 1), self.count)
+        size = self.size = self.last - self.first
+        # as row_hash, with the values of the characters from the table; no character beyond the basic plane is part of a word
+        if len(size):
+            total = np.add.reduceat(value[cps[solid]] * powers(1 << max(4, int(size.max()).bit_length()))[ramp(size)], np.cumsum(size) - size)
+        else:
+            total = np.zeros(0, np.uint64)
+        self.hash = finish(total, size)
 
     def texts(self, which: np.ndarray) -> pa.Array:
         """The words ``which`` in lower case."""
         size = self.size[which]
         take = np.repeat(self.first[which], size) + ramp(size)
-        return encode(self.lower[take].astype(np.uint32), np.concatenate(([0], np.cumsum(size))))
+        return encode(tables()["lower"][low(self.cps[take])].astype(np.uint32), np.concatenate(([0], np.cumsum(size))))
 
 
 COLUMNS = ["skel", "nums", "title", "pagenum"]

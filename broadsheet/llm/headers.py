@@ -43,10 +43,10 @@ def titles(f: DataFrame) -> DataFrame:
     """
     text = f.filter((F.col("label") == "TEXT") & ~F.col("is_pagenum") & (F.col("skel") != ""))
     edge = text.groupBy("paper", "page").agg(F.min(F.struct("place", "title")).alias("first"), F.max(F.struct("place", "title")).alias("last"))
-    at = edge.select("paper", "page", F.explode(F.array_distinct(F.array("first.title", "last.title"))).alias("title"))
-    counted = at.groupBy("paper", "title").agg(F.count("*").alias("n"))
-    # every page has one NULL or title entry at least; the pages of a paper are counted from the edges themselves
-    pages = edge.groupBy("paper").agg(F.count("*").alias("pages"))
+    at = edge.select("paper", F.posexplode(F.array_distinct(F.array("first.title", "last.title"))).alias("pos", "title"))
+    # every page has one NULL or title entry at least; the pages of a paper are counted by the first. Written, as it is asked for titles and for pages
+    counted = write_shared(at.groupBy("paper", "title").agg(F.count("*").alias("n"), F.count_if(F.col("pos") == 0).alias("firsts")), "edge-titles")
+    pages = counted.groupBy("paper").agg(F.sum("firsts").alias("pages"))
     good = counted.filter("title IS NOT NULL AND title <> ''").join(pages, "paper").filter(F.col("n") >= F.greatest(F.lit(TITLE_PAGES), F.col("pages") * TITLE_SHARE))
     lost = F.transform(F.sequence(F.lit(1), F.length("title")), lambda i: F.concat(F.expr("title").substr(F.lit(1), i - 1), F.expr("title").substr(i + 1, F.length("title"))))
     forms = F.when(F.length("title") >= 8, F.concat(F.array("title"), lost)).otherwise(F.array("title"))

@@ -15,6 +15,7 @@ its lines are bounded by the sheet, and the sort spills.
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Iterator
 
@@ -26,7 +27,6 @@ from pyspark.sql import functions as F
 
 from broadsheet.functions.paths import main_page
 from broadsheet.llm.chars import canonical, decode, encode, low, tables
-from broadsheet.llm.chars import rows_of as rows_of_text
 from broadsheet.llm.features import Words, numbered, reading_place
 from broadsheet.llm.headers import page_number, titles, with_headers
 from broadsheet.session import BROADCAST_LIMIT, broadcast_if_small, ship, size_of, write_shared
@@ -49,6 +49,8 @@ CONFUSED_RATIO, CONFUSED_FREE, CONFUSED_SHARE = 10, 4, 1 / 60
 LOST_RATIO, LOST_FREE, LOST_SHARE = 25, 3, 1 / 1000
 #: Letters of the shortest word with a letter lost or doubled.
 LOST_LENGTH = 5
+#: Bits of a hash by which most words are told from the misread ones.
+MARKS = (1 << 20) - 1
 
 
 def rows_of(ocr: DataFrame, lines: DataFrame, paper: DataFrame) -> DataFrame:
@@ -76,7 +78,8 @@ def prepared(rows: DataFrame) -> DataFrame:
             cps, offs, _ = canonical(*decode(text))
             found = numbered(cps, offs)
             # of the skeleton only whether there is one is asked for
-            some = np.bincount(rows_of_text(offs)[solid[low(cps)]], minlength=len(offs) - 1) > 0
+            upto = np.concatenate(([0], np.cumsum(solid[low(cps)])))
+            some = upto[offs[1:]] > upto[offs[:-1]]
             skel = pa.compute.if_else(pa.array(some), "x", "")
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in kept], encode(cps, offs, text.is_valid()), skel, found["title"], found["pagenum"]], names=[*kept, "text", "skel", "title", "pagenum"])
 
@@ -87,32 +90,61 @@ BROKEN = re.compile(r"([^\W_]+)[\u0300-\u036f]*[" + HYPHENS.replace("-", r"\-")
 FIRST = re.compile(r"^[^\w|]*([\w|][\w|\u0300-\u036f]*)")
 
 
-def neighbours(chunk: pd.DataFrame) -> pd.DataFrame:
-    """``broken``, ``before`` and ``after`` of rows sorted by page, place, running text first, row_id."""
+@functools.cache
+def last_bytes() -> np.ndarray:
+    """Whether a text whose UTF-8 ends in this byte may end in a hyphen, or in a space after one."""
+    may = np.zeros(256, bool)
+    may[[c.encode()[-1] for c in [*HYPHENS, *(chr(x) for x in range(1 << 16) if chr(x).isspace())]]] = True
+    return may
+
+
+def may_break(texts: pa.Array) -> np.ndarray:
+    """The rows whose text may end in a hyphen, by its last byte; all that do are among them."""
+    texts = texts.cast(pa.large_string())
+    n = len(texts)
+    at = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + n + 1]
+    full = np.flatnonzero((at[1:] > at[:-1]) & texts.is_valid().to_numpy(zero_copy_only=False))
+    return full[last_bytes()[np.frombuffer(texts.buffers()[2], np.uint8)[at[full + 1] - 1]]] if len(full) else full
+
+
+def broken_word(text: str) -> str | None:
+    """The last word of a text that ends in a letter and a hyphen, in lower case."""
+    t = text.rstrip()
+    if t[-1:] not in HYPHEN_SET:
+        return None
+    m = BROKEN.search(t, t.rfind(" ") + 1)  # no space is within a match
+    return m[1].lower() if m else None
+
+
+def neighbours(chunk: pa.RecordBatch) -> tuple[pa.RecordBatch, np.ndarray]:
+    """Rows sorted by page, place, running text first, row_id, with ``broken``, ``before`` and ``after``; the first lines of running text at their places."""
     n = len(chunk)
-    page = pd.factorize(chunk["page"], use_na_sentinel=False)[0]
-    place, aside, texts = chunk["place"].to_numpy(), chunk["aside"].to_numpy(), chunk["text"].to_numpy()
-    last = np.full(n, "", object)
-    broken = np.zeros(n, bool)
-    for i, t in enumerate(texts):
-        if t and t.rstrip()[-1:] in HYPHEN_SET and (m := BROKEN.search(t)):
-            last[i], broken[i] = m[1].lower(), True
-    group = np.cumsum(np.concatenate(([True], (page[1:] != page[:-1]) | (place[1:] != place[:-1])))) - 1
-    opens = np.concatenate(([True], group[1:] != group[:-1]))
-    head = np.flatnonzero(opens & (aside == 0))
-    before, after = np.full(n, None, object), np.full(n, None, object)
+    pages, place, texts = chunk.column("page"), chunk.column("place").to_numpy(zero_copy_only=False), chunk.column("text")
+    turns = pa.compute.not_equal(pages[1:], pages[:-1]).to_numpy(zero_copy_only=False)
+    page = np.cumsum(np.concatenate(([True], turns))) - 1
+    words, code = [""], np.zeros(n, np.int64)  # the broken word of each row, by its place in words
+    maybe = may_break(texts)
+    for i, t in zip(maybe.tolist(), texts.take(pa.array(maybe)).to_pylist()):
+        if (w := broken_word(t)) is not None:
+            code[i] = len(words)
+            words.append(w)
+    broken = code > 0
+    opens = np.concatenate(([True], turns | (place[1:] != place[:-1])))
+    group = np.cumsum(opens) - 1
+    head = np.flatnonzero(opens & (chunk.column("aside").to_numpy(zero_copy_only=False) == 0))
+    before, after, follows = np.full(n, -1), np.full(n, -1), []
     if len(head):
         mine = np.searchsorted(head, np.arange(n), "right") - 1  # the head at or before each row
         same = (mine >= 0) & (group[head[np.maximum(mine, 0)]] == group)
         prior, coming = np.where(same, mine - 1, mine), mine + 1
         ok = (prior >= 0) & (page[head[np.maximum(prior, 0)]] == page)
-        before[ok] = last[head[prior[ok]]]
+        before[ok] = code[head[prior[ok]]]
         ok = broken & (coming < len(head))
         ok[ok] = page[head[coming[ok]]] == page[ok]
-        for i in np.flatnonzero(ok):
-            m = FIRST.search(texts[head[coming[i]]] or "")
-            after[i] = m[1].lower() if m else ""
-    return chunk.assign(broken=broken, before=before, after=after, head=np.isin(np.arange(n), head))
+        after[ok] = np.arange(np.count_nonzero(ok))
+        follows = [m[1].lower() if t and (m := FIRST.search(t)) else "" for t in texts.take(pa.array(head[coming[ok]])).to_pylist()]
+    spread = lambda values, at: pa.array(values, pa.string()).take(pa.array(at, mask=at < 0))
+    return pa.RecordBatch.from_arrays([*chunk.columns, pa.array(broken), spread(words, before), spread(follows, after)], names=[*chunk.schema.names, "broken", "before", "after"]), head
 
 
 def with_neighbours(f: DataFrame) -> DataFrame:
@@ -121,30 +153,30 @@ def with_neighbours(f: DataFrame) -> DataFrame:
     The neighbours of a hand annotation, and of a line loaded again, are those of the first recognised line at its place.
     Rows are sorted within hash partitions of the page and streamed; of an open page only the last two lines are held.
     """
+    ship(f.sparkSession)
     flows = (F.col("tab") == "ocr") & (F.coalesce("label", F.lit("TEXT")) == "TEXT") & ~F.col("is_pagenum") & ~F.col("is_header")
     alone = F.concat(F.lit("\u0001"), "tab", F.lit("/"), F.coalesce(F.col("row_id").cast("string"), F.lit("")))
     rows = f.select("tab", "row_id", F.coalesce("page", alone).alias("page"), "place", F.when(flows, 0).otherwise(1).alias("aside"), "text", "is_header", "is_pagenum")
-    given = list(rows.columns)
-    columns = [*given, "broken", "before", "after"]
+    columns = [*(c for c in rows.columns if c != "aside"), "broken", "before", "after"]
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, done = None, 0
-        for frame in frames:
-            if not len(frame):
+        for batch in batches:
+            if not len(batch):
                 continue
-            chunk = neighbours(frame if held is None else pd.concat([held[given], frame], ignore_index=True))
-            head = np.flatnonzero(chunk["head"].to_numpy())
+            chunk = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            found, head = neighbours(chunk)
             if len(head) < 2:
                 held = chunk
             else:
                 keep, cut = int(head[-2]), int(head[-1])
-                yield chunk.iloc[done:cut][columns]
-                held, done = chunk.iloc[keep:].reset_index(drop=True), cut - keep
+                yield found.slice(done, cut - done).select(columns)
+                held, done = chunk.slice(keep), cut - keep
         if held is not None:
-            yield held.iloc[done:][columns]
+            yield neighbours(held)[0].slice(done).select(columns)
 
-    kinds = ", ".join(f"{x.name} {x.dataType.simpleString()}" for x in rows.schema.fields) + ", broken boolean, before string, after string"
-    done = rows.repartition("page").sortWithinPartitions("page", "place", "aside", "row_id").mapInPandas(run, kinds).drop("aside")
+    kinds = ", ".join(f"{x.name} {x.dataType.simpleString()}" for x in rows.schema.fields if x.name != "aside") + ", broken boolean, before string, after string"
+    done = rows.repartition("page").sortWithinPartitions("page", "place", "aside", "row_id").mapInArrow(run, kinds)
     return done.withColumn("page", F.when(~F.col("page").startswith("\u0001"), F.col("page")))
 
 
@@ -154,34 +186,28 @@ class Listed:
     def __init__(self, b: pa.RecordBatch):
         cps, offs = decode(b.column("text"))
         w = self.words = Words(cps, offs)
-        n = len(offs) - 1
-        before, after, broken = b.column("before").to_pylist(), b.column("after").to_pylist(), b.column("broken").to_numpy(zero_copy_only=False)
-        count = np.bincount(w.row, minlength=n)
-        start = np.cumsum(count) - count
+        before, after = b.column("before"), b.column("after")
+        start = np.cumsum(w.count) - w.count
+        filled = lambda x: pa.compute.greater(pa.compute.binary_length(x), 0).fill_null(False).to_numpy(zero_copy_only=False)
+        ends = np.flatnonzero(filled(before) & (w.count > 0))  # rows whose first word ends one, and those whose last word begins one
+        opens = np.flatnonzero(b.column("broken").to_numpy(zero_copy_only=False) & (w.count > 0))
         whole = np.ones(len(w.row), bool)
-        joined, row, lo, hi, begins = [], [], [], [], []
-        for i in np.flatnonzero(broken | np.array([bool(x) for x in before], bool)):
-            if not count[i]:
-                continue
-            first, last = start[i], start[i] + count[i] - 1
-            text = lambda k: w.lower[w.first[k] : w.last[k]].astype("<u4").tobytes().decode("utf-32-le")
-            if before[i]:
-                whole[first] = False
-                part = text(first)
-                joined.append(before[i] + part)
-                row.append(i), lo.append(len(before[i])), hi.append(len(before[i]) + len(part) + 1), begins.append(False)
-            if broken[i]:
-                whole[last] = False
-                if after[i] and after[i] not in KEEP_BEFORE:
-                    part = text(last)
-                    joined.append(part + after[i])
-                    row.append(i), lo.append(0), hi.append(len(part)), begins.append(True)
+        whole[start[ends]] = False
+        whole[start[opens] + w.count[opens] - 1] = False
+        opens = opens[(filled(after) & ~pa.compute.is_in(after, pa.array(KEEP_BEFORE, after.type)).to_numpy(zero_copy_only=False))[opens]]
+        first, last = start[ends], start[opens] + w.count[opens] - 1
+        prior, coming = before.take(pa.array(ends)), after.take(pa.array(opens))
+        join = lambda x, y: pa.compute.binary_join_element_wise(x.cast(pa.string()), y.cast(pa.string()), "")
+        joined = pa.concat_arrays([join(prior, w.texts(first)), join(w.texts(last), coming)])
+        length = pa.compute.utf8_length(prior).to_numpy(zero_copy_only=False).astype(np.int64)
         self.whole = np.flatnonzero(whole)
-        self.joined = Words(*decode(pa.array(joined, pa.string())))
+        self.joined = Words(*decode(joined))
         # a joined text may hold other signs only if a part did: keep those that are one word
         self.of = self.joined.row
-        self.joined_row, self.lo, self.hi = np.array(row, np.int64), np.array(lo, np.int64), np.array(hi, np.int64)
-        self.begins = np.array(begins, bool)
+        self.joined_row = np.concatenate((ends, opens))
+        self.lo = np.concatenate((length, np.zeros(len(opens), np.int64)))
+        self.hi = np.concatenate((length + w.size[first] + 1, w.size[last]))
+        self.begins = np.arange(len(joined)) >= len(ends)
 
 
 def chunks(batches: Iterator[pa.RecordBatch], rows: int = 40_000) -> Iterator[pa.RecordBatch]:
@@ -203,8 +229,12 @@ def vocabulary(r: DataFrame) -> DataFrame:
         for b in chunks(batches):
             found = Listed(b)
             for w, which in ((found.words, found.whole), (found.joined, np.flatnonzero(found.begins[found.of]) if len(found.of) else found.of)):
-                h, first, n = np.unique(w.hash[which], return_index=True, return_counts=True)
-                yield pa.RecordBatch.from_arrays([w.texts(which[first]), pa.array(h), pa.array(n)], names=["word", "h", "n"])
+                if len(which):
+                    each = pa.array(w.hash[which]).dictionary_encode()
+                    code = each.indices.to_numpy(zero_copy_only=False)
+                    one = np.empty(len(each.dictionary), np.int64)  # a place of each word
+                    one[code] = which
+                    yield pa.RecordBatch.from_arrays([w.texts(one), each.dictionary, pa.array(np.bincount(code))], names=["word", "h", "n"])
 
     counted = r.select("text", "before", "after", "broken").mapInArrow(run, "word string, h bigint, n bigint")
     return counted.groupBy("h").agg(F.min("word").alias("word"), F.sum("n").alias("n"))
@@ -267,16 +297,17 @@ def looked_up(r: DataFrame, misread: DataFrame) -> DataFrame:
         held = spark.sparkContext.broadcast(np.sort(np.array([x["h"] for x in misread.select("h").toLocalIterator()], np.int64)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = held.value if held is not None else np.zeros(0, np.int64)
+        marked = np.zeros(MARKS + 1, bool)  # most words are none of them by the last bits of their hash
+        marked[known & MARKS] = True
         for b in chunks(batches):
             found = Listed(b)
             w, which, j = found.words, found.whole, found.joined
-            row = np.concatenate((w.row[which], found.joined_row[found.of])).astype(np.int64)
             h = np.concatenate((w.hash[which], j.hash))
-            lo = np.concatenate((np.zeros(len(which), np.int64), found.lo[found.of]))
-            hi = np.concatenate((np.full(len(which), 1 << 20), found.hi[found.of]))
+            row, lo, hi = (np.concatenate((x, y[found.of])) for x, y in ((w.row[which], found.joined_row), (np.zeros(len(which), np.int64), found.lo), (np.full(len(which), 1 << 20), found.hi)))
             if held is not None:
-                known = held.value
-                hit = known[np.minimum(np.searchsorted(known, h), len(known) - 1)] == h if len(known) else np.zeros(len(h), bool)
+                hit = np.flatnonzero(marked[h & MARKS])
+                hit = hit[known[np.minimum(np.searchsorted(known, h[hit]), len(known) - 1)] == h[hit]]
                 row, h, lo, hi = row[hit], h[hit], lo[hit], hi[hit]
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row)), b.column(1).take(pa.array(row)), pa.array(h), pa.array(lo, pa.int32()), pa.array(hi, pa.int32())], names=["tab", "row_id", "h", "lo", "hi"])
 

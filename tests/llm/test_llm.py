@@ -391,6 +391,74 @@ def test_titles_need_a_share_of_the_pages(spark):
     assert ("b", "often long") in got and ("b", "oftenlong") in got and not any(p == "a" for p, _ in got)
 
 
+def test_titles_read_the_lines_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    rows = [("a", f"p{k}", "TEXT", line, "x", title, False) for k in range(20) for line, title in ((0, "long title" if k % 2 else None), (1, None))] + [("a", "q", "TEXT", 0, "x", "long title", False)]
+    f = spark.createDataFrame(rows, "paper string, page string, label string, place bigint, skel string, title string, is_pagenum boolean")
+    got = headers.titles(f.mapInArrow(count, f.schema)).collect()
+    assert ("a", "long title") in {tuple(r) for r in got} and len(got) == len({tuple(r) for r in got})
+    assert seen.value == len(rows)
+
+
+def calls(f):
+    """What ``f`` gives, and the Python functions called for it."""
+    n = 0
+
+    def note(frame, event, arg):
+        nonlocal n
+        n += event == "call"
+
+    sys.setprofile(note)
+    try:
+        out = f()
+    finally:
+        sys.setprofile(None)
+    return out, n
+
+
+def test_words_are_listed_without_a_call_for_each_line():
+    texts = ["kasse prüft Markt-", None, "", "-", "Eins-", "é\u0301a  B|c 7x𝔘y-"]
+    pairs = [(t, b, a, broken) for t in texts for b in (None, "", "markt", "i\u0307b") for a in (None, "", "und", "kasse") for broken in (False, True)]
+    batch = lambda n: pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*(pairs * n))], names=["text", "before", "after", "broken"])
+    repair.Listed(batch(1))
+    one, few = calls(lambda: repair.Listed(batch(1)))
+    _, many = calls(lambda: repair.Listed(batch(50)))
+    assert many < few + 50 * 50  # the batches themselves take some
+    words = lambda t: "".join(c.lower() if c < "\uffff" and (c.isalnum() or c == "|" or unicodedata.combining(c)) else " " for c in t or "").split()
+    whole, joined = [], []
+    for k, (t, b, a, broken) in enumerate(pairs):
+        w = words(t)
+        kept = [True] * len(w)
+        if w and b:
+            kept[0] = False
+            joined.append((b + w[0], k, len(b), len(b + w[0]) + 1, False))
+        if w and broken:
+            kept[-1] = False
+            if a and a not in repair.KEEP_BEFORE:
+                joined.append((w[-1] + a, k, 0, len(w[-1]), True))
+        whole += [(k, x) for x, y in zip(w, kept) if y]
+    assert list(zip(one.words.row[one.whole].tolist(), one.words.texts(one.whole).to_pylist())) == whole
+    got = zip(one.joined.texts(np.arange(len(one.joined.row))).to_pylist(), *(x[one.of].tolist() for x in (one.joined_row, one.lo, one.hi, one.begins)))
+    assert sorted(got) == sorted(joined)
+    for w in (one.words, one.joined):
+        assert w.hash.tolist() == chars.row_hash(*chars.decode(w.texts(np.arange(len(w.row))))).tolist()
+
+
+def test_a_line_that_is_not_broken_is_not_opened():
+    texts = [t + e + s for t in ("die Markt", "12", "", "a\u0301", "x y_z") for e in ("", ".", *repair.HYPHENS, "=-") for s in ("", *(chr(c) for c in range(1 << 16) if chr(c).isspace()), " \n", "\u200b")] + [None]
+    maybe = set(repair.may_break(pa.array(["x-", *texts]).slice(1)).tolist())
+    for k, t in enumerate(texts):
+        m = repair.BROKEN.search(t) if t and t.rstrip()[-1:] in repair.HYPHEN_SET else None
+        assert (repair.broken_word(t) if k in maybe else None) == (m[1].lower() if m else None)
+    assert not len(repair.may_break(pa.array([None, "", "ein Wort", "zwei Wege."])))
+
+
 # --- 6: boilerplate --------------------------------------------------------------------------------------------------
 
 
