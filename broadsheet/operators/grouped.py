@@ -10,7 +10,10 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from broadsheet.session import ship
 
@@ -48,3 +51,63 @@ def each_group(df: DataFrame, keys: list[str], schema: str, work: Callable[[Colu
 
     names = [f.split(" ")[0].strip("`") for f in schema.split(", ")]
     return df.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(run, schema)
+
+
+#: Rows that are gathered before ``each_batch`` works on them.
+BATCH_ROWS = 65_536
+
+
+def bounds_of(table: pa.Table, keys: list[str]) -> np.ndarray:
+    """Where the groups of a table sorted by ``keys`` begin, and its length."""
+    new = np.zeros(table.num_rows, bool)
+    new[:1] = True
+    for k in keys:
+        codes = table.column(k).combine_chunks().dictionary_encode(null_encoding="encode")
+        codes = (codes.combine_chunks() if isinstance(codes, pa.ChunkedArray) else codes).indices.to_numpy(zero_copy_only=False)
+        new[1:] |= codes[1:] != codes[:-1]
+    return np.append(np.flatnonzero(new), table.num_rows)
+
+
+def each_batch(df: DataFrame, keys: list[str], schema: str, work: Callable[[pa.Table, np.ndarray], pa.Table], order: list[str] | None = None) -> DataFrame:
+    """Rows of ``work`` for many whole groups of ``df`` by ``keys`` at a time, for work that numpy does over all of them at once.
+
+    It gets a table sorted by ``keys`` and ``order``, and the bounds of its groups; it gives the columns of ``schema``. A group is never cut.
+    """
+    ship(df.sparkSession)
+    keys = list(keys)
+    target = to_arrow_schema(StructType.fromDDL(schema))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        rows, enough = 0, BATCH_ROWS
+        for batch in batches:
+            held.append(batch)
+            rows += batch.num_rows
+            if rows < enough:
+                continue
+            table = pa.Table.from_batches(held)
+            bounds = bounds_of(table, keys)
+            if len(bounds) > 2:
+                yield from done(table.slice(0, bounds[-2]), bounds[:-1])
+                table = table.slice(bounds[-2])
+            held, rows = table.to_batches(), table.num_rows
+            enough = max(BATCH_ROWS, 2 * rows)  # a group that fills the table is not looked through again and again
+        if rows:
+            table = pa.Table.from_batches(held)
+            yield from done(table, bounds_of(table, keys))
+
+    def done(table: pa.Table, bounds: np.ndarray) -> list[pa.RecordBatch]:
+        out = work(table.combine_chunks(), bounds)
+        return out.select(target.names).cast(target).combine_chunks().to_batches()
+
+    return df.repartition(*keys).sortWithinPartitions(*keys, *(order or [])).mapInArrow(run, schema)
+
+
+def floats(table: pa.Table, names: list[str]) -> np.ndarray:
+    """Columns of numbers side by side, NULL as NaN."""
+    return np.stack([table.column(c).to_numpy().astype(float) for c in names], -1)
+
+
+def within_groups(counts: np.ndarray) -> np.ndarray:
+    """0, 1 .. for each group of so many rows."""
+    return np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)

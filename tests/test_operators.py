@@ -121,6 +121,28 @@ def test_reading_order_of_pages(spark):
     assert [(r["page_id"], r["block_id"]) for r in xycut.reading_order(df, ["page_id"], "block_id").orderBy("page_id", "rank").collect()] == [(1, "a"), (1, "b"), (1, "c")]
 
 
+def test_reading_orders_of_many_pages_at_once(spark):
+    rng = random.Random(11)
+    rows, seps = [], []
+    for page in [None, *range(40)]:
+        for k in range(rng.randrange(9)):
+            x, y = rng.randrange(60), rng.randrange(60)
+            rows.append((page, f"b{k * 7 % 9}", "a", float(x), float(y), float(x + rng.randrange(25)), float(y + rng.randrange(25))))
+        seps += [(page, rng.choice(["H", "V", None]), *(float(rng.randrange(-5, 90)) for _ in range(4)), rng.randrange(1, 5)) for _ in range(rng.randrange(4))]
+    seps.append((99, "V", 1.0, 1.0, 1.0, 50.0, 1))
+    df = xycut.reading_order(boxes(spark, rows), ["page_id"], "block_id", "obstacle", 2, spark.createDataFrame(seps, "page_id bigint, label string, x0 double, y0 double, x1 double, y1 double, width int"), grouped=True)
+    assert "CoGroups" not in df._jdf.queryExecution().executedPlan().toString()
+    got = {}
+    for r in sorted(df.collect(), key=lambda r: r["rank"]):
+        got.setdefault(r["page_id"], []).append((r["block_id"], r["group"]))
+    for page in {r[0] for r in rows}:
+        own, lines = sorted(r for r in rows if r[0] == page), [s for s in seps if s[0] == page]
+        b = [(x0 := min(x + 2, z), y0 := min(y + 2, w), max(z - 2, x0), max(w - 2, y0)) for *_, x, y, z, w in own]
+        score = xycut.obstacle_score(np.array([s[2:6] for s in lines]).reshape(-1, 4), [s[1] for s in lines], np.array([s[6] for s in lines], float))
+        assert got.pop(page) == [(own[i][1], g) for g, members in enumerate(xycut.cut_order(np.array(b), score, grouped=True)) for i in members]
+    assert not got
+
+
 def test_merging_to_the_fix_point(spark):
     rows = [(1, "a", "t", 0.0, 0.0, 10.0, 10.0), (1, "b", "t", 5.0, 0.0, 15.0, 10.0), (1, "c", "t", 12.0, 0.0, 40.0, 10.0), (1, "d", "u", 0.0, 0.0, 10.0, 10.0), (2, "a", "t", 0.0, 0.0, 1.0, 1.0)]
     got = {(r["page_id"], r["block_id"]): (r["minx"], r["maxx"]) for r in layout.merge_overlaps(boxes(spark, rows)).collect()}
