@@ -135,6 +135,31 @@ def test_layout_program_runs_whole(spark):
                 assert w <= 0 or h <= 0 or w * h <= 0.1 * small + 1e-6
 
 
+def test_layout_program_is_its_steps_in_one_pass(spark):
+    rng = random.Random(4)
+    rows, cuts = [], []
+    for page in [None, *range(12)]:
+        for k in range(rng.randrange(30)):
+            x, y = rng.randrange(0, 900, 25), rng.randrange(0, 1300, 25)
+            rows.append((page, f"{k}-{k * 7}" if k % 2 else f"{k}", rng.choice(["TEXT", "TEXT", "TEXT", "TABULAR", "ILLUSTRATION", None]), float(x), float(y), float(x + rng.randrange(2, 200)), float(y + rng.randrange(2, 90))))
+        cuts += [(page, float(rng.randrange(1000))) for _ in range(rng.randrange(4))] + [(page, None)]
+    cuts = spark.createDataFrame(cuts, "page_id bigint, position double")
+    df = layout.newspaper_program(1320, 1650, cuts)(boxes(spark, rows))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange") == 1
+    diagonal = (1320**2 + 1650**2) ** 0.5
+    near, least = 0.006 * diagonal, (0.0025 * diagonal) ** 2
+    want, plain = layout.large_enough(boxes(spark, rows), least).drop("extra"), df.columns
+    for pairs in (lambda t: layout.same_line_pairs(t, near), lambda t: layout.below_pairs(t, 30)):
+        text = want.filter("label = 'TEXT'")
+        want = layout.merge_adjacent(text, pairs(text)).select(*plain).unionByName(want.filter("label IS NULL OR label <> 'TEXT'"))
+        want = spark.createDataFrame(want.collect(), want.schema)
+    want = layout.grown_along_order(layout.dominated(layout.merge_overlaps(want), 0.005 * diagonal), "TEXT", distance=near, obstacles=["TABULAR"])
+    want = layout.large_enough(layout.merge_overlaps(layout.split_on(want, cuts, "x")), least)
+    got = sorted(map(repr, df.collect()))
+    assert got == sorted(map(repr, want.collect())) and any("/2'" in r for r in got) and len(got) < len(rows)
+
+
 def test_annotation_tables_are_made_filled_and_migrated(spark, tmp_path):
     import sqlite3
 
