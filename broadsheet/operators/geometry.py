@@ -6,10 +6,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from broadsheet.operators.grouped import each_group
+from broadsheet.operators.grouped import each_batch, floats
 from broadsheet.session import ship
 
 RING = "array<struct<x:double,y:double>>"
@@ -91,6 +92,70 @@ def adjacent(box: np.ndarray, cells: int = 128) -> set[tuple[int, int]]:
     return {(int(a), int(b)) for a, b in pairs}
 
 
+#: Cells of a block's side, numbers in one array and boxes of a page up to which ``adjacents`` takes many pages at once.
+BLOCK, NUMBERS, MOST = 8, 1 << 18, 256
+
+
+def adjacents(box: np.ndarray, cells: int = 128) -> np.ndarray:
+    """``adjacent`` of many pages with as many boxes each (pages, boxes, 4): rows of page, a and b, sorted.
+
+    A block of cells (with the first of the next) is looked at only if no one box is surely the nearest of all its cells, and only for pairs not found
+    yet: bounds of a block's distances are sums of bounds along either axis, rounded as the distances are.
+    """
+    pages, n = box.shape[:2]
+    if n < 2 or not pages:
+        return np.zeros((0, 3), int)
+    if n > MOST:
+        return np.array([(k, *x) for k, b in enumerate(box) for x in sorted(adjacent(b, cells))], int).reshape(-1, 3)
+    size = max(1, NUMBERS // (n * cells))
+    if pages > size:
+        parts = [(k, adjacents(box[k : k + size], cells)) for k in range(0, pages, size)]
+        return np.concatenate([p + [k, 0, 0] for k, p in parts])
+    # pages, then blocks, are the last axis of all arrays
+    starts = np.arange(0, cells, BLOCK)
+    lows, highs, squares = [], [], []
+    for axis in (0, 1):
+        a, b = (np.ascontiguousarray(box[:, :, k].T) for k in (axis, 2 + axis))
+        first, last = a.min(0), b.max(0)
+        at = np.arange(cells)[:, None] * ((last - first) / (cells - 1)) + first
+        at[-1] = last
+        d = np.maximum(np.maximum(a[:, None] - at, at - b[:, None]), 0)
+        d *= d
+        beyond = d[:, np.minimum(starts + BLOCK, cells - 1)]
+        squares.append(d)
+        lows.append(np.minimum(np.minimum.reduceat(d, starts, 1), beyond))
+        highs.append(np.maximum(np.maximum.reduceat(d, starts, 1), beyond))
+    low, high = (x[0][:, None] + x[1][:, :, None] for x in (lows, highs))
+    # of boxes equally near the first counts as the nearest
+    may = low <= high.min(0)
+    may[1:] &= low[1:] < np.minimum.accumulate(high[:-1], 0)
+    row, column, page = np.nonzero(np.add.reduce(may, 0, dtype=np.int32) > 1)
+    may = may[:, row, column, page]
+    # blocks far from one another first: they find most pairs
+    turn = (column + 3 * row) % BLOCK
+    lower = np.tril(np.ones((n, n), bool))
+    found = np.repeat(lower[:, :, None], pages, 2)
+    for k in range(BLOCK):
+        some = np.flatnonzero(turn == k)
+        own = may[:, some]
+        some = some[(own[:, None] & own[None] & ~found[:, :, page[some]]).any((0, 1))]
+        if not len(some):
+            continue
+        p = page[some]
+        dx, dy = (d[:, np.minimum(BLOCK * at[some] + np.arange(BLOCK + 1)[:, None], cells - 1), p] for d, at in zip(squares, (column, row)))
+        best = dx[0] + dy[0][:, None]
+        nearest = np.zeros(best.shape, np.int16)
+        for i in range(1, n):
+            d = dx[i] + dy[i][:, None]
+            np.copyto(nearest, np.int16(i), where=d < best)
+            np.minimum(best, d, out=best)
+        for a, b in ((nearest[:, 1:], nearest[:, :-1]), (nearest[1:], nearest[:-1])):
+            at = np.nonzero(a != b)
+            a, b = a[at], b[at]
+            found[np.minimum(a, b), np.maximum(a, b), p[at[2]]] = True
+    return np.argwhere((found & ~lower[:, :, None]).transpose(2, 0, 1))
+
+
 def on_grid(grid: np.ndarray, cell: float, points: np.ndarray) -> np.ndarray:
     """Points of the dewarped page on the warped one: bilinear within the cells of the grid (h, w, 2), clamped at its edge."""
     g = np.clip(points / cell, 0, [grid.shape[1] - 1, grid.shape[0] - 1])
@@ -147,15 +212,20 @@ def hulls(df: DataFrame, keys: list[str], ring: str = "ring") -> DataFrame:
 def neighbours(boxes: DataFrame, cells: int = 128) -> DataFrame:
     """(page_id, a, b): regions of a page between which no other lies (see ``adjacent``)."""
     page, block = (next(f.dataType.simpleString() for f in boxes.schema.fields if f.name == n) for n in ("page_id", "block_id"))
-
-    def work(g: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-        order = np.argsort(g["block_id"].astype(str), kind="stable")
-        box = np.stack([g[c] for c in ("minx", "miny", "maxx", "maxy")], -1).astype(float)[order]
-        found = np.array(sorted(adjacent(box, cells)), int).reshape(-1, 2)
-        ids = g["block_id"][order]
-        return {"page_id": np.repeat(g["page_id"][:1], len(found)), "a": ids[found[:, 0]], "b": ids[found[:, 1]]}
-
-    return each_group(boxes.select("page_id", "block_id", "minx", "miny", "maxx", "maxy").dropna(), ["page_id"], f"page_id {page}, a {block}, b {block}", work)
+    bounds_of_box = ["minx", "miny", "maxx", "maxy"]
+
+    def work(table: pa.Table, bounds: np.ndarray) -> pa.Table:
+        box, counts, found = floats(table, bounds_of_box), np.diff(bounds), [np.zeros((0, 2), int)]
+        for n in np.unique(counts).tolist():
+            first = bounds[:-1][counts == n]
+            pairs = adjacents(box[first[:, None] + np.arange(n)], cells)
+            found.append(first[pairs[:, :1]] + pairs[:, 1:])
+        a, b = (pa.array(x) for x in np.concatenate(found).T)
+        of = lambda name, at: table.column(name).take(at)
+        return pa.table({"page_id": of("page_id", a), "a": of("block_id", a), "b": of("block_id", b)})
+
+    needed = boxes.select("page_id", "block_id", *bounds_of_box).dropna()
+    return each_batch(needed, ["page_id"], f"page_id {page}, a {block}, b {block}", work, [F.col("block_id").cast("string")])
 
 
 #: Pixels of one word of a mask's row: sums of powers of two that every engine holds in a whole number.

@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
@@ -68,7 +68,7 @@ def bounds_of(table: pa.Table, keys: list[str]) -> np.ndarray:
     return np.append(np.flatnonzero(new), table.num_rows)
 
 
-def each_batch(df: DataFrame, keys: list[str], schema: str, work: Callable[[pa.Table, np.ndarray], pa.Table], order: list[str] | None = None) -> DataFrame:
+def each_batch(df: DataFrame, keys: list[str], schema: str, work: Callable[[pa.Table, np.ndarray], pa.Table], order: list[str | Column] | None = None) -> DataFrame:
     """Rows of ``work`` for many whole groups of ``df`` by ``keys`` at a time, for work that numpy does over all of them at once.
 
     It gets a table sorted by ``keys`` and ``order``, and the bounds of its groups; it gives the columns of ``schema``. A group is never cut.

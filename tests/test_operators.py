@@ -285,6 +285,22 @@ def test_polygons():
     assert geometry.adjacent(np.array([[0, 0, 10, 10], [20, 0, 30, 10], [40, 0, 50, 10.0]])) == {(0, 1), (1, 2)}
 
 
+def test_neighbours_of_many_pages_at_once(spark):
+    rng = np.random.default_rng(5)
+    for cells, n in ((64, 2), (60, 5), (64, 9), (5, 3)):
+        low = rng.integers(0, 300, (12, n, 2)) * (1 + rng.random((12, 1, 1)))
+        box = np.concatenate((low, low + rng.integers(0, 90, (12, n, 2))), 2)
+        box[0], box[1, 1] = box[0, 0], box[1, 0]  # boxes that are the same
+        assert geometry.adjacents(box, cells).tolist() == [[k, *x] for k in range(12) for x in sorted(geometry.adjacent(box[k], cells))]
+    rows = [(k % 7 or None, f"b{k * 13 % 40}", "a", float(x), float(y), float(x + 40), float(y + 30)) for k, (x, y) in enumerate(rng.integers(0, 400, (40, 2)).tolist())]
+    want = set()
+    for page in range(1, 7):
+        own = sorted(r for r in rows if r[0] == page)
+        want |= {(page, own[a][1], own[b][1]) for a, b in geometry.adjacent(np.array([r[3:] for r in own]), 64)}
+    assert {tuple(r) for r in geometry.neighbours(boxes(spark, [*rows, (1, None, "a", 0.0, 0.0, 1.0, 1.0), (2, "b0", "a", None, 0.0, 1.0, 1.0)]), 64).collect()} == want
+    assert geometry.neighbours(boxes(spark, [])).count() == 0
+
+
 def test_page_documents_round_trip(spark):
     rows = [("p & q", "1", 0, "0,0 1,1", "a < b"), ("p & q", "1", 1, "0,0 1,1", None), ("r", "5.1.1.1", 0, "2,2", "")]
     docs = pagexml.documents(spark.createDataFrame(rows, "page_path string, block_id string, line_id int, points string, text string"))
